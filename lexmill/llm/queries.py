@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from . import op1_ann, op2_bpe, op4_tokenfile, op5_toxicity, op7_html, op8_licenses, op9_decontaminate, op10_quality
+from . import op1_ann, op2_bpe, op3_lines, op4_tokenfile, op5_toxicity, op6_jaccard, op7_html, op8_licenses, op9_decontaminate, op10_quality
 
 QUERIES = {
     "op1_ann": op1_ann.query,
     "op2_bpe": op2_bpe.query,
+    "op3_lines": op3_lines.query,
     "op4_tokenfile": op4_tokenfile.query,
     "op5_toxicity": op5_toxicity.query,
+    "op6_jaccard": op6_jaccard.query,
     "op7_html": op7_html.query,
     "op8_licenses": op8_licenses.query,
     "op9_decontaminate": op9_decontaminate.query,
