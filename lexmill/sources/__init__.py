@@ -1 +1,106 @@
+"""Readers: cases, translation sets, XML units, term rules, index files, listings and plain tables."""
 
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions.text import normal_path, without_bom
+from ..schema import CASE_FILE, GATE_REPORT, TRANSLATION_SET, WORKER_REQUEST, WORKER_RESPONSE
+
+
+def read_json(spark: SparkSession, path: str, schema: str, recursive: bool = True) -> DataFrame:
+    """Whole-file JSON documents with a declared schema; a broken file is a row with ``corrupt`` set."""
+    reader = spark.read.schema(f"{schema}, corrupt string").option("multiLine", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "corrupt")
+    return reader.option("recursiveFileLookup", recursive).option("pathGlobFilter", "*.json").json(path).withColumn("file", F.col("_metadata.file_path"))
+
+
+def read_cases(spark: SparkSession, path: str) -> DataFrame:
+    """One row for each regression case of all files below a folder."""
+    return read_json(spark, path, CASE_FILE).where(F.col("corrupt").isNull()).select("file", F.inline("cases"))
+
+
+def read_raw_json(spark: SparkSession, path: str) -> DataFrame:
+    """(file, text, parsed: variant or null) of each file, for checks of keys that a schema would hide."""
+    raw = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").text(path)
+    return raw.select(F.col("_metadata.file_path").alias("file"), without_bom("value").alias("text")).withColumn("parsed", F.try_parse_json("text"))
+
+
+def read_translation_set(spark: SparkSession, path: str) -> DataFrame:
+    """All translations of all files, with file and place, so that later files can win."""
+    sets = read_json(spark, path, TRANSLATION_SET).where(F.col("corrupt").isNull())
+    return sets.select("file", F.posexplode("translations").alias("pos", "t")).select("file", "pos", "t.*")
+
+
+def read_gate_report(spark: SparkSession, path: str) -> DataFrame:
+    return read_json(spark, path, GATE_REPORT)
+
+
+def read_worker_request(spark: SparkSession, path: str) -> DataFrame:
+    return read_json(spark, path, WORKER_REQUEST).select("file", F.inline("items"))
+
+
+def read_worker_response(spark: SparkSession, path: str) -> DataFrame:
+    return read_json(spark, path, WORKER_RESPONSE)
+
+
+def read_units_xml(spark: SparkSession, path: str, plugin: str | None = None) -> DataFrame:
+    """<String> elements with <Source> and <Dest>; files of any name at any depth."""
+    rows = spark.read.format("xml").option("rowTag", "String").option("recursiveFileLookup", True).schema("REC string, EDID string, Source string, Dest string").load(path)
+    rows = rows.withColumn("file", F.input_file_name())
+    return rows.select(F.lit(plugin).alias("plugin") if plugin else F.substring_index("file", "/", -1).alias("plugin"), F.col("REC").alias("rec"), F.col("EDID").alias("edid"), F.col("Source").alias("source"), F.col("Dest").alias("dest"), "file")
+
+
+def parse_term_rules(blocks: DataFrame, column: str = "value") -> DataFrame:
+    """(search, replace) of StartRule blocks, one text each; blocks without a search text are left out."""
+    field = lambda name: F.regexp_extract(column, rf"(?m)^\s*{name}\s*=(.*)$", 1)
+    return blocks.select(F.trim(field("Search")).alias("search"), F.trim(field("Replace")).alias("replace")).where("search <> ''")
+
+
+def read_term_rules(spark: SparkSession, path: str) -> DataFrame:
+    return parse_term_rules(spark.read.option("lineSep", "StartRule").text(path))
+
+
+def read_index_file(spark: SparkSession, path: str) -> DataFrame:
+    """Numbers, one a line; anything else is left out."""
+    return spark.read.text(path).select(F.trim("value").try_cast("bigint").alias("xml_index")).where("xml_index is not null").distinct()
+
+
+def listing_from_text(listing: DataFrame, column: str = "listing") -> DataFrame:
+    """Paths of a NUL-separated listing."""
+    return listing.select(F.explode(F.split(column, "\\x00")).alias("path")).where("path <> ''").select(normal_path("path").alias("path"))
+
+
+def read_listing(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
+    """Paths below a folder by a walk; contents are not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path)
+    return files.select(normal_path("path").alias("path"), "length")
+
+
+def parse_pipe_table(lines: DataFrame, columns: list[str], column: str = "value") -> DataFrame:
+    """Rows of a pipe table with as many cells as columns; header and rule lines are left out."""
+    cells = F.transform(F.split(F.regexp_replace(F.trim(column), r"^\||\|$", ""), r"\|"), F.trim)
+    rows = lines.where(F.trim(column).startswith("|")).select(cells.alias("c")).where((F.size("c") == len(columns)) & ~F.forall("c", lambda x: F.rlike(x, F.lit("^:?-+:?$"))))
+    return rows.select(*[F.col("c")[i].alias(n) for i, n in enumerate(columns)])
+
+
+def derived_units(documents: DataFrame) -> DataFrame:
+    """Translation units made from documents: the text as source, and a dest with a seeded defect for each id."""
+    t, k = F.coalesce("text", F.lit("")), F.pmod("doc_id", F.lit(12))
+    put = lambda s: F.replace(t, F.lit("that"), F.lit(s))
+    dest = (
+        F.when(k == 0, t)
+        .when(k == 1, put("晨星月"))
+        .when(k == 2, put("晨星"))
+        .when(k == 3, F.concat(put("晨星月"), F.lit(" 晨星")))
+        .when(k == 4, put("晨星...月"))
+        .when(k == 5, put(""))
+        .when(k == 6, F.concat(F.substring(t, 1, 20), F.lit("……")))
+        .when(k == 7, F.concat(put("晨星月"), F.lit("歡迎來到這裡")))
+        .when(k == 8, put("晨星月份"))
+        .when(k == 9, put("波斯莫"))
+        .when(k == 10, F.concat(put("晨星月"), F.lit("之内存在")))
+        .otherwise(F.concat(put("晨星月"), F.lit("内存")))
+    )
+    rec = F.when(F.pmod("doc_id", F.lit(4)) == 0, "BOOK:DESC").when(F.pmod("doc_id", F.lit(4)) == 1, "INFO:NAM1").when(F.pmod("doc_id", F.lit(4)) == 2, "QUST:CNAM").otherwise("MESG:DESC")
+    return documents.select(F.col("doc_id").alias("unit_id"), F.col("source").alias("plugin"), rec.alias("rec"), t.alias("source"), dest.alias("dest"))
