@@ -2,8 +2,9 @@
 
 A bounded sample of labelled rows is split in two: one half trains a dictionary for each label, the other calibrates.
 A text is cut into chunks, so that a dictionary counts throughout a long text, and each chunk is compressed with both.
-The difference of the compressed sizes over their sum, over the whole text, is the evidence; isotonic regression on the
-calibration half turns it into a score. Every chunk of every text is used.
+The difference of the compressed sizes by byte of text, over the whole text, is the evidence: text that says little new
+has little of it either way. Isotonic regression on the calibration half turns it into a score. Every chunk of every
+text is used.
 
 Null texts are scored as empty ones; the empty text has no evidence, and its score is that of evidence 0. Rows are
 scored one by one, so repeated rows get equal scores. Where no labelled row of one class exists, the score is the share
@@ -62,7 +63,7 @@ class Compressors:
         for c in chunks(raw):
             g += len(self.good.compress(c))
             b += len(self.bad.compress(c))
-        return (b - g) / (b + g) if b + g else 0.0
+        return (b - g) / len(raw) if raw else 0.0
 
 
 class Model:
