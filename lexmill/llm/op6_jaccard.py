@@ -7,15 +7,19 @@ copies never meet. Different sets link when 100 * intersection >= 80 * union.
 2. Shingles are ordered by that count and hash, rare first. Sets that link share a shingle among their first
    ``n - ceil(0.8 n) + 1``, so only those are indexed: postings of shingle, class, set size and position, packed by bucket
    of shingles. Index lists of one class are dropped at once, which are most.
-3. Skipping by answers. The least class of a list is its hub, and the other classes of the list are first compared with
-   the hub alone. What a hub's answer holds is one group; lists whose classes are all in one group need no more work. So a
-   group of thousands of near copies costs its size, not its square.
-4. Skipping by position. From the lists that still hold several groups, pairs of different groups come with the number
-   of prefix shingles they share. Past both prefixes at most the larger rest can be shared, so pairs whose count cannot
-   reach the threshold are skipped whole; the others are compared, if they were not before.
-5. Comparison is exact on whole texts. Groups are connected components.
-
-Every linked pair is either compared or already inside one group, so the components are those of all links.
+3. Skipping by answers. The class of a list that meets most others is its hub, and the other classes of the list are
+   first compared with the hub alone. What a hub's answer holds is one group; lists whose classes are all in one group
+   need no more work.
+4. Answers from a similar set's. A hub that holds most of a class, and of most others, is its home. Two classes of one home can share no
+   more than the lesser of their overlaps with it and what both have beyond it; so their pairs are not sought in the
+   home's own lists but in lists of what each has beyond the home, which are short, and are counted exactly there.
+5. Skipping by position. From the lists that still hold several groups, other pairs of different groups come with the
+   number of prefix shingles they share. Past both prefixes at most the larger rest can be shared, so pairs whose count
+   cannot reach the threshold are skipped; the others are compared, if they were not before.
+6. Comparison is exact on whole texts. Groups are connected components.
+
+Every linked pair is compared, or inside one group by other links, or skipped by a bound that no linked pair misses; so
+the components are those of all links. A group of thousands of near copies costs about its size, not its square.
 
 Defined results: null and empty texts have an empty set and are groups of their own; a null id has no group and links
 nothing; rows of one id count as one document with the links of all of them; extra columns are ignored by ``join`` and
@@ -29,7 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import Stage, bound_batches, table
@@ -43,6 +47,12 @@ SKETCH_BITS = 22
 CHUNK = 1 << 16
 #: Postings in a bucket, about; lists with more are dealt to several buckets.
 BUCKET = 500_000
+#: Per cent of a set that its hub must hold to be its home.
+HOME = 50
+#: A class is compared with a hub if they share one in so many of its prefix's shingles.
+STAR = 16
+#: Homes of a class at most; more would only skip more.
+HOMES = 4
 #: Documents whose ids may be broadcast to fetch texts; more are joined by shuffle.
 BROADCAST_ROWS = 400_000
 
@@ -123,7 +133,7 @@ def _postings(levels, buckets: int, most: int):
 
         def flush() -> Iterator[pa.RecordBatch]:
             nonlocal held, size
-            tok, sig, n, pos, count = (np.concatenate([h[i] for h in held]) for i in range(5))
+            tok, sig, n, count = (np.concatenate([h[i] for h in held]) for i in range(4))
             # A list too long for a bucket is dealt by class as well; such buckets are numbered past the others.
             parts = np.maximum(1, np.ceil(count / most)).astype(np.uint64)
             bucket = (mix(tok) % np.uint64(buckets)).astype(np.int64)
@@ -132,10 +142,10 @@ def _postings(levels, buckets: int, most: int):
                 share = mix(sig[long].astype(np.uint64)) % parts[long]
                 bucket[long] = buckets + (mix(tok[long] + share * np.uint64(7919)) % np.uint64(1 << 30)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
-            bucket, tok, sig, n, pos = bucket[order], tok[order], sig[order], n[order], pos[order]
+            bucket, tok, sig, n = bucket[order], tok[order], sig[order], n[order]
             cut = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1], [True])))
             spans = list(zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True))
-            yield pa.RecordBatch.from_arrays([pa.array(bucket[cut[:-1]], pa.int64()), *(pa.array([x[a:b].tobytes() for a, b in spans], pa.binary()) for x in (tok, sig, n, pos))], names=["bucket", "tok", "sig", "size", "pos"])
+            yield pa.RecordBatch.from_arrays([pa.array(bucket[cut[:-1]], pa.int64()), *(pa.array([x[a:b].tobytes() for a, b in spans], pa.binary()) for x in (tok, sig, n))], names=["bucket", "tok", "sig", "size"])
             held, size = [], 0
 
         for b in batches:
@@ -153,7 +163,7 @@ def _postings(levels, buckets: int, most: int):
                     lv = level[s >> np.uint64(64 - SKETCH_BITS)]
                     first = np.lexsort((s, lv))[: prefix(n)]
                     k = len(first)
-                    held.append((s[first], np.full(k, g, np.int64), np.full(k, n, np.int32), np.arange(k, dtype=np.int32), np.exp2(lv[first] / 8.0)))
+                    held.append((s[first], np.full(k, g, np.int64), np.full(k, n, np.int32), np.exp2(lv[first] / 8.0)))
                     size += k
                 if size > 600_000:
                     yield from flush()
@@ -170,18 +180,21 @@ def _lists(buckets: int):
         now, held = None, []
 
         def out() -> Iterator[pa.RecordBatch]:
-            tok, sig, n, pos = (np.concatenate([np.frombuffer(h[i], t) for h in held]) for i, t in enumerate((np.uint64, np.int64, np.int32, np.int32)))
+            tok, sig, n = (np.concatenate([np.frombuffer(h[i], t) for h in held]) for i, t in enumerate((np.uint64, np.int64, np.int32)))
             order = np.lexsort((sig, tok))
-            tok, sig, n, pos = tok[order], sig[order], n[order], pos[order]
+            tok, sig, n = tok[order], sig[order], n[order]
             new = np.concatenate(([True], (tok[1:] != tok[:-1]) | (sig[1:] != sig[:-1])))
-            tok, sig, n, pos = tok[new], sig[new], n[new], pos[new]
+            tok, sig, n = tok[new], sig[new], n[new]
             if now < buckets:
                 same = tok[1:] == tok[:-1]
                 several = np.concatenate((same, [False])) | np.concatenate(([False], same))
-                tok, sig, n, pos = tok[several], sig[several], n[several], pos[several]
+                tok, sig, n = tok[several], sig[several], n[several]
+            first = np.flatnonzero(np.concatenate(([True], tok[1:] != tok[:-1]))) if len(tok) else np.zeros(0, np.int64)
+            count = np.diff(np.concatenate((first, [len(tok)])))
+            df = np.repeat(count, count)
             for i in range(0, len(tok), 100_000):
                 j = slice(i, i + 100_000)
-                yield pa.RecordBatch.from_arrays([pa.array(tok[j].astype(np.int64)), pa.array(sig[j]), pa.array(n[j]), pa.array(pos[j])], names=["tok", "sig", "size", "pos"])
+                yield pa.RecordBatch.from_arrays([pa.array(tok[j].astype(np.int64)), pa.array(sig[j]), pa.array(n[j]), pa.array(df[j])], names=["tok", "sig", "size", "df"])
 
         for b in batches:
             for row in zip(*(c.to_pylist() for c in b.columns), strict=True):
@@ -197,7 +210,7 @@ def _lists(buckets: int):
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Which of the pairs (a, b, text_a, text_b) link."""
+    """Of the pairs (a, b, text_a, text_b): the overlap, whether they link, and what b has beyond a if that is not much."""
     kept: dict[int, np.ndarray] = {}  # hubs repeat from row to row
     for batch in batches:
         a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
@@ -209,17 +222,21 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets = dict(kept)
         for part in batches_by_bytes(list(new.items()), PART_BYTES):
             sets.update(zip((p[0] for p in part), shingle_sets([p[1] for p in part]), strict=True))
-        link = []
+        overlap, link, beyond = [], [], []
         for x, y in zip(a, b, strict=True):
             s, t = sets[x], sets[y]
-            both = len(np.intersect1d(s, t, assume_unique=True))
+            at = np.searchsorted(s, t)
+            held = s[np.minimum(at, len(s) - 1)] == t
+            both = int(held.sum())
+            overlap.append(both)
             link.append(100 * both >= 80 * (len(s) + len(t) - both))
+            beyond.append(t[~held].astype(np.int64).tolist() if 100 * both >= HOME * len(t) else None)
         kept = {x: sets[x] for x in a[-8:]}
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(link, pa.bool_())], names=["a", "b", "link"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(overlap, pa.int64()), pa.array(link, pa.bool_()), pa.array(beyond, pa.list_(pa.int64()))], names=["a", "b", "o", "link", "beyond"])
 
 
 def _linked(pairs: Stage, classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """(a, b, link) of pairs of classes, compared on their representatives' texts."""
+    """Pairs of classes, compared on their representatives' texts."""
     ids = pairs.df.select(F.col("a").alias("sig")).unionByName(pairs.df.select(F.col("b").alias("sig"))).distinct()
     need = Stage(ids.join(classes, "sig").select("sig", "first"), "jaccard-need")
     few = need.df.count() <= BROADCAST_ROWS
@@ -234,12 +251,18 @@ def _linked(pairs: Stage, classes: DataFrame, docs: DataFrame) -> DataFrame:
     texts = Stage(rows.mapInArrow(same, "sig bigint, text string").dropDuplicates(["sig"]), "jaccard-texts")
     side = lambda x: texts.df.select(F.col("sig").alias(x), F.col("text").alias(f"text_{x}"))
     both = pairs.df.select("a", "b").join(side("b"), "b").join(side("a"), "a").select("a", "b", "text_a", "text_b")
-    out = Stage(both.mapInArrow(_compare, "a bigint, b bigint, link boolean"), "jaccard-compared")
+    out = Stage(both.mapInArrow(_compare, "a bigint, b bigint, o bigint, link boolean, beyond array<bigint>"), "jaccard-compared")
     need.drop()
     texts.drop()
     return out.df
 
 
+def _ordered(pairs: DataFrame) -> DataFrame:
+    """(a, b, n_a, n_b) with the lesser class first."""
+    turn = F.col("a") > F.col("b")
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.when(turn, F.col("n_b")).otherwise(F.col("n_a")).alias("n_a"), F.when(turn, F.col("n_a")).otherwise(F.col("n_b")).alias("n_b"))
+
+
 def groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
     """(doc, n, sig) of each row; and (sig, component: least id of the group) of each class with an id."""
     spark = docs.sparkSession
@@ -257,43 +280,72 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[Da
     classes = Stage(rows.where("doc is not null and n > 0").groupBy("sig").agg(F.min("doc").alias("first"), F.first("n").alias("n"), F.count("*").alias("copies")), "jaccard-classes").df
 
     buckets = max(64, math.ceil(0.2 * total / BUCKET))
-    packed = src.where("doc is not null and text is not null").mapInArrow(_postings(levels, buckets, BUCKET), "bucket bigint, tok binary, sig binary, size binary, pos binary")
-    index = Stage(packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_lists(buckets), "tok bigint, sig bigint, size int, pos int"), "jaccard-index")
+    packed = src.where("doc is not null and text is not null").mapInArrow(_postings(levels, buckets, BUCKET), "bucket bigint, tok binary, sig binary, size binary")
+    index = Stage(packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_lists(buckets), "tok bigint, sig bigint, size int, df bigint"), "jaccard-index")
     lists = index.df
 
-    # Hubs: the least class of each list.
-    hubs = lists.groupBy("tok").agg(F.min("sig").alias("hub"))
+    # Hubs: the class of a list that meets most others in all its lists. Where texts were copied with changes that is
+    # the one nearest to all of them.
+    score = lists.groupBy("sig").agg(F.sum("df").alias("score"))
+    hubs = lists.join(score, "sig").groupBy("tok").agg(F.max(F.struct("score", "sig")).alias("most")).select("tok", F.col("most.sig").alias("hub"))
+    hubs = Stage(hubs, "jaccard-hubs").df
     size = lambda x: classes.select(F.col("sig").alias(x), F.col("n").alias(f"n_{x}"))
     fits = "5 * least(n_a, n_b) >= 4 * greatest(n_a, n_b)"
     pre = lambda n: f"({n} - (4 * {n} + 4) div 5 + 1)"
     near = lists.join(hubs, "tok").where("sig <> hub").groupBy(F.col("hub").alias("a"), F.col("sig").alias("b")).agg(F.count("*").alias("c"), F.first("size").cast("bigint").alias("n_b"))
-    # Unpromising ones are left to the step after the next, which is exact.
-    near = near.join(size("a"), "a").where(fits).where(f"4 * c >= {pre('least(n_a, n_b)')}")
+    # Unpromising ones are left to the last step, which is exact.
+    near = near.join(size("a"), "a").where(fits).where(f"{STAR} * c >= {pre('least(n_a, n_b)')}")
     first = Stage(near.select("a", "b"), "jaccard-pairs")
     compared = _linked(first, classes, src)
     links = compared.where("link").select("a", "b")
     of = Stage(components(links, "jaccard-components").select(F.col("id").alias("sig"), "component"), "jaccard-groups").df
 
+    # The homes of a class: of the hubs that hold most of it, the few that are so to most classes; a hub is one to itself.
+    found = compared.where("beyond is not null").select(F.col("b").alias("sig"), F.col("a").alias("home"), "o")
+    popular = found.groupBy("home").agg(F.count("*").alias("to"))
+    found = found.unionByName(popular.join(classes.select(F.col("sig").alias("home"), F.col("n").alias("o")), "home").select(F.col("home").alias("sig"), "home", "o"))
+    place = F.row_number().over(Window.partitionBy("sig").orderBy(F.desc("to"), "home"))
+    housed = Stage(found.join(popular, "home").withColumn("place", place).where(F.col("place") <= HOMES).select("sig", "home", "o", "place"), "jaccard-homes").df
+    homes = housed.groupBy("sig").agg(F.array_sort(F.collect_list(F.struct("place", "home", "o"))).alias("homes"))
+
     # Lists that still hold several groups.
-    placed = lists.join(of, "sig", "left").withColumn("component", F.coalesce("component", "sig"))
-    mixed = placed.groupBy("tok").agg(F.min("component").alias("main"), F.max("component").alias("last")).where("main <> last").select("tok", "main")
-    members = Stage(placed.join(mixed, "tok").select("tok", "sig", "size", "component", "main"), "jaccard-mixed")
-    a = members.df.where("component <> main").select("tok", F.col("sig").alias("a"), F.col("size").cast("bigint").alias("n_a"), F.col("component").alias("ca"))
-    b = members.df.select("tok", F.col("sig").alias("b"), F.col("size").cast("bigint").alias("n_b"), F.col("component").alias("cb"), "main")
-    apart = a.join(b, "tok").where("ca <> cb and (cb = main or a < b)").where(fits)
-    apart = apart.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.when(F.col("a") < F.col("b"), F.col("n_a")).otherwise(F.col("n_b")).alias("n_a"), F.when(F.col("a") < F.col("b"), F.col("n_b")).otherwise(F.col("n_a")).alias("n_b"))
-    counted = apart.groupBy("a", "b").agg(F.count("*").alias("c"), F.first("n_a").alias("n_a"), F.first("n_b").alias("n_b"))
+    placed = lists.select("tok", "sig", "size").join(of, "sig", "left").withColumn("component", F.coalesce("component", "sig"))
+    mixed = placed.groupBy("tok").agg(F.min("component").alias("least"), F.max("component").alias("last")).where("least <> last").select("tok")
+    main = mixed.join(hubs, "tok").join(of.withColumnRenamed("sig", "hub"), "hub", "left").select("tok", F.coalesce("component", "hub").alias("main"))
+    members = Stage(placed.join(main, "tok").join(homes, "sig", "left").select("tok", "sig", F.col("size").cast("bigint").alias("n"), "component", "main", F.col("homes")[0]["home"].alias("home"), F.col("homes")[0]["o"].alias("o"), "homes"), "jaccard-mixed")
+    named = lambda df, x: df.select(*[F.col(c).alias(f"{c}_{x}") if c in ("n", "component", "home", "o", "homes") else F.col(c).alias(x) if c == "sig" else F.col(c) for c in df.columns])
+    a = named(members.df.where("component <> main").drop("main"), "a")
+    b = named(members.df, "b")
+    once = "component_a <> component_b and (component_b = main or a < b)"
+    # Two classes of one home that link share more than their overlaps with it, or something beyond it.
+    short = "{0}.home = {1}.home and 9 * least({0}.o, {1}.o) < 4 * (n_a + n_b)"
+    beyond = "coalesce(home_a = home_b and 9 * least(o_a, o_b) < 4 * (n_a + n_b), false) or coalesce(exists(homes_a, u -> exists(homes_b, v -> " + short.format("u", "v") + ")), false)"
+    apart = a.join(b, "tok").where(once).where(fits).where(f"not ({beyond})")
+    counted = _ordered(apart).groupBy("a", "b").agg(F.count("*").alias("c"), F.first("n_a").alias("n_a"), F.first("n_b").alias("n_b"))
     # Past the prefixes at most the larger rest is shared; 9 * intersection >= 4 * (n_a + n_b) is the threshold.
     rest = f"greatest(n_a - {pre('n_a')}, n_b - {pre('n_b')})"
     counted = counted.where(f"9 * (c + {rest}) >= 4 * (n_a + n_b)").select("a", "b")
+
+    # Classes of one home by what they have beyond it, if the home still has several groups.
+    housed = housed.join(of, "sig", "left").withColumn("component", F.coalesce("component", "sig")).join(classes.select("sig", "n"), "sig").drop("place")
+    split = housed.groupBy("home").agg(F.min("component").alias("least"), F.max("component").alias("last")).where("least <> last").select("home")
+    split = split.join(of.withColumnRenamed("sig", "home"), "home", "left").select("home", F.coalesce("component", "home").alias("main"))
+    extra = compared.where("size(beyond) > 0").select(F.col("b").alias("sig"), F.col("a").alias("home"), F.explode("beyond").alias("tok"))
+    extra = Stage(extra.join(housed, ["sig", "home"]).join(split, "home").select("home", "tok", "sig", "n", "component", "main", "o"), "jaccard-beyond")
+    a = named(extra.df.where("component <> main").drop("main"), "a").withColumnRenamed("home_a", "home")
+    b = named(extra.df, "b").withColumnRenamed("home_b", "home")
+    shared = a.join(b, ["home", "tok"]).where(once).where(fits)
+    shared = shared.groupBy("a", "b").agg(F.count("*").alias("c"), F.first("n_a").alias("n_a"), F.first("n_b").alias("n_b"), F.first("o_a").alias("o_a"), F.first("o_b").alias("o_b"))
+    shared = shared.where("9 * (c + least(o_a, o_b)) >= 4 * (n_a + n_b)").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
     tried = compared.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    second = Stage(counted.join(tried, ["a", "b"], "left_anti"), "jaccard-pairs")
+    second = Stage(counted.unionByName(shared).distinct().join(tried, ["a", "b"], "left_anti"), "jaccard-pairs")
     more = _linked(second, classes, src).where("link").select("a", "b")
     of = Stage(components(links.unionByName(more), "jaccard-components").select(F.col("id").alias("sig"), "component"), "jaccard-groups").df
     least = of.join(classes, "sig").groupBy("component").agg(F.min("first").alias("least"))
     named = of.join(least, "component").select("sig", "least")
     named = classes.join(named, "sig", "left").select("sig", F.coalesce("least", "first").alias("component"), "copies", F.col("least").isNotNull().alias("linked"))
-    for s in (index, members, first, second):
+    for s in (index, members, extra, first, second):
         s.drop()
     return rows, named
 
