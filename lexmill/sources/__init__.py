@@ -79,7 +79,7 @@ def read_listing(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
 
 def parse_pipe_table(lines: DataFrame, columns: list[str], column: str = "value") -> DataFrame:
     """Rows of a pipe table with as many cells as columns; header and rule lines are left out."""
-    cells = F.transform(F.split(F.regexp_replace(F.trim(column), r"^\||\|$", ""), r"\|"), F.trim)
+    cells = F.transform(F.split(F.regexp_replace(F.trim(column), r"^\||\|$", ""), r"\|"), lambda x: F.trim(x))
     rows = lines.where(F.trim(column).startswith("|")).select(cells.alias("c")).where((F.size("c") == len(columns)) & ~F.forall("c", lambda x: F.rlike(x, F.lit("^:?-+:?$"))))
     return rows.select(*[F.col("c")[i].alias(n) for i, n in enumerate(columns)])
 
