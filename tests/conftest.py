@@ -7,7 +7,6 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 os.environ["PYTHONPATH"] = ROOT + os.pathsep + os.environ.get("PYTHONPATH", "")
 
-DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 
@@ -32,6 +31,7 @@ def spark():
 @pytest.fixture(scope="session")
 def duck():
     import duckdb
+    from helpers import DATA
 
     c = duckdb.connect()
     c.sql("SET TimeZone = 'UTC'")

@@ -1,4 +1,8 @@
-"""Comparison of Spark rows with DuckDB's, whatever their order."""
+"""Where the test tables are, and the comparison of Spark rows with DuckDB's, whatever their order."""
+
+import os
+
+DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
 def plain(v):

@@ -1,6 +1,5 @@
 import pytest
-from conftest import DATA
-from helpers import same_rows
+from helpers import DATA, same_rows
 
 from lexmill.plans.queries import QUERIES, SQL
 
