@@ -99,6 +99,8 @@ class PairIndexBpe:
 
     def encode_pieces(self, pieces: list[str]) -> list[list[int]]:
         """Ids of each piece, all pieces together by the pair occurrence index."""
+        if not pieces:
+            return []
         sym: list[int] = []
         nxt: list[int] = []
         prv: list[int] = []

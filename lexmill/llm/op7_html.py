@@ -30,7 +30,7 @@ RAW = frozenset("script style textarea title noscript iframe".split())
 #: Elements without an end tag.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements that begin and end a block.
-BLOCKS = frozenset("address article blockquote body caption center dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main nav ol p pre section summary table tbody td tfoot th thead tr ul aside".split())
+BLOCKS = frozenset("address article blockquote body caption center dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main nav ol p pre section summary table tbody td tfoot th thead tr ul aside dialog menu".split())
 #: Words in class, id or role that mark boilerplate.
 HINTS = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner menu nav navbar navigation breadcrumb breadcrumbs sidebar footer header masthead cookie cookies notice consent gdpr popup modal overlay comment comments disqus respond share sharing social related recommended newsletter subscribe signup login search toolbar pagination contentinfo complementary".split())
 ARTICLE = frozenset(("article", "main"))
@@ -155,10 +155,9 @@ def lines_of(page: str) -> _Lines:
         if not boiler and name not in ARTICLE and name not in ("body", "html") and name not in VOID and attrs.strip(" />"):
             boiler = _hinted(attrs)
         if boiler:
-            if name in BLOCKS or name in SILENT:
+            if name in BLOCKS:  # a script or style inside a block does not part it
                 out.end(article > 0)
-                if name not in ("head", "title"):
-                    out.valley()
+                out.valley()
             if name in RAW:
                 low = page.lower() if low is None else low
                 close = low.find("</" + name, end)

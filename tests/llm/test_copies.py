@@ -5,7 +5,7 @@ import random
 import re
 
 import pytest
-from conftest import DATA
+from helpers import DATA
 from pyspark.sql import functions as F
 
 from lexmill.llm import op3_lines, op6_jaccard, op9_decontaminate
@@ -109,7 +109,7 @@ def test_lines_equal_brute_force(spark, make_docs):
     sims = {r.h: r.sim for r in op3_lines.simhashed(df, "doc_id", "text").df.collect()}
     norm = lambda t: re.sub("[\x00-\x2f\x3a-\x60\x7b-\xbf]+", " ", t.lower()).strip()
     texts = {norm(t) for _, d in [*docs, (None, "same line\nnew one")] for t in (d or "").split("\n")} - {""}
-    hashes = {r.t: (r.h, r.w) for r in spark.createDataFrame([(t,) for t in texts], "t string").select("t", F.xxhash64("t").alias("h"), F.transform(F.split("t", " "), F.xxhash64).alias("w")).collect()}
+    hashes = {r.t: (r.h, r.w) for r in spark.createDataFrame([(t,) for t in texts], "t string").select("t", F.xxhash64("t").alias("h"), F.transform(F.split("t", " "), lambda x: F.xxhash64(x)).alias("w")).collect()}
     for t, (h, w) in hashes.items():
         bits = [sum(x >> i & 1 for x in w) * 2 > len(w) for i in range(64)]
         assert sims[h] & (1 << 64) - 1 == sum(1 << i for i, b in enumerate(bits) if b), t
