@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import ast
+import warnings
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -70,3 +75,21 @@ def counts(rows: DataFrame, *columns: str) -> DataFrame:
 def exit_status(errors: DataFrame) -> DataFrame:
     """One row: 1 if there is any error, else 0."""
     return errors.agg((F.count("*") > 0).cast("int").alias("status"), F.count("*").alias("errors"))
+
+
+def syntax_errors(files: DataFrame, path: str = "path", text: str = "text") -> DataFrame:
+    """(path, line, message) of Python sources that don't parse. Nothing is run; only parsing needs Python."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            bad = []
+            for p, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                try:
+                    with warnings.catch_warnings():
+                        warnings.simplefilter("ignore")
+                        ast.parse(t or "")
+                except (SyntaxError, ValueError) as e:
+                    bad.append((p, getattr(e, "lineno", None), getattr(e, "msg", None) or str(e)))
+            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in bad], pa.string()), pa.array([x[1] for x in bad], pa.int32()), pa.array([x[2] for x in bad], pa.string())], names=["path", "line", "message"])
+
+    return files.select(F.col(path).cast("string").alias("path"), F.col(text).cast("string").alias("text")).mapInArrow(run, "path string, line int, message string")

@@ -209,3 +209,19 @@ def import_worker(request: DataFrame, blocks: DataFrame) -> DataFrame:
     got = r.join(b, "id", "full_outer")
     blank = F.coalesce(F.trim("body"), F.lit("")) == ""
     return got.select("id", "source", "body", F.when(F.col("asked").isNull(), "EXTRA").when(F.col("got").isNull() | blank, "MISSING").otherwise("OK").alias("state"))
+
+
+def any_contains(rows: DataFrame, group: str, text: str, needle: str) -> DataFrame:
+    """(group, found): whether any text of a group holds the needle."""
+    return rows.groupBy(group).agg(F.coalesce(F.bool_or(F.contains(text, F.lit(needle))), F.lit(False)).alias("found"))
+
+
+def marked(units: DataFrame, marker: str = "===", status: str = "status", done: str = "TRANSLATED") -> DataFrame:
+    """Translated units whose source holds a marker and whose dest differs."""
+    return units.where(F.contains("source", F.lit(marker)) & (F.col("dest") != F.col("source")) & (F.col(status) == done))
+
+
+def changed_rows(new: DataFrame, old: DataFrame, key: str, *columns: str) -> DataFrame:
+    """Rows of ``new`` that ``old`` lacks or holds with other content: what an incremental writer writes."""
+    was = old.select(key, content_hash(*columns).alias("__hash"))
+    return new.withColumn("__hash", content_hash(*columns)).join(was, [key, "__hash"], "left_anti").drop("__hash")

@@ -506,3 +506,21 @@ def session_counts(spark, d):
     from ..streaming import sessions
 
     return sessions(_t(spark, d, "events")).select("user_id", "start", "n")
+
+
+@_query("existence_check", "SELECT source, coalesce(bool_or(contains(text, 'License')), false) AS found FROM documents GROUP BY source")
+def existence_check(spark, d):
+    return workflow.any_contains(_t(spark, d, "documents"), "source", "text", "License")
+
+
+@_query("marker_filter", f"WITH {UNITS} SELECT unit_id FROM units JOIN labels ON unit_id = doc_id WHERE contains(source, 'License') AND dest <> source AND quality = 1")
+def marker_filter(spark, d):
+    status = _t(spark, d, "labels").select(F.col("doc_id").alias("unit_id"), F.when(F.col("quality") == 1, "TRANSLATED").otherwise("REVIEW").alias("status"))
+    return workflow.marked(_units(spark, d).join(status, "unit_id"), "License").select("unit_id")
+
+
+@_query("incremental_write", "SELECT c_custkey FROM customer WHERE c_custkey % 4 = 0 OR c_custkey % 10 = 9")
+def incremental_write(spark, d):
+    new = _t(spark, d, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    old = new.where("c_custkey % 10 <> 9").withColumn("c_mktsegment", F.when(F.col("c_custkey") % 4 == 0, "OLD").otherwise(F.col("c_mktsegment")))
+    return workflow.changed_rows(new, old, "c_custkey", "c_name", "c_mktsegment").select("c_custkey")

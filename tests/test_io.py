@@ -90,3 +90,8 @@ def test_empty_tables(spark):
     assert workflow.pattern_hits(empty, patterns, "unit_id", "dest", "pattern").count() == 0
     assert validate.exit_status(empty).first().status == 0
     assert workflow.min_by_version(spark.createDataFrame([], "version struct<major:int,minor:int,patch:int>, name string"), "version", "name", (3, 10, 0)).collect() == [(None, None)]
+
+
+def test_syntax_errors(spark):
+    files = spark.createDataFrame([("a.py", "x = 1\n"), ("b.py", "x = (\n"), ("c.py", "\nif True\n    pass"), ("d.py", None)], "path string, text string")
+    assert sorted((r.path, r.line) for r in validate.syntax_errors(files).collect()) == [("b.py", 1), ("c.py", 2)]
