@@ -70,10 +70,12 @@ def test_token_file_of_nothing(docs):
 
 def test_vbyte():
     rng = np.random.default_rng(0)
-    x = (rng.integers(0, 2**32, 999) >> rng.integers(0, 32, 999)).astype(np.uint32)
-    control, data = op4_tokenfile.vbyte_encode(x, np.array([1, 0, 998]))
-    assert (op4_tokenfile.vbyte_decode(control[0], data[0])[:1] == x[:1]).all() and control[1] == b""
-    assert (op4_tokenfile.vbyte_decode(control[2], data[2])[:998] == x[1:]).all()
+    for most in (8, 16, 32):
+        x = (rng.integers(0, 2**most, 1000) >> rng.integers(0, most, 1000)).astype(np.uint32)
+        control, data = op4_tokenfile.vbyte_encode(x, np.array([1, 0, 249]))
+        assert (op4_tokenfile.vbyte_decode(control[0], data[0]) == x[:4]).all() and control[1] == data[1] == b""
+        assert (op4_tokenfile.vbyte_decode(control[2], data[2]) == x[4:]).all()
+        assert (op4_tokenfile.vbyte_decode(b"".join(control), b"".join(data)) == x).all()
     assert op4_tokenfile.vbyte_decode(b"", b"").size == 0
 
 
