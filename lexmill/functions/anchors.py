@@ -30,7 +30,7 @@ def pattern(form: Column) -> Column:
 def anchored(source: Column | str, english: Column | str) -> Column:
     """Whether a source holds an English form as whole words; for one pair of values. Empty forms are nowhere."""
     s, e = (F.col(x) if isinstance(x, str) else x for x in (source, english))
-    return (F.length(e) > 0) & F.exists(plurals(e), lambda f: F.rlike(s, pattern(f)))
+    return (F.length(e) > 0) & F.exists(plurals(e), lambda f: F.contains(s, f) & F.rlike(s, pattern(f)))
 
 
 def tokens(source: Column | str) -> Column:

@@ -16,14 +16,15 @@ def quoted(text: Column) -> Column:
 
 
 def occurrences(text: Column | str, form: Column | str) -> Column:
-    """Start of every occurrence, overlapping ones too. The text is cut before each one in a single pass.
+    """Start of every occurrence, overlapping ones too. The text is cut before each one in a single pass, so all pieces
+    but perhaps the first begin with the form.
 
     An empty or null form occurs nowhere; a null text gives null.
     """
     text, form = _col(text), _col(form)
     pieces = F.split(text, F.concat(F.lit("(?="), quoted(form), F.lit(")")), -1)
     start = F.struct(F.lit(1).alias("at"), F.array().cast("array<int>").alias("found"))
-    step = lambda a, p: F.struct((a["at"] + F.length(p)).alias("at"), F.when(F.startswith(p, form), F.array_append(a["found"], a["at"])).otherwise(a["found"]).alias("found"))
+    step = lambda a, p: F.struct((a["at"] + F.length(p)).alias("at"), F.when((a["at"] > 1) | F.startswith(text, form), F.array_append(a["found"], a["at"])).otherwise(a["found"]).alias("found"))
     return F.when((F.length(form) > 0) & F.contains(text, form), F.aggregate(pieces, start, step, lambda a: a["found"])).otherwise(F.when(text.isNotNull(), F.array().cast("array<int>")))
 
 
@@ -57,7 +58,8 @@ def next_to(text: Column, pos: Column, form: Column, left: Column, right: Column
 def split_by_ellipsis(text: Column, pos: Column, form: Column, target: Column) -> Column:
     """Whether the form begins the target and its rest follows after a run of dots: a faithful partial form."""
     rest = F.substr(target, F.length(form) + 1)
-    return F.startswith(target, form) & (F.length(rest) > 0) & F.rlike(text_after(text, pos, form), F.concat(F.lit(r"^(\.{2,}|…+)"), quoted(rest)))
+    dots = F.substr(text, pos + F.length(form), F.lit(1)).isin(".", "…")  # cheap, and mostly false
+    return F.startswith(target, form) & (F.length(rest) > 0) & dots & F.rlike(text_after(text, pos, form), F.concat(F.lit(r"^(\.{2,}|…+)"), quoted(rest)))
 
 
 def stripped(text: Column | str) -> Column:

@@ -60,6 +60,11 @@ def each(items: Column, rule: Callable[[Column], Column]) -> Column:
     return F.when(F.size(items) > 0, F.flatten(F.transform(items, rule))).otherwise(none())
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """The body with a value that is evaluated once, however often the body names it."""
+    return F.transform(F.array(value), body)[0]
+
+
 Rule = Callable[[Column, Column, Column, GateConfig], Column]
 RULES: dict[str, Rule] = {}
 
@@ -140,9 +145,7 @@ def global_ban(source, dest, contract, config):
     whose English form is in the source. A declared exemption, if all occurrences satisfy it, leaves a warning.
     """
     bans, exemptions = contract["global_bans"], contract["global_ban_exemptions"]
-    here = F.transform(bans, lambda b: F.coalesce(anchored(source, b["english"]), F.lit(False)))
-    due = F.filter(F.arrays_zip(bans.alias("ban"), here.alias("here")), lambda z: z["here"] | F.coalesce(z["ban"]["unconditional"], F.lit(False)))
-    elsewhere = F.transform(F.filter(F.arrays_zip(bans.alias("ban"), here.alias("here")), lambda z: z["here"]), lambda z: F.struct(z["ban"]["english"].alias("english"), z["ban"]["target"].alias("target")))
+    found = F.transform(bans, lambda b: F.struct(b.alias("ban"), F.coalesce(anchored(source, b["english"]), F.lit(False)).alias("here")))
 
     def exempt(b: Column, f: Column) -> Column:
         def satisfied(e: Column) -> Column:
@@ -152,15 +155,16 @@ def global_ban(source, dest, contract, config):
 
         return F.coalesce(F.exists(exemptions, satisfied), F.lit(False))
 
-    def form(b: Column, f: Column) -> Column:
+    def form(b: Column, f: Column, all_: Column) -> Column:
         target = F.coalesce(b["target"], F.lit(""))
         spans = F.filter(uncovered(dest, f, target), lambda p: ~split_by_ellipsis(dest, p, f, target))
-        other = F.exists(elsewhere, lambda o: (o["target"] == f) & (o["english"] != b["english"]))
-        severity = F.when(exempt(b, f), WARNING).otherwise(FAIL)
-        found = F.transform(spans, lambda p: F.struct(F.lit("TERM004").alias("code"), severity.alias("severity"), b["english"].alias("term_id"), f.alias("form"), p.alias("pos"), target.alias("expected"), b["reason"].alias("reason")))
-        return F.when(other, none()).otherwise(found)
+        other = F.exists(all_, lambda o: o["here"] & (o["ban"]["target"] == f) & (o["ban"]["english"] != b["english"]))
+        row = lambda p, severity: F.struct(F.lit("TERM004").alias("code"), severity.alias("severity"), b["english"].alias("term_id"), f.alias("form"), p.alias("pos"), target.alias("expected"), b["reason"].alias("reason"))
+        found = let(F.when(exempt(b, f), WARNING).otherwise(FAIL), lambda severity: F.transform(spans, lambda p: row(p, severity)))
+        return F.when(F.coalesce(other, F.lit(False)) | ~F.contains(dest, f), none()).otherwise(found)
 
-    hits = each(due, lambda z: each(z["ban"]["forbidden"], lambda f: form(z["ban"], f)))
+    due = lambda all_: F.filter(all_, lambda z: z["here"] | F.coalesce(z["ban"]["unconditional"], F.lit(False)))
+    hits = let(found, lambda all_: each(due(all_), lambda z: each(z["ban"]["forbidden"], lambda f: form(z["ban"], f, all_))))
     return F.when(F.coalesce((dest != source) & (F.size(bans) > 0), F.lit(False)), hits).otherwise(none())
 
 
@@ -186,8 +190,10 @@ def charset(source, dest, contract, config):
     d = dest
     for p in config.allowed_phrases:
         d = F.replace(d, F.lit(p), F.lit(""))
-    hit = F.rlike(d, F.lit(f"[{TRADITIONAL_ONLY}{'「」' if config.corner_quotes else ''}]"))
-    return when(hit, violation("CHAR001", FAIL, form=F.array_join(F.array_distinct(F.regexp_extract_all(d, F.lit(f"[{TRADITIONAL_ONLY}「」]"), F.lit(0))), "")))
+    # The range goes first: most characters fail it, and a class of many characters is slow to fail.
+    han = r"(?=[\u3400-\u9FFF「」])"
+    hit = F.rlike(d, F.lit(f"{han}[{TRADITIONAL_ONLY}{'「」' if config.corner_quotes else ''}]"))
+    return when(hit, violation("CHAR001", FAIL, form=F.array_join(F.array_distinct(F.regexp_extract_all(d, F.lit(f"{han}[{TRADITIONAL_ONLY}「」]"), F.lit(0))), "")))
 
 
 @_rule("interjection")
