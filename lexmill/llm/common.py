@@ -33,13 +33,22 @@ def shared_dir(spark: SparkSession) -> str:
     return at.rstrip("/")
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 class Stage:
     """A table written to the shared folder: it cuts lineage and survives lost executors."""
 
     def __init__(self, df: DataFrame, label: str, codec: str = "zstd"):
         spark = df.sparkSession
         self.path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
-        df.write.option("compression", codec).parquet(self.path)
+        # Once the table is written nothing reads the shuffles behind it.
+        before = spark.conf.get(_CLEANUP, None)
+        spark.conf.set(_CLEANUP, "true")
+        try:
+            df.write.option("compression", codec).parquet(self.path)
+        finally:
+            spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
         self.df = spark.read.schema(df.schema).parquet(self.path)
 
     def drop(self) -> None:
