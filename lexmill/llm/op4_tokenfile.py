@@ -24,82 +24,88 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import Stage, bound_batches, pick, table
+from .op2_bpe import byte_chars
 
 END_ID = 2
 #: Tokens in a block and (about) in a range of doc_id; ranges at most.
 BLOCK_TOKENS = 1 << 19
 BUCKET_TOKENS = 1 << 23
 MOST_BUCKETS = 4096
-#: Pieces whose ids a worker keeps in each of two generations; when the younger is full, the older goes.
-KEPT = 250_000
+#: Pieces whose ids a worker keeps in each of two generations.
+KEPT = 500_000
+#: Plain texts, and how the library cuts them: every character of U+00F8 to U+024F is a letter.
 PLAIN = re.compile(r"[\t\n\r\x20-\x7e\xa1-ɏ]*")
+CUT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-zªµºÀ-ÖØ-öø-ɏ]+| ?[0-9²³¹¼-¾]+| ?[^\sA-Za-zªµºÀ-ÖØ-öø-ɏ0-9²³¹¼-¾]+|\s+(?!\S)|\s+")
 
-#: Bytes of each of the four ids that a control byte describes.
-LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3).astype(np.int64) + 1
-MASKS = np.array([0, 0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF], np.uint32)
+#: Bytes of each of the four numbers that a control byte describes.
+LENGTHS = (((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3) + 1).astype(np.uint8)
 
 
 class CachedEncoder:
-    """The library's encoder with a bounded table, in two generations, of the pieces met before."""
+    """The library's encoder; pieces of plain texts are cut here, and a bounded table keeps their ids.
 
-    def __init__(self, path: str):
+    The table has two generations: when the younger is full, the older goes. Ids come in the given type of array.
+    """
+
+    def __init__(self, path: str, kind: str = "I"):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        import public_tokenizers
         from tokenizers import Tokenizer
 
-        self.library = Tokenizer.from_file(path)
+        self.library, self.kind = Tokenizer.from_file(path), kind
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.size = self.library.get_vocab_size(with_added_tokens=True)
-        self._cut = regex.compile(public_tokenizers.PATTERN)
+        # Only pieces that are not in the table reach the model, so a table of its own would cost and find nothing.
+        self.model = Tokenizer.from_file(path).model
+        if hasattr(self.model, "_resize_cache"):
+            self.model._resize_cache(0)
+        self._chars = byte_chars()
         self._known: dict[str, bytes] = {}
         self._older: dict[str, bytes] = {}
 
-    def _packed(self, texts: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self.library.encode_batch(texts, add_special_tokens=False)] if texts else []
-
-    def _learn(self, fresh: list[str]) -> None:
-        """Pieces that are a space and letters are cut apart again in any row of them, so they are encoded together."""
-        words = [p for p in fresh if p[0] == " " and p[1:].isalpha()]
-        rows = [words[i : i + 2048] for i in range(0, len(words), 2048)]
-        for row, e in zip(rows, self.library.encode_batch(["".join(r) for r in rows], add_special_tokens=False) if rows else [], strict=True):
-            ids, of = np.array(e.ids, "<u4").tobytes(), np.array(e.word_ids)
-            cut = (np.searchsorted(of, np.arange(len(row) + 1)) * 4).tolist()
-            self._known.update((p, ids[a:b]) for p, a, b in zip(row, cut[:-1], cut[1:], strict=True))
-        rest = [p for p in fresh if p not in self._known]
-        self._known.update(zip(rest, self._packed(rest), strict=True))
+    def _piece(self, piece: str) -> bytes:
+        easy = piece.isascii() and piece.isprintable()
+        shown = piece.replace(" ", self._chars[32]) if easy else "".join(map(self._chars.__getitem__, piece.encode()))
+        return array(self.kind, [t.id for t in self.model.tokenize(shown)]).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
+        """Ids of each text, packed."""
         if len(self._known) > KEPT:
             self._older, self._known = self._known, {}
-        known, older, cut, new, whole = self._known, self._older, [], set(), {}
-        for i, t in enumerate(texts):
-            if PLAIN.fullmatch(t) and not any(s in t for s in self.special):
-                c = self._cut.findall(t)
-                new.update(c)
-                cut.append(c)
-            else:
-                whole[i] = None
-                cut.append([])
-        new.difference_update(known)
-        known.update({p: older[p] for p in new if p in older})
-        self._learn([p for p in new if p not in older])
-        whole = dict(zip(whole, self._packed([texts[i] for i in whole]), strict=True))
-        return [whole[i] if i in whole else b"".join(map(known.__getitem__, c)) for i, c in enumerate(cut)]
-
-
-_LOADED: dict[str, CachedEncoder] = {}
-
-
-def worker_encoder(path: str) -> CachedEncoder:
-    if path not in _LOADED:
-        _LOADED[path] = CachedEncoder(path)
-    return _LOADED[path]
+        known, older, find = self._known, self._older, self._known.get
+        out: list[bytes] = []
+        for t in texts:
+            plain = t.replace("\n", "").isprintable() if t.isascii() else PLAIN.fullmatch(t)
+            if not plain or any(s in t for s in self.special):
+                out.append(array(self.kind, self.library.encode(t, add_special_tokens=False).ids).tobytes())
+                continue
+            pieces = CUT.findall(t)
+            got = list(map(find, pieces))
+            at = -1
+            while True:
+                try:
+                    at = got.index(None, at + 1)
+                except ValueError:
+                    break
+                p = pieces[at]
+                ids = find(p)
+                if ids is None:
+                    ids = older.get(p)
+                    known[p] = ids = self._piece(p) if ids is None else ids
+                got[at] = ids
+            out.append(b"".join(got))
+        return out
+
+
+_LOADED: dict[tuple[str, str], CachedEncoder] = {}
+
+
+def worker_encoder(path: str, kind: str) -> CachedEncoder:
+    if (path, kind) not in _LOADED:
+        _LOADED[path, kind] = CachedEncoder(path, kind)
+    return _LOADED[path, kind]
 
 
 def default_path() -> str:
@@ -108,39 +114,58 @@ def default_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-def vbyte_encode(ranks: np.ndarray) -> tuple[bytes, bytes]:
-    """Control bytes and data bytes of unsigned 32-bit numbers; the last group is filled up with zeros."""
-    n = -len(ranks) % 4
-    r = np.concatenate([ranks, np.zeros(n, ranks.dtype)]).astype("<u4")
-    code = (r > 0xFF).astype(np.uint8) + (r > 0xFFFF) + (r > 0xFFFFFF)
+def vbyte_encode(numbers: np.ndarray, groups: np.ndarray) -> tuple[list[bytes], list[bytes]]:
+    """Control bytes and data bytes of runs of unsigned 32-bit numbers. groups: of four numbers, in each run."""
+    if not len(groups):
+        return [], []
+    code = (numbers > 0xFF).astype(np.uint8)
+    wide = 2 if not len(numbers) or numbers.max() <= 0xFFFF else 4
+    if wide == 4:
+        code += numbers > 0xFFFF
+        code += numbers > 0xFFFFFF
     control = (code.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(axis=1, dtype=np.uint8)
-    data = r.view(np.uint8).reshape(-1, 4)[np.arange(4) <= code[:, None]]
-    return control.tobytes(), data.tobytes()
+    raw = numbers.astype(f"<u{wide}").view(np.uint8).reshape(-1, wide)
+    data = raw[np.arange(wide) <= code[:, None]].tobytes()
+    ends = np.cumsum(groups)
+    before = np.concatenate(([0], np.cumsum(LENGTHS[control].sum(axis=1, dtype=np.int64))))
+    at, cut, control = [0, *ends.tolist()], [0, *before[ends].tolist()], control.tobytes()
+    return [control[a:b] for a, b in zip(at[:-1], at[1:], strict=True)], [data[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)]
 
 
 def vbyte_decode(control: bytes, data: bytes) -> np.ndarray:
-    """All numbers of whole groups, the filling included."""
+    """All numbers, those that fill up last groups included: lengths by table, places by their running sum."""
     size = LENGTHS[np.frombuffer(control, np.uint8)].ravel()
-    at = np.cumsum(size) - size
-    d = np.frombuffer(data + b"\0\0\0", np.uint8).astype(np.uint32)
     if not len(size):
         return np.zeros(0, np.uint32)
-    return (d[at] | d[at + 1] << np.uint32(8) | d[at + 2] << np.uint32(16) | d[at + 3] << np.uint32(24)) & MASKS[size]
+    end = np.cumsum(size, dtype=np.int64)
+    d = np.frombuffer(data, np.uint8)
+    out = d[end - size].astype(np.uint32)
+    for k in range(1, int(size.max())):
+        longer = np.flatnonzero(size > k)
+        out[longer] |= d[end[longer] - size[longer] + k].astype(np.uint32) << np.uint32(8 * k)
+    return out
 
 
 def tokenize(docs: DataFrame, path: str, end_id: int, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, ids): ids in two bytes each where the vocabulary allows it, the end id included."""
+    """(key, ids, counts): ids in two bytes each where the vocabulary allows it, the end id included.
+
+    The last row of each task has no ids, but how often the task has met each id.
+    """
     src = pick(docs, key, text)
     kind = _kind(path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = worker_encoder(path)
+        enc = worker_encoder(path, "H" if kind == "<u2" else "I")
+        end, total = np.array([end_id], kind).tobytes(), np.zeros(end_id + 1, np.int64)
         for b in batches:
-            ids = enc.encode([t or "" for t in b.column(1).to_pylist()])
-            packed = [np.append(np.frombuffer(x, "<u4"), np.uint32(end_id)).astype(kind).tobytes() for x in ids]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(packed, pa.binary())], names=[key, "ids"])
+            packed = [x + end for x in enc.encode([t or "" for t in b.column(1).to_pylist()])]
+            n = np.bincount(np.frombuffer(b"".join(packed), kind), minlength=len(total))
+            n[: len(total)] += total
+            total = n
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(packed, pa.binary()), pa.nulls(len(packed), pa.binary())], names=[key, "ids", "counts"])
+        yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([total.astype("<i8").tobytes()], pa.binary())], names=[key, "ids", "counts"])
 
-    return src.mapInArrow(run, f"`{key}` {dict(src.dtypes)[key]}, ids binary")
+    return src.mapInArrow(run, f"`{key}` bigint, ids binary, counts binary")
 
 
 def _kind(path: str) -> str:
@@ -180,43 +205,39 @@ def write(docs: DataFrame, path: str | None = None, end_id: int = END_ID, key: s
     bound_batches(spark)
     path = path or default_path()
     kind = _kind(path)
-    staged = Stage(tokenize(docs.select(F.col(key).cast("bigint").alias(key), F.col(text).cast("string").alias(text)), path, end_id, key, text), "tokens")
+    staged = Stage(tokenize(docs.select(F.col(key).cast("bigint").alias(key), F.col(text).cast("string").alias(text)), path, end_id, key, text), "tokens", "lz4")
+    rows = staged.df.where("ids is not null").select(key, "ids")
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0, np.int64)
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for x in b.column(0).to_pylist():
-                c = np.bincount(np.frombuffer(x, kind))
-                if len(c) > len(total):
-                    total = np.concatenate([total, np.zeros(len(c) - len(total), np.int64)])
-                total[: len(c)] += c
-        seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen], pa.int64())], names=["id", "n"])
+                n = np.frombuffer(x, "<i8")
+                seen = np.flatnonzero(n)
+                yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(n[seen], pa.int64())], names=["id", "n"])
 
     # At most one row for each entry of the vocabulary.
-    counts = staged.df.select("ids").mapInArrow(count, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n")).collect()
+    counts = staged.df.where("counts is not null").select("counts").mapInArrow(unpack, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n")).collect()
     ranked = sorted(counts, key=lambda r: (-r.n, r.id))
     ids_by_rank = np.array([r.id for r in ranked], np.int64)
     rank_of = np.zeros(int(ids_by_rank.max(initial=0)) + 1, np.uint32)
     rank_of[ids_by_rank] = np.arange(len(ids_by_rank), dtype=np.uint32)
-    tokens = sum(r.n for r in counts)
+    common = np.array(ids_by_rank[:1], kind).tobytes()
+    fill, tokens = common * 3, sum(r.n for r in counts)
     buckets = min(MOST_BUCKETS, max(1, math.ceil(tokens / BUCKET_TOKENS)))
-    cuts = np.array(staged.df.approxQuantile(key, [i / buckets for i in range(1, buckets)], 0.2 / buckets) if buckets > 1 else [], np.float64)
+    cuts = np.array(rows.approxQuantile(key, [i / buckets for i in range(1, buckets)], 0.2 / buckets) if buckets > 1 else [], np.float64)
     cuts = np.unique(cuts.astype(np.int64))
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keys, n, control, data = b.column(0).to_pylist(), [], [], []
-            for x in b.column(1).to_pylist():
-                ids = np.frombuffer(x, kind)
-                c, d = vbyte_encode(rank_of[ids])
-                n.append(len(ids))
-                control.append(c)
-                data.append(d)
+            keys, packed = b.column(0).to_pylist(), b.column(1).to_pylist()
+            n = np.array([len(x) for x in packed], np.int64) // np.dtype(kind).itemsize
+            # The commonest id has rank 0, which fills up last groups.
+            filled = b"".join([part for x, k in zip(packed, n.tolist(), strict=True) for part in (x, fill[: -k % 4 * len(common)])])
+            control, data = vbyte_encode(rank_of[np.frombuffer(filled, kind)], -(-n // 4))
             bucket = [0 if k is None else int(np.searchsorted(cuts, k, side="right")) for k in keys]
             yield pa.RecordBatch.from_arrays([pa.array(bucket, pa.int32()), b.column(0), pa.array(n, pa.int64()), pa.array(control, pa.binary()), pa.array(data, pa.binary())], names=["bucket", key, "n", "control", "data"])
 
-    coded = staged.df.mapInArrow(code, f"bucket int, `{key}` bigint, n bigint, control binary, data binary")
+    coded = rows.mapInArrow(code, f"bucket int, `{key}` bigint, n bigint, control binary, data binary")
     dealt = coded.repartition(max(1, len(cuts) + 1), "bucket").sortWithinPartitions("bucket", F.col(key).asc_nulls_first(), "control", "data")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -243,7 +264,7 @@ def write(docs: DataFrame, path: str | None = None, end_id: int = END_ID, key: s
         if held:
             yield block()
 
-    blocks = Stage(dealt.mapInArrow(pack, "bucket int, seq bigint, start bigint, doc_ids array<bigint>, counts binary, control binary, data binary"), "token-blocks")
+    blocks = Stage(dealt.mapInArrow(pack, "bucket int, seq bigint, start bigint, doc_ids array<bigint>, counts binary, control binary, data binary"), "token-blocks", "lz4")
     last = blocks.df.groupBy("bucket").agg(F.max_by(F.struct("start", "counts"), "seq").alias("last")).collect()  # a row a bucket
     base, before = {}, 0
     for r in sorted(last, key=lambda r: r.bucket):
