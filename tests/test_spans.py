@@ -42,7 +42,7 @@ def test_split_target(spark):
     assert [r[0] for r in df.select(split_by_ellipsis(F.col("t"), F.lit(1), F.lit("晨星"), F.lit("晨星月"))).collect()] == [True, True, False, False]
 
 
-CASES = [("High Elves came", "High Elf", True), ("PreSolstheim-era", "Solstheim", False), ("归来Helgen了", "Helgen", True), ("Delphine's note", "Delphine", True), ("mudcrabs", "Mudcrab", False), ("Two Cities", "City", True), ("x_Orc", "Orc", False), ("a.b here", "a.b", True), ("acb here", "a.b", False), (None, "x", None)]
+CASES = [("High Elves came", "High Elf", True), ("PreBrightholm-era", "Brightholm", False), ("归来Harlow了", "Harlow", True), ("Marion's note", "Marion", True), ("sandcrabs", "Sandcrab", False), ("Two Cities", "City", True), ("x_Orc", "Orc", False), ("a.b here", "a.b", True), ("acb here", "a.b", False), (None, "x", None)]
 
 
 def test_anchors_agree(spark):
