@@ -131,6 +131,25 @@ def test_lines_equal_brute_force(spark, make_docs):
     assert len(rows) == df.count() and dict(rows) == want
 
 
+def test_wide_lines_equal_edit_similarity(make_docs):
+    """Lines that are near by edit distance are one group, whatever their SimHashes say."""
+    rng, lines = random.Random(8), ["abcde", "abcdx", "hunderteins", "hundertzwei", "天地玄黄宇宙洪荒日月盈昃辰宿列张寒来暑往", "天地玄黄宇宙洪荒日月盈昃辰宿列張寒来暑往"]
+    for n in (2, 3, 4, 5, 6, 8, 10, 14, 20, 30, 50, 80):
+        for _ in range(4):
+            words = prose(rng, n)
+            typo = list(words)
+            typo[rng.randrange(n)] += "q"
+            lines += [" ".join(words), " ".join(typo), " ".join(prose(rng, n))]
+    near = [(a, b) for a, b in itertools.combinations(sorted(set(lines)), 2) if abs(len(a) - len(b)) <= len(max(a, b, key=len)) * 0.2 and distance(a, b) <= int(max(len(a), len(b)) * 0.2 + 1e-9)]
+    group, seen, want = classes(set(lines), near), set(), []
+    for t in lines:
+        if group[t] not in seen:
+            want.append(t)
+        seen.add(group[t])
+    got = {r.doc_id: r.text for r in op3_lines.dedup(make_docs(list(enumerate(lines))), wide=True).collect()}
+    assert len(near) >= 48 and [got[i] for i in sorted(got) if got[i]] == want
+
+
 def test_lines_of_nothing(make_docs):
     assert op3_lines.dedup(make_docs([])).count() == 0
     assert op3_lines.dedup(make_docs([(1, None), (2, "a")])).count() == 2
