@@ -5,11 +5,19 @@ space between words reduced to one space. The SHA-256 of the entire canonical te
 licence texts; the same digests are looked up for each line, which finds notices inside longer texts. The known texts are
 a fixed list, so the broadcast side has a fixed size; documents are never shuffled.
 
+Known are the notices and texts of KNOWN and the files in ``licenses``, each in the forms that files really have: with and
+without its usual titles and "All rights reserved.", without what follows the terms, numbered or not. A text that differs
+in a word from all of these is not found.
+
 Null texts are the empty text and match nothing; repeated rows give repeated results.
 """
 
 from __future__ import annotations
 
+import re
+from functools import cache
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,6 +50,19 @@ THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH RE
 THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.""",
     ),
 ]
+#: Title lines that files of these licences may open with.
+TITLES = {
+    "MIT": ["MIT License", "The MIT License", "The MIT License (MIT)", "MIT License (MIT)"],
+    "ISC": ["ISC License", "The ISC License", "ISC License (ISC)", "The ISC License (ISC)"],
+    "0BSD": ["BSD Zero Clause License", "Zero-Clause BSD", "BSD Zero Clause License (0BSD)", "Zero-Clause BSD (0BSD)"],
+    "BSD-2-Clause": ["BSD 2-Clause License", "The BSD 2-Clause License", "The 2-Clause BSD License", "Simplified BSD License", "BSD License"],
+    "BSD-3-Clause": ["BSD 3-Clause License", "The BSD 3-Clause License", "The 3-Clause BSD License", "New BSD License", "Modified BSD License", "BSD License"],
+    "Zlib": ["zlib License", "The zlib License", "zlib/libpng License", "The zlib/libpng License"],
+    "BSL-1.0": ["Boost Software License 1.0"],
+    "Unlicense": ["The Unlicense", "Unlicense"],
+}
+#: Where the terms end in texts that have more to say.
+END_OF_TERMS = "END OF TERMS AND CONDITIONS"
 #: Spellings that count as one, after case and punctuation.
 SPELLINGS = [("licence", "license"), ("sub license", "sublicense"), ("non infringement", "noninfringement"), ("organisation", "organization"), ("favour", "favor"), ("http ", "https ")]
 #: Patterns that Java and RE2 read alike.
@@ -64,9 +85,33 @@ def digest_of(line: Column) -> Column:
     return F.sha2(F.trim(line).cast("binary"), 256)
 
 
+def forms(name: str, text: str) -> list[str]:
+    """The text of a licence as its files have it."""
+    out = [text]
+    if END_OF_TERMS in text:  # with the appendix, without it, and where its copyright line is filled in
+        head = text[: text.index(END_OF_TERMS)]
+        out += [head + END_OF_TERMS, head, re.sub(r"\n[ ]*Copyright \[yyyy\][^\n]*", "", text)]
+    if name == "BSL-1.0":
+        out.append(text.split("\n", 1)[1])
+    if name.startswith("BSD-"):
+        out += [x.replace("COPYRIGHT\nHOLDER OR", "COPYRIGHT\nOWNER OR") for x in out]
+        out += [re.sub(r"(?m)^[0-9]\. ", "* ", x) for x in out]
+        out += ["All rights reserved.\n" + x for x in out]
+    elif name in ("MIT", "ISC", "0BSD"):
+        out.append("All rights reserved.\n" + text)
+    return out + [f"{title}\n{x}" for title in TITLES.get(name, []) for x in out]
+
+
+@cache
+def all_known() -> list[tuple[str, str]]:
+    """(name, text) of KNOWN, then of all forms of its licences and of the files."""
+    files = [(p.stem, p.read_text(encoding="utf-8")) for p in sorted((Path(__file__).parent / "licenses").glob("*.txt"))]
+    return KNOWN + [(n, x) for n, t in [*(k for k in KNOWN if k[0] in TITLES), *files] for x in forms(n, t)]
+
+
 def known_digests(spark: SparkSession, known: list[tuple[str, str]] | None = None) -> list[tuple[str, str]]:
     """(digest, name) of the known texts; a name whose canonical text another one has already is left out."""
-    rows = spark.createDataFrame([(i, n, t) for i, (n, t) in enumerate(known or KNOWN)], "i int, name string, text string")
+    rows = spark.createDataFrame([(i, n, t) for i, (n, t) in enumerate(known or all_known())], "i int, name string, text string")
     got = rows.select("i", "name", digest_of(F.regexp_replace(canonical_lines(F.col("text")), "[ \n]+", " ")).alias("digest")).orderBy("i").collect()
     out: dict[str, str] = {}
     for r in got:

@@ -2,6 +2,7 @@
 
 import hashlib
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -117,3 +118,24 @@ def test_licences(make_docs):
     rows = make_docs([(1, mit), (2, changed), (3, mit + " But not quite."), (4, None), (5, ""), (6, "story\nReleased under the MIT Licence!\nstory\nAll rights reserved"), (6, "x")])
     got = sorted((r.doc_id, r.license, r.notices, r.n_notices) for r in op8_licenses.scan(rows).collect())
     assert got == [(1, "MIT", "", 0), (2, "MIT", "", 0), (3, None, "", 0), (4, None, "", 0), (5, None, "", 0), (6, None, "", 0), (6, None, "MIT-notice,all-rights-reserved", 2)]
+
+
+def test_licence_files(make_docs):
+    """Whole licence files, as projects have them."""
+    of = lambda name: (Path(op8_licenses.__file__).parent / "licenses" / f"{name}.txt").read_text()
+    mit, apache = dict(op8_licenses.KNOWN)["MIT"], of("Apache-2.0")
+    files = {
+        1: ("MIT", "MIT License\n\nCopyright (c) 2021 Someone\n\n" + mit),
+        2: ("ISC", "ISC License\n\nCopyright (c) 2021, Someone\n\n" + dict(op8_licenses.KNOWN)["ISC"]),
+        3: ("Apache-2.0", apache),
+        4: ("Apache-2.0", apache.replace("[yyyy] [name of copyright owner]", "2020 Someone")),
+        5: ("Apache-2.0", apache[: apache.index("APPENDIX")]),
+        6: ("BSD-3-Clause", "BSD 3-Clause License\n\nCopyright (c) 2020, Someone\nAll rights reserved.\n\n" + of("BSD-3-Clause")),
+        7: ("BSD-2-Clause", "Copyright 2020 Someone\n\n" + of("BSD-2-Clause").replace("1. ", "* ").replace("2. ", "* ")),
+        8: (None, "MIT License\n\nCopyright (c) 2021 Someone\n\n" + mit + "\nNo use on Sundays."),
+        9: (None, "MIT License"),
+    }
+    names = "GPL-1.0 GPL-2.0 GPL-3.0 LGPL-2.0 LGPL-2.1 LGPL-3.0 GFDL-1.2 GFDL-1.3 MPL-1.1 MPL-2.0 CC0-1.0 Unlicense BSL-1.0 Zlib".split()
+    files |= {20 + i: (n, of(n)) for i, n in enumerate(names)}
+    got = {r.doc_id: r.license for r in op8_licenses.scan(make_docs([(i, t) for i, (_, t) in files.items()])).collect()}
+    assert got == {i: n for i, (n, _) in files.items()}
