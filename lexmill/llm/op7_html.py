@@ -6,8 +6,11 @@ where the sums surge above a threshold the main text begins, where they dive it
 Two things bend the raw lengths before the sums are taken, because whole pages often have a single source line and
 adverts can be as long as a paragraph:
 
-* elements that are boilerplate by tag or by class, id or role leave an empty line (a valley in the distribution);
-* text inside links does not count, and where a page marks its article, lines outside it do not count either.
+* elements that are boilerplate by tag or by class, id or role leave an empty line (a valley in the distribution); but a
+  block with such a class outside an article is a wrapper, and stays, if it holds more than half of the page's text;
+* text inside links does not count;
+* where a page has articles (article, main), lengths inside and outside are weighed by the share of the text on their
+  side, the inside counted MARK times; so the mark helps an article, but cards in article elements do not beat the body.
 
 Nulls and pages without text give an empty text. Rows are independent, so repeated rows give repeated results.
 """
@@ -40,6 +43,8 @@ _NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 _WORD = re.compile(r"[a-z]+|[A-Z][a-z]*")
 
 WINDOW = 3
+#: How many times the text inside articles counts where it is weighed against the text outside.
+MARK = 4
 THRESHOLD = 80.0
 
 
@@ -69,12 +74,15 @@ def _tag_end(page: str, at: int) -> int:
 
 
 class _Lines:
-    """Lines of a page with the length that counts, and whether they are in an article."""
+    """Lines of a page with the length that counts, whether they are in an article, and in which hinted blocks."""
 
     def __init__(self):
         self.text: list[str] = []
         self.length: list[int] = []
         self.inside: list[bool] = []
+        self.within: list[tuple[int, ...]] = []
+        self.scopes: tuple[int, ...] = ()
+        self.in_article: list[bool] = []  # of each hinted block
         self.parts: list[str] = []
         self.linked = 0
 
@@ -90,6 +98,7 @@ class _Lines:
                 self.text.append(line)
                 self.length.append(max(0, len(line) - self.linked))
                 self.inside.append(inside)
+                self.within.append(self.scopes)
             self.parts = []
         self.linked = 0
 
@@ -97,6 +106,19 @@ class _Lines:
         self.text.append("")
         self.length.append(0)
         self.inside.append(False)
+        self.within.append(self.scopes)
+
+    def drop_hinted(self) -> None:
+        """Without the lines of hinted blocks, but for wrappers that hold most of the text."""
+        held = [0] * len(self.in_article)
+        for x, scopes in zip(self.length, self.within, strict=True):
+            for k in scopes:
+                held[k] += x
+        total = sum(self.length)
+        stays = [not a and 2 * x > total for a, x in zip(self.in_article, held, strict=True)]
+        keep = [all(stays[k] for k in scopes) for scopes in self.within]
+        for name in ("text", "length", "inside"):
+            setattr(self, name, [x for x, y in zip(getattr(self, name), keep, strict=True) if y])
 
 
 def lines_of(page: str) -> _Lines:
@@ -104,6 +126,7 @@ def lines_of(page: str) -> _Lines:
     article = link = 0
     silent, depth = "", 0  # the element that silences, and how many of its name are open
     low = None
+    hinted: list[list] = []  # open hinted blocks: name, and how many of that name are open
     while i < n:
         at = page.find("<", i)
         if at < 0:
@@ -142,6 +165,16 @@ def lines_of(page: str) -> _Lines:
                 silent = ""
             else:
                 continue
+        if hinted:
+            if (name in ARTICLE and not closing and not article) or (closing and name in ("body", "html")):
+                out.end(article > 0)
+                hinted, out.scopes = [], ()  # nor does an unclosed hinted block
+            elif name == hinted[-1][0]:
+                hinted[-1][1] += -1 if closing else 1
+                if not hinted[-1][1]:
+                    out.end(article > 0)
+                    hinted.pop()
+                    out.scopes = out.scopes[:-1]
         if closing:
             if name == "a":
                 link = max(0, link - 1)
@@ -154,6 +187,15 @@ def lines_of(page: str) -> _Lines:
         boiler = name in SILENT or (name == "header" and not article)
         if not boiler and name not in ARTICLE and name not in ("body", "html") and name not in VOID and attrs.strip(" />"):
             boiler = _hinted(attrs)
+            if boiler and name in BLOCKS and not attrs.endswith("/>"):
+                out.end(article > 0)
+                out.valley()
+                if hinted and hinted[-1][0] == name:
+                    hinted[-1][1] -= 1  # it was counted above
+                hinted.append([name, 1])
+                out.scopes += (len(out.in_article),)
+                out.in_article.append(article > 0)
+                continue
         if boiler:
             if name in BLOCKS:  # a script or style inside a block does not part it
                 out.end(article > 0)
@@ -175,6 +217,7 @@ def lines_of(page: str) -> _Lines:
         if name in ARTICLE:
             article += 1
     out.end(article > 0)
+    out.drop_hinted()
     return out
 
 
@@ -183,19 +226,21 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     got = lines_of(page)
-    marked = any(got.inside)
-    length = [(max(1, x) if y else 0) if marked else x for x, y in zip(got.length, got.inside, strict=True)]
+    inside = MARK * sum(x for x, y in zip(got.length, got.inside, strict=True) if y)
+    outside = sum(x for x, y in zip(got.length, got.inside, strict=True) if not y)
+    share = inside / (inside + outside) if inside else 0
+    length = [x * (share if y else 1 - share) for x, y in zip(got.length, got.inside, strict=True)]
     n = len(length)
-    sums = [0] * (n + 1)
+    sums = [0.0] * (n + 1)
     for i, x in enumerate(length):
         sums[i + 1] = sums[i] + x
     block = [sums[min(n, i + WINDOW)] - sums[i] for i in range(n)]
     most = max(block, default=0)
     if most <= 0:
         return ""
-    least = 0.0 if marked else min(THRESHOLD, 0.2 * most)
+    least = min(THRESHOLD, 0.2 * most)
     kept: list[str] = []
-    i = 0
+    i = done = 0
     while i < n:
         if block[i] <= least:
             i += 1
@@ -206,8 +251,13 @@ def main_text(page: str | None) -> str:
         end = min(n, j + WINDOW - 1) if j < n else n
         first = next(k for k in range(i, n) if length[k] > 0)
         last = max((k for k in range(first, end) if length[k] > 0), default=first)
-        kept += [got.text[k] for k in range(first, last + 1) if got.text[k] and (not marked or got.inside[k])]
-        i = max(j, last + 1)
+        if share > 0.5:  # short lines at the edges, up to the next valley, belong to the article
+            while first > done and got.inside[first - 1] and got.text[first - 1]:
+                first -= 1
+            while last + 1 < n and got.inside[last + 1] and got.text[last + 1]:
+                last += 1
+        kept += [got.text[k] for k in range(first, last + 1) if got.text[k]]
+        i = done = max(j, last + 1)
     return "\n".join(kept)
 
 

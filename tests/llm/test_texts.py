@@ -108,6 +108,18 @@ def test_link_lists_are_no_text(spark):
     assert got.startswith("Paragraph 0") and got.count("\n") == 8 and "entry" not in got
 
 
+def test_distribution_decides_where_articles_are_marked():
+    body = [f"Paragraph {i} tells a story of some length about nothing much at all." for i in range(9)]
+    html = "".join(f"<p>{x}</p>" for x in body)
+    cards = "".join(f"<article><h3><a href=x>Card {i}</a></h3><p>Teaser {i}.</p></article>" for i in range(3))
+    foot = "".join(f"<div><a href=x>link {i}</a></div>" for i in range(5))
+    assert op7_html.main_text(f"<body><div>{html}</div>{foot}<div>{cards}</div></body>").split("\n") == body  # the cards do not hide the body
+    assert op7_html.main_text(f"<body><div class='content promo'>{html}</div>{foot}</body>").split("\n") == body  # nor does a hint on the wrapper
+    ads = "<div>Buy one of these.</div>"
+    assert op7_html.main_text(f"<body>{ads}{foot}<article>{html}<p>End.</p></article>{foot}{ads}</body>").split("\n") == [*body, "End."]
+    assert op7_html.main_text(f"<body>{foot}<div>{html}</div>{foot}</body>").split("\n") == body  # no mark at all
+
+
 def test_licences_equal_sql(spark, duck):
     same_rows(QUERIES["op8_licenses"](spark, DATA), duck, ORACLE_SQL["op8_licenses"])
 
