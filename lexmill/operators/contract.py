@@ -51,7 +51,9 @@ def compile_contract(units: DataFrame, terms: DataFrame, bans: DataFrame | None
     else:
         out = out.withColumn("global_bans", none)
     if exemptions is not None:
-        rows = exemptions.select(F.to_json(F.struct(*_fields(EXEMPTION)).cast(EXEMPTION)).alias("j")).limit(MOST_UNCONDITIONAL).collect()
+        rows = exemptions.select(F.to_json(F.struct(*_fields(EXEMPTION)).cast(EXEMPTION)).alias("j")).limit(MOST_UNCONDITIONAL + 1).collect()
+        if len(rows) > MOST_UNCONDITIONAL:
+            raise ValueError(f"more than {MOST_UNCONDITIONAL} exemptions")
         all_ = F.array(*[F.from_json(F.lit(r.j), EXEMPTION) for r in rows]).cast(f"array<{EXEMPTION}>") if rows else F.array().cast(f"array<{EXEMPTION}>")
         out = out.withColumn("global_ban_exemptions", F.filter(all_, lambda e: F.exists("global_bans", lambda b: b["english"] == e["english"])))
     else:
