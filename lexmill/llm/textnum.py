@@ -33,39 +33,66 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def _powers(n: int, p: np.uint64) -> np.ndarray:
-    out = np.full(n, p, np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
+_TABLES: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
-class Words:
+def powers(n: int, p: np.uint64) -> tuple[np.ndarray, np.ndarray]:
+    """The first n powers of an odd number and of its inverse, modulo 2**64."""
+    got = _TABLES.get(int(p))
+    if got is None or len(got[0]) < n:
+        got = []
+        for x in (int(p), pow(int(p), -1, 1 << 64)):
+            out = np.full(max(n, 1 << 16), x, np.uint64)
+            out[0] = 1
+            got.append(np.multiply.accumulate(out))
+        got = tuple(got)
+        if n <= 1 << 23:
+            _TABLES[int(p)] = got
+    return got[0][:n], got[1][:n]
+
+
+def run_sums(values: np.ndarray, begin: np.ndarray, end: np.ndarray, p: np.uint64) -> np.ndarray:
+    """Of each run of values the sum of its values, each times the power of p that its place in the run has."""
+    up, down = powers(len(values) + 1, p)
+    total = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * up[:-1], out=total[1:])
+    return (total[end] - total[begin]) * down[begin]
+
+
+class Spans:
+    """Words as places in bytes; byte sums are made once for all words of a text list."""
+
+    def __init__(self, data: np.ndarray, start: np.ndarray, size: np.ndarray):
+        self.data, self.start, self.size = data, start, size
+        self._sums: dict[int, np.ndarray] = {}
+
+    def hashes(self, which: np.ndarray | None = None, salt: int = 0) -> np.ndarray:
+        """64-bit hashes of all words, or of some."""
+        start, size = (self.start, self.size) if which is None else (self.start[which], self.size[which])
+        up, down = powers(len(self.data) + 1, _P2 if salt else _P1)
+        if salt not in self._sums:
+            total = np.zeros(len(self.data) + 1, np.uint64)
+            np.cumsum((self.data.astype(np.uint64) + np.uint64(1 + 77 * salt)) * up[:-1], out=total[1:])
+            self._sums[salt] = total
+        total = self._sums[salt]
+        return mix((total[start + size] - total[start]) * down[start] + size.astype(np.uint64))
+
+
+class Words(Spans):
     """data: lower-cased bytes; start, size: of each word in data; first[i] to first[i + 1]: the words of text i."""
 
     def __init__(self, texts: list[bytes], kinds: np.ndarray):
         raw = np.frombuffer(_GAP.join(texts) + _GAP if texts else b"", np.uint8)
         lens = np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts))
         ends = np.cumsum(lens)
-        self.data = kinds[raw]
-        word = (self.data != 0) | (raw == 0) if kinds is SPACED else self.data != 0  # NUL is no white space
+        data = kinds[raw]
+        word = (data != 0) | (raw == 0) if kinds is SPACED else data != 0  # NUL is no white space
         if len(ends):
             word[ends - 1] = False
         edge = np.flatnonzero(np.diff(np.concatenate(([0], word.view(np.int8), [0]))))
-        self.start, self.size = edge[0::2], edge[1::2] - edge[0::2]
+        super().__init__(data, edge[0::2], edge[1::2] - edge[0::2])
         self.first = np.concatenate(([0], np.searchsorted(self.start, ends)))
 
-    def hashes(self, which: np.ndarray | None = None, salt: int = 0) -> np.ndarray:
-        """64-bit hashes of all words, or of some."""
-        start, size = (self.start, self.size) if which is None else (self.start[which], self.size[which])
-        if not len(start):
-            return np.zeros(0, np.uint64)
-        p = _P2 if salt else _P1
-        first = np.concatenate(([0], np.cumsum(size)[:-1]))
-        inside = np.arange(int(size.sum()), dtype=np.int64) - np.repeat(first, size)
-        val = self.data[inside + np.repeat(start, size)].astype(np.uint64) + np.uint64(1 + 77 * salt)
-        val *= _powers(int(size.max()), p)[inside]
-        return mix(np.add.reduceat(val, first) + size.astype(np.uint64))
-
 
 def batches_by_bytes(rows, most: int):
     """Lists of rows (…, bytes last) with up to ``most`` bytes together; one longer row is a list of its own."""

@@ -106,14 +106,16 @@ def test_lines_equal_brute_force(spark, make_docs):
     rng.shuffle(lines)
     docs = [(i, "\n".join(lines[i * 9 : i * 9 + 9])) for i in range(10)] + [(50, None), (51, ""), (52, "\n\n")]
     df = make_docs([*docs, docs[0], (None, "same line\nnew one")])
-    sims = {r.h: r.sim for r in op3_lines.simhashed(df, "doc_id", "text").df.collect()}
     norm = lambda t: re.sub("[\x00-\x2f\x3a-\x60\x7b-\xbf]+", " ", t.lower()).strip()
     texts = {norm(t) for _, d in [*docs, (None, "same line\nnew one")] for t in (d or "").split("\n")} - {""}
-    hashes = {r.t: (r.h, r.w) for r in spark.createDataFrame([(t,) for t in texts], "t string").select("t", F.xxhash64("t").alias("h"), F.transform(F.split("t", " "), lambda x: F.xxhash64(x)).alias("w")).collect()}
-    for t, (h, w) in hashes.items():
-        bits = [sum(x >> i & 1 for x in w) * 2 > len(w) for i in range(64)]
-        assert sims[h] & (1 << 64) - 1 == sum(1 << i for i, b in enumerate(bits) if b), t
-    near = [(a, b) for a, b in itertools.combinations(sorted(texts), 2) if ((sims[hashes[a][0]] ^ sims[hashes[b][0]]) & (1 << 64) - 1).bit_count() <= 3 and distance(a, b) <= int(max(len(a), len(b)) * 0.2 + 1e-9)]
+    sims = {}
+    for t in texts:
+        got = op3_lines.Lines([op3_lines.folded(t)])
+        assert got.normal(0) == op3_lines.normal(t) == t and int(got.size[0]) == len(t)
+        bits = [sum(int(x) >> i & 1 for x in got.h) * 2 > len(got.h) for i in range(64)]
+        sims[t] = int(got.sim[0])
+        assert sims[t] == sum(1 << i for i, b in enumerate(bits) if b), t
+    near = [(a, b) for a, b in itertools.combinations(sorted(texts), 2) if (sims[a] ^ sims[b]).bit_count() <= 3 and distance(a, b) <= int(max(len(a), len(b)) * 0.2 + 1e-9)]
     assert near
     group = classes(texts, near)
     seen, want = set(), {}
@@ -150,6 +152,46 @@ def test_wide_lines_equal_edit_similarity(make_docs):
     assert len(near) >= 48 and [got[i] for i in sorted(got) if got[i]] == want
 
 
+@pytest.mark.parametrize("direct", [0, 4_000_000])
+def test_hot_pieces(make_docs, monkeypatch, direct):
+    """Lines that all share pieces, some near and some not; with no direct comparison keys are dealt again and again."""
+    monkeypatch.setattr(op3_lines, "DIRECT", direct)
+    rng = random.Random(4)
+    same = "extraordinarily knowledgeable"
+    bases = [prose(rng, 10) for _ in range(12)]
+    lines = [" ".join([*b[:5], same, *changed(rng, b[5:], 1 if i % 2 else 0)]) for i, b in enumerate(bases * 3)]
+    near = [(a, b) for a, b in itertools.combinations(sorted(set(lines)), 2) if distance(a, b) <= int(max(len(a), len(b)) * 0.2 + 1e-9)]
+    group, seen, want = classes(set(lines), near), set(), []
+    for t in lines:
+        if group[t] not in seen:
+            want.append(t)
+        seen.add(group[t])
+    got = {r.doc_id: r.text for r in op3_lines.dedup(make_docs(list(enumerate(lines))), wide=True).collect()}
+    assert near and [got[i] for i in sorted(got) if got[i]] == want
+
+
+def test_edit_distance():
+    rng = random.Random(6)
+    for _ in range(600):
+        a = "".join(rng.choice("abc ") for _ in range(rng.randrange(30)))
+        b = "".join(x if rng.random() < 0.8 else rng.choice(["", "d", x + "a"]) for x in a)
+        d = distance(a, b)
+        for most in (0, 2, 5, 40):
+            got = op3_lines.distance(a, b, most)
+            assert got == d if d <= most else got > most
+        assert op3_lines.similar(a, b) == (d <= op3_lines.allowed(max(len(a), len(b))))
+
+
+def test_very_long_lines(make_docs):
+    rng = random.Random(7)
+    long = prose(rng, 70_000)  # more words than a 16-bit counter holds
+    docs = [(1, " ".join(long)), (2, " ".join(changed(rng, long, 40))), (3, " ".join(prose(rng, 70_000)))]
+    got = {r.doc_id: r.text for r in op3_lines.dedup(make_docs(docs), wide=True).collect()}
+    assert got == {1: docs[0][1], 2: "", 3: docs[2][1]}
+    h = op3_lines.Lines([docs[0][1].encode()])
+    assert int(h.sim[0]) == sum(1 << k for k in range(64) if 2 * sum(int(x) >> k & 1 for x in h.h[:]) > len(h.h))
+
+
 def test_lines_of_nothing(make_docs):
     assert op3_lines.dedup(make_docs([])).count() == 0
     assert op3_lines.dedup(make_docs([(1, None), (2, "a")])).count() == 2
