@@ -4,6 +4,7 @@ import itertools
 import random
 import re
 
+import numpy as np
 import pytest
 from helpers import DATA
 from pyspark.sql import functions as F
@@ -152,10 +153,11 @@ def test_wide_lines_equal_edit_similarity(make_docs):
     assert len(near) >= 48 and [got[i] for i in sorted(got) if got[i]] == want
 
 
-@pytest.mark.parametrize("direct", [0, 4_000_000])
+@pytest.mark.parametrize("direct", [40, 4_000_000])
 def test_hot_pieces(make_docs, monkeypatch, direct):
-    """Lines that all share pieces, some near and some not; with no direct comparison keys are dealt again and again."""
+    """Lines that all share pieces, some near and some not; with few direct comparisons keys are dealt again."""
     monkeypatch.setattr(op3_lines, "DIRECT", direct)
+    monkeypatch.setattr(op3_lines, "HOT", 10 if direct == 40 else 5000)
     rng = random.Random(4)
     same = "extraordinarily knowledgeable"
     bases = [prose(rng, 10) for _ in range(12)]
@@ -179,17 +181,19 @@ def test_edit_distance():
         for most in (0, 2, 5, 40):
             got = op3_lines.distance(a, b, most)
             assert got == d if d <= most else got > most
+        assert op3_lines.anchored_bound(a.split(" "), b.split(" ")) >= d
         assert op3_lines.similar(a, b) == (d <= op3_lines.allowed(max(len(a), len(b))))
 
 
 def test_very_long_lines(make_docs):
     rng = random.Random(7)
-    long = prose(rng, 70_000)  # more words than a 16-bit counter holds
-    docs = [(1, " ".join(long)), (2, " ".join(changed(rng, long, 40))), (3, " ".join(prose(rng, 70_000)))]
+    long = [w[:2] for w in prose(rng, 66_000)]  # more words than a 16-bit counter holds
+    docs = [(1, " ".join(long)), (2, " ".join(changed(rng, long, 40)))]
     got = {r.doc_id: r.text for r in op3_lines.dedup(make_docs(docs), wide=True).collect()}
-    assert got == {1: docs[0][1], 2: "", 3: docs[2][1]}
-    h = op3_lines.Lines([docs[0][1].encode()])
-    assert int(h.sim[0]) == sum(1 << k for k in range(64) if 2 * sum(int(x) >> k & 1 for x in h.h[:]) > len(h.h))
+    assert got == {1: docs[0][1], 2: ""}
+    x = op3_lines.Lines([docs[0][1].encode()])
+    ones = [int(((x.h >> np.uint64(k)) & np.uint64(1)).sum()) for k in range(64)]
+    assert int(x.sim[0]) == sum(1 << k for k, n in enumerate(ones) if 2 * n > len(x.h))
 
 
 def test_lines_of_nothing(make_docs):
