@@ -7,12 +7,16 @@ Two things bend the raw lengths before the sums are taken, because whole pages o
 adverts can be as long as a paragraph:
 
 * elements that are boilerplate by tag or by class, id or role leave an empty line (a valley in the distribution); but a
-  block with such a class outside an article is a wrapper, and stays, if it holds more than half of the page's text;
+  block with such a class outside an article is a wrapper, and stays, if it holds more than half of the page's text in
+  several lines, and no article beside it holds a tenth as much; comments never do;
 * text inside links does not count;
 * where a page has articles (article, main), lengths inside and outside are weighed by the share of the text on their
   side, the inside counted MARK times; so the mark helps an article, but cards in article elements do not beat the body.
 
-Nulls and pages without text give an empty text. Rows are independent, so repeated rows give repeated results.
+Lines are joined by a blank line. Boilerplate elements whose end tag is left out end where HTML lets them.
+
+Nulls and pages without text give an empty text. Rows are independent, so repeated rows give repeated results. Pages of
+any length are read whole, in time linear in their length; extra columns are left out, whatever their names.
 """
 
 from __future__ import annotations
@@ -36,9 +40,15 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 BLOCKS = frozenset("address article blockquote body caption center dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main nav ol p pre section summary table tbody td tfoot th thead tr ul aside dialog menu".split())
 #: Words in class, id or role that mark boilerplate.
 HINTS = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner menu nav navbar navigation breadcrumb breadcrumbs sidebar footer header masthead cookie cookies notice consent gdpr popup modal overlay comment comments disqus respond share sharing social related recommended newsletter subscribe signup login search toolbar pagination contentinfo complementary".split())
+#: Hints of what readers have written.
+READERS = frozenset("comment comments disqus respond".split())
 ARTICLE = frozenset(("article", "main"))
+#: Elements whose end tag may be left out, and what begins where they end.
+IMPLIED = {"p": BLOCKS, "li": frozenset(("li",)), "dt": frozenset(("dt", "dd")), "dd": frozenset(("dt", "dd")), "tr": frozenset(("tr", "tbody", "tfoot", "thead")), "td": frozenset(("td", "th", "tr")), "th": frozenset(("td", "th", "tr")), "option": frozenset(("option",))}
 
 _ATTR = re.compile(r"""(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
+#: A tag: quotes count only after an equals sign. Nothing is tried twice, so time is linear.
+_TAG = re.compile(r"""<(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?)*+>""")
 _NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 _WORD = re.compile(r"[a-z]+|[A-Z][a-z]*")
 
@@ -48,29 +58,17 @@ MARK = 4
 THRESHOLD = 80.0
 
 
-def _hinted(attrs: str) -> bool:
-    return any(w.lower() in HINTS for a in _ATTR.finditer(attrs) for w in _WORD.findall(a.group(1)))
+def _hinted(attrs: str) -> set[str]:
+    return {w.lower() for a in _ATTR.finditer(attrs) for w in _WORD.findall(a.group(1))} & HINTS
 
 
 def _tag_end(page: str, at: int) -> int:
-    """Index after the tag that opens at ``at``; quotes may hold '>'."""
+    """Index after the tag that opens at ``at``; quoted values may hold '>'. A quote that never ends is none."""
+    m = _TAG.match(page, at)
+    if m:
+        return m.end()
     end = page.find(">", at)
-    if end < 0:
-        return len(page)
-    part = page[at:end]
-    if part.count('"') % 2 == 0 and part.count("'") % 2 == 0:
-        return end + 1
-    quote, i, n = "", at, min(len(page), at + 20000)
-    while i < n:
-        c = page[i]
-        if quote:
-            quote = "" if c == quote else quote
-        elif c in "\"'":
-            quote = c
-        elif c == ">":
-            return i + 1
-        i += 1
-    return end + 1
+    return len(page) if end < 0 else end + 1
 
 
 class _Lines:
@@ -82,7 +80,7 @@ class _Lines:
         self.inside: list[bool] = []
         self.within: list[tuple[int, ...]] = []
         self.scopes: tuple[int, ...] = ()
-        self.in_article: list[bool] = []  # of each hinted block
+        self.goes: list[bool] = []  # of each hinted block: whether it can be no wrapper
         self.parts: list[str] = []
         self.linked = 0
 
@@ -102,6 +100,12 @@ class _Lines:
             self.parts = []
         self.linked = 0
 
+    def close(self, hinted: list[list], inside: bool) -> None:
+        """The innermost hinted block ends."""
+        self.end(inside)
+        hinted.pop()
+        self.scopes = self.scopes[:-1]
+
     def valley(self) -> None:
         self.text.append("")
         self.length.append(0)
@@ -110,12 +114,14 @@ class _Lines:
 
     def drop_hinted(self) -> None:
         """Without the lines of hinted blocks, but for wrappers that hold most of the text."""
-        held = [0] * len(self.in_article)
-        for x, scopes in zip(self.length, self.within, strict=True):
+        held, beside, lines = ([0] * len(self.goes) for _ in range(3))
+        for x, y, scopes in zip(self.length, self.inside, self.within, strict=True):
             for k in scopes:
                 held[k] += x
-        total = sum(self.length)
-        stays = [not a and 2 * x > total for a, x in zip(self.in_article, held, strict=True)]
+                lines[k] += x > 0
+                beside[k] -= x if y else 0
+        total, marked = sum(self.length), sum(x for x, y in zip(self.length, self.inside, strict=True) if y)
+        stays = [not g and 2 * x > total and n > 1 and 10 * (marked + o) < x for g, x, n, o in zip(self.goes, held, lines, beside, strict=True)]
         keep = [all(stays[k] for k in scopes) for scopes in self.within]
         for name in ("text", "length", "inside"):
             setattr(self, name, [x for x, y in zip(getattr(self, name), keep, strict=True) if y])
@@ -126,7 +132,7 @@ def lines_of(page: str) -> _Lines:
     article = link = 0
     silent, depth = "", 0  # the element that silences, and how many of its name are open
     low = None
-    hinted: list[list] = []  # open hinted blocks: name, and how many of that name are open
+    hinted: list[list] = []  # open hinted blocks: name, how many of that name are open, and how many other blocks in them
     while i < n:
         at = page.find("<", i)
         if at < 0:
@@ -156,6 +162,9 @@ def lines_of(page: str) -> _Lines:
         if silent:
             if name in ARTICLE and not closing and silent not in RAW:
                 silent = ""  # an unclosed boilerplate element does not swallow the article
+            elif not closing and silent in IMPLIED and name in IMPLIED[silent]:
+                depth = 1
+                continue
             elif name == silent:
                 depth += -1 if closing else name not in VOID
                 if depth <= 0:
@@ -169,12 +178,16 @@ def lines_of(page: str) -> _Lines:
             if (name in ARTICLE and not closing and not article) or (closing and name in ("body", "html")):
                 out.end(article > 0)
                 hinted, out.scopes = [], ()  # nor does an unclosed hinted block
-            elif name == hinted[-1][0]:
-                hinted[-1][1] += -1 if closing else 1
-                if not hinted[-1][1]:
-                    out.end(article > 0)
-                    hinted.pop()
-                    out.scopes = out.scopes[:-1]
+            else:
+                # Ends that are left out: by what begins, or by the end of what the block lies in.
+                while hinted and hinted[-1][0] in IMPLIED and hinted[-1][2] == 0 and (name in BLOCKS and name != hinted[-1][0] if closing else name in IMPLIED[hinted[-1][0]]):
+                    out.close(hinted, article > 0)
+                if hinted and name == hinted[-1][0]:
+                    hinted[-1][1] += -1 if closing else 1
+                    if not hinted[-1][1]:
+                        out.close(hinted, article > 0)
+                elif hinted and name in BLOCKS and name not in VOID and name not in IMPLIED:
+                    hinted[-1][2] = max(0, hinted[-1][2] + (-1 if closing else 1))
         if closing:
             if name == "a":
                 link = max(0, link - 1)
@@ -192,9 +205,11 @@ def lines_of(page: str) -> _Lines:
                 out.valley()
                 if hinted and hinted[-1][0] == name:
                     hinted[-1][1] -= 1  # it was counted above
-                hinted.append([name, 1])
-                out.scopes += (len(out.in_article),)
-                out.in_article.append(article > 0)
+                elif hinted and name not in IMPLIED:
+                    hinted[-1][2] -= 1
+                hinted.append([name, 1, 0])
+                out.scopes += (len(out.goes),)
+                out.goes.append(article > 0 or bool(boiler & READERS))
                 continue
         if boiler:
             if name in BLOCKS:  # a script or style inside a block does not part it
@@ -258,7 +273,7 @@ def main_text(page: str | None) -> str:
                 last += 1
         kept += [got.text[k] for k in range(first, last + 1) if got.text[k]]
         i = done = max(j, last + 1)
-    return "\n".join(kept)
+    return "\n\n".join(kept)
 
 
 def extract(pages: DataFrame, key: str = "page_id", html: str = "html", carry: tuple[str, ...] = ("url",)) -> DataFrame:

@@ -81,11 +81,11 @@ def test_vbyte():
 
 
 PAGES = {
-    "<html><head><title>T</title><style>p{}</style></head><body><nav><a href=x>Home</a></nav><article><h1>Title</h1><p>One &amp; <b>two</b>\n three<br>four.</p><p>x</p></article><footer>&copy; me</footer>": "Title\nOne & two three four.\nx",
-    "<article><p>a<script>var t='</p>';</script>b</p><div class='ad'>buy</div><p>c<!-- <p>no</p> --></p></article>": "ab\nc",
+    "<html><head><title>T</title><style>p{}</style></head><body><nav><a href=x>Home</a></nav><article><h1>Title</h1><p>One &amp; <b>two</b>\n three<br>four.</p><p>x</p></article><footer>&copy; me</footer>": "Title\n\nOne & two three four.\n\nx",
+    "<article><p>a<script>var t='</p>';</script>b</p><div class='ad'>buy</div><p>c<!-- <p>no</p> --></p></article>": "ab\n\nc",
     "<article><p>kept</p><section id='comments'><p>" + "rude " * 90 + "</p></section></article>": "kept",
     "<div class=menu><article><p>unclosed menu</p></article>": "unclosed menu",
-    "<p>" + "long text " * 30 + "</p><p>short.</p><p>" + "more text " * 30 + "</p>": "long text " * 29 + "long text\nshort.\n" + "more text " * 29 + "more text",
+    "<p>" + "long text " * 30 + "</p><p>short.</p><p>" + "more text " * 30 + "</p>": "long text " * 29 + "long text\n\nshort.\n\n" + "more text " * 29 + "more text",
     "": "",
     "<p></p>": "",
     "<article>&lt;p&gt; &nbsp; &#233; a < b</article>": "<p> é a < b",
@@ -105,7 +105,7 @@ def test_link_lists_are_no_text(spark):
     menu = "".join(f"<li><a href=x>entry number {i} of the list</a></li>" for i in range(40))
     body = "".join(f"<p>Paragraph {i} tells a story of some length about nothing much at all.</p>" for i in range(9))
     got = op7_html.main_text(f"<body><div><ul>{menu}</ul></div><div>{body}</div><div><ul>{menu}</ul></div></body>")
-    assert got.startswith("Paragraph 0") and got.count("\n") == 8 and "entry" not in got
+    assert got.startswith("Paragraph 0") and got.count("\n\n") == 8 and "entry" not in got
 
 
 def test_distribution_decides_where_articles_are_marked():
@@ -113,11 +113,78 @@ def test_distribution_decides_where_articles_are_marked():
     html = "".join(f"<p>{x}</p>" for x in body)
     cards = "".join(f"<article><h3><a href=x>Card {i}</a></h3><p>Teaser {i}.</p></article>" for i in range(3))
     foot = "".join(f"<div><a href=x>link {i}</a></div>" for i in range(5))
-    assert op7_html.main_text(f"<body><div>{html}</div>{foot}<div>{cards}</div></body>").split("\n") == body  # the cards do not hide the body
-    assert op7_html.main_text(f"<body><div class='content promo'>{html}</div>{foot}</body>").split("\n") == body  # nor does a hint on the wrapper
+    assert op7_html.main_text(f"<body><div>{html}</div>{foot}<div>{cards}</div></body>").split("\n\n") == body  # the cards do not hide the body
+    assert op7_html.main_text(f"<body><div class='content promo'>{html}</div>{foot}</body>").split("\n\n") == body  # nor does a hint on the wrapper
+    long = "<p>" + "A comment that goes on and on. " * 60 + "</p>"
+    assert op7_html.main_text(f"<body><article><h1>Title</h1><p>Short.</p></article><div class=ad>{'Buy ' * 90}</div><section class=comments>{long}{long}</section></body>") == "Title\n\nShort."
     ads = "<div>Buy one of these.</div>"
-    assert op7_html.main_text(f"<body>{ads}{foot}<article>{html}<p>End.</p></article>{foot}{ads}</body>").split("\n") == [*body, "End."]
-    assert op7_html.main_text(f"<body>{foot}<div>{html}</div>{foot}</body>").split("\n") == body  # no mark at all
+    assert op7_html.main_text(f"<body>{ads}{foot}<article>{html}<p>End.</p></article>{foot}{ads}</body>").split("\n\n") == [*body, "End."]
+    assert op7_html.main_text(f"<body>{foot}<div>{html}</div>{foot}</body>").split("\n\n") == body  # no mark at all
+
+
+def test_ends_that_are_left_out():
+    body = "".join(f"<p>Paragraph {i} tells a story of some length about nothing much at all.</p>" for i in range(3))
+    want = op7_html.main_text(f"<article>{body}</article>")
+    assert want.count("\n\n") == 2
+    assert op7_html.main_text(f"<article><p class=notice>We set cookies{body}</article>") == want
+    assert op7_html.main_text(f"<article><ul><li class=ad>Buy<li class='ad x'>Buy more</ul>{body}</article>") == want
+    assert op7_html.main_text(f"<article>{body}<dl><dt class=ad>Buy<dd class=ad>more</dl></article>") == want
+    assert op7_html.main_text(f"<body><div class='content with-sidebar'>{body}</div></body>") == want
+    assert op7_html.main_text(f"<article><div class=ad><div>Buy</div>this</div>{body}</article>") == want
+
+
+def test_long_attributes_and_pages(make_docs):
+    body = "".join(f"<p title='a > b {i}'>Paragraph {i} tells a story of some length about nothing much at all.</p>" for i in range(4000))
+    got = op7_html.main_text(f"<article><img alt='{'x > ' * 20_000}'><p data-x=\"a 'b\">It's one</p>{body}<p it's>end of it all</p></article>")
+    assert "x >" not in got and "a > b" not in got and got.count("\n\n") == 4001 and got.endswith("end of it all")
+
+
+def marked_lines(page):
+    """The blocks inside <article> that no boilerplate element holds, by a plain recursive reading of well-formed pages."""
+    from html.parser import HTMLParser
+
+    class Reader(HTMLParser):
+        def __init__(self):
+            super().__init__(convert_charrefs=True)
+            self.open, self.lines, self.parts = [], [], []
+
+        def flush(self):
+            line = " ".join("".join(self.parts).split())
+            self.parts = []
+            if line:
+                self.lines.append(line)
+
+        def handle_starttag(self, tag, attrs):
+            if tag in op7_html.BLOCKS:
+                self.flush()
+            if tag == "br":
+                self.parts.append(" ")
+            if tag not in op7_html.VOID:
+                hinted = any(w.lower() in op7_html.HINTS for k, v in attrs if k in ("class", "id", "role") for w in op7_html._WORD.findall(v or ""))
+                self.open.append((tag, tag in op7_html.SILENT or (hinted and tag not in ("article", "main", "body", "html"))))
+
+        def handle_endtag(self, tag):
+            if tag in op7_html.BLOCKS:
+                self.flush()
+            while self.open and any(t == tag for t, _ in self.open) and self.open.pop()[0] != tag:
+                pass
+
+        def handle_data(self, data):
+            if any(t in op7_html.ARTICLE for t, _ in self.open) and not any(b for _, b in self.open):
+                self.parts.append(data)
+
+    r = Reader()
+    r.feed(page)
+    r.flush()
+    return "\n\n".join(r.lines)
+
+
+def test_html_of_pages(spark):
+    """On the tables' pages, which mark their article, the result is that article, and it comes from the distribution."""
+    rows = {r.page_id: r.html for r in spark.read.parquet(f"{DATA}/pages.parquet").collect()}
+    got = {r.page_id: r.text for r in QUERIES["op7_html"](spark, DATA).collect()}
+    assert len(got) == len(rows)
+    assert all(got[i] == marked_lines(h) for i, h in rows.items())
 
 
 def test_licences_equal_sql(spark, duck):
