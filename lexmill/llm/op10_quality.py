@@ -1,6 +1,6 @@
 """Quality classifier by compression: zstandard dictionaries of good and of bad text.
 
-A bounded sample of labelled rows is split in two: one half trains a dictionary for each label, the other calibrates.
+A bounded sample of labelled rows, gathered in one task, is split in two: one half trains a dictionary for each label, the other calibrates.
 A text is cut into chunks, so that a dictionary counts throughout a long text, and each chunk is compressed with both.
 The difference of the compressed sizes by byte of text, over the whole text, is the evidence: text that says little new
 has little of it either way. Isotonic regression on the calibration half turns it into a score. Every chunk of every
@@ -23,9 +23,9 @@ from pyspark.sql import functions as F
 
 from .calibrate import isotonic_fit, isotonic_predict
 from .common import bound_batches, held_out, table
-from .sampling import labelled_sample
+from .sampling import fitted, labelled_sample
 
-#: Labelled rows of each class that the driver may hold.
+#: Labelled rows of each class that the model is fitted on.
 MOST_ROWS = 2000
 #: Bytes of a dictionary, and of a chunk.
 DICT_BYTES = 64 << 10
@@ -94,7 +94,7 @@ class Model:
 
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", most_rows: int = MOST_ROWS) -> Model:
     rows, share = labelled_sample(docs, labels, key, text, label, most_rows)
-    return Model(rows, share)
+    return fitted(rows, lambda sample: Model(sample, share))
 
 
 def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:

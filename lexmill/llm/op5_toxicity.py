@@ -4,7 +4,7 @@ Features of a whole text: densities of a fixed lexicon and of words and word beg
 second-person words near such words, and rates of capitals, exclamation marks, punctuation and obfuscated words. Label,
 language, source and id are no inputs.
 
-A bounded sample of labelled rows is held by the driver. Lexicon features of a sampled row come from a lexicon learned
+A bounded sample of labelled rows is gathered in one task, which fits the model; the driver gets the model alone. Lexicon features of a sampled row come from a lexicon learned
 on the other folds, so trees see them as they are on new text; the calibration is fitted on predictions of trees that
 did not see the row. Scoring is row by row with a model of fixed size.
 
@@ -26,9 +26,9 @@ from pyspark.sql import functions as F
 
 from .calibrate import isotonic_fit, isotonic_predict
 from .common import bound_batches, held_out, table
-from .sampling import labelled_sample
+from .sampling import fitted, labelled_sample
 
-#: Labelled rows of each class that the driver may hold.
+#: Labelled rows of each class that the model is fitted on.
 MOST_ROWS = 2000
 FOLDS = 4
 #: Learned lexicon entries of each kind, the least toxic texts that hold one, and the least log odds.
@@ -196,7 +196,8 @@ class Model:
 
 
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", most_rows: int = MOST_ROWS) -> Model:
-    return Model(*labelled_sample(docs, labels, key, text, label, most_rows))
+    rows, share = labelled_sample(docs, labels, key, text, label, most_rows)
+    return fitted(rows, lambda sample: Model(sample, share))
 
 
 def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:

@@ -1,40 +1,56 @@
-"""A bounded, repeatable sample of labelled texts."""
+"""A bounded, repeatable sample of labelled texts, and models fitted on it in one task."""
 
 from __future__ import annotations
 
+import pickle
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import held_out
+from .common import bound_batches, held_out
 
-#: Bytes of sampled text the driver may hold; longer texts are split into pieces only there, never when they are scored.
-MOST_BYTES = 64 << 20
+#: Characters of sampled text that the fitting task holds. Of longer texts only so much of their beginning is learned from
+#: that all texts of the sample have a share; they are scored whole.
+MOST_CHARS = 64 << 20
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, most_rows: int) -> tuple[list[tuple[str, int]], dict[int, float]]:
-    """(text, label) of ``most_rows`` rows of each class at most, in an order by hash, and the share of each class.
+def labelled_sample(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, most_rows: int) -> tuple[DataFrame, dict[int, float]]:
+    """(text, label, h, key) of ``most_rows`` rows of each class at most, and the share of each class.
 
     Labels come only from rows that are not held out. Of several labels of one key the largest counts; null labels and
-    keys don't. The choice depends on the keys alone, so it is the same in every run.
+    keys don't. The choice depends on the keys alone, so it is the same in every run; rows that share a key all come.
     """
-    known = labels.select(F.col(key), F.col(label).cast("int").alias("label")).where(F.col(key).isNotNull() & F.col(label).isin(0, 1) & ~held_out(key))
-    known = known.groupBy(key).agg(F.max("label").alias("label"))
+    known = labels.select(F.col(key).alias("key"), F.col(label).cast("int").alias("label"), held_out(key).alias("out")).where(F.col("key").isNotNull() & F.col("label").isin(0, 1) & ~F.col("out"))
+    known = known.groupBy("key").agg(F.max("label").alias("label"))
     n = {r.label: r["count"] for r in known.groupBy("label").count().collect()}
     total = sum(n.values())
     # Of each class about a fifth more keys than needed pass, those of least hash, so few rows meet in a task.
     cut = F.when(F.lit(False), F.lit(0).cast("bigint"))
     for y, c in n.items():
         cut = cut.when(F.col("label") == y, F.lit(int((1 << 64) * min(1.0, (1.2 * most_rows + 200) / c)) - (1 << 63) - 1))
-    hashed = known.withColumn("h", F.xxhash64(key)).where(F.col("h") <= (cut if n else F.lit(0)))
-    ranked = hashed.withColumn("place", F.row_number().over(Window.partitionBy("label").orderBy("h", key))).where(F.col("place") <= most_rows)
-    chosen = ranked.select(key, "label", "h")
+    hashed = known.withColumn("h", F.xxhash64("key")).where(F.col("h") <= (cut if n else F.lit(0)))
+    ranked = hashed.withColumn("place", F.row_number().over(Window.partitionBy("label").orderBy("h", "key"))).where(F.col("place") <= most_rows)
     # 2 * most_rows keys at most: a bounded side.
-    rows = docs.select(F.col(key), F.col(text).cast("string").alias("text")).join(F.broadcast(chosen), key).orderBy("h", key).select("text", "label")
-    out, size = [], 0
-    for r in rows.toLocalIterator():
-        t = r["text"] or ""
-        size += len(t)
-        if size > MOST_BYTES:
-            break
-        out.append((t, r["label"]))
-    return out, {y: c / total for y, c in n.items()} if total else {}
+    rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")).join(F.broadcast(ranked.select("key", "label", "h")), "key")
+    return rows.select("text", "label", "h", F.col("key").cast("string").alias("key")), {y: c / total for y, c in n.items()} if total else {}
+
+
+def fitted(sample: DataFrame, build: Callable[[list[tuple[str, int]]], object]):
+    """The model that ``build`` makes of the sample's (text, label), in an order by hash; made by one task.
+
+    The sample is bounded, and the model comes back pickled, so the driver never holds the texts.
+    """
+    bound_batches(sample.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [r for b in batches for r in zip(*(c.to_pylist() for c in b.columns), strict=True)]
+        rows.sort(key=lambda r: (r[2], r[3], r[0]))
+        most = MOST_CHARS // max(1, len(rows))
+        if sum(len(r[0]) for r in rows) > MOST_CHARS:
+            rows = [(r[0][:most], *r[1:]) for r in rows]
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(build([r[:2] for r in rows]))], pa.binary())], names=["model"])
+
+    got = sample.repartition(1).mapInArrow(run, "model binary").collect()
+    return pickle.loads(got[0].model) if got else build([])
