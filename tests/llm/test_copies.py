@@ -153,7 +153,7 @@ def test_wide_lines_equal_edit_similarity(make_docs):
     assert len(near) >= 48 and [got[i] for i in sorted(got) if got[i]] == want
 
 
-@pytest.mark.parametrize("direct", [40, 4_000_000])
+@pytest.mark.parametrize("direct", [40, 2000])
 def test_hot_pieces(make_docs, monkeypatch, direct):
     """Lines that all share pieces, some near and some not; with few direct comparisons keys are dealt again."""
     monkeypatch.setattr(op3_lines, "DIRECT", direct)
