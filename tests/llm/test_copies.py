@@ -157,6 +157,7 @@ def test_wide_lines_equal_edit_similarity(make_docs):
 def test_hot_pieces(make_docs, monkeypatch, direct):
     """Lines that all share pieces, some near and some not; with few direct comparisons keys are dealt again."""
     monkeypatch.setattr(op3_lines, "DIRECT", direct)
+    monkeypatch.setattr(op3_lines, "DEEPER", 20 * direct)
     monkeypatch.setattr(op3_lines, "HOT", 10 if direct == 40 else 5000)
     rng = random.Random(4)
     same = "extraordinarily knowledgeable"
