@@ -34,6 +34,9 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 
 _TABLES: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+#: Powers that a worker keeps, and bytes of words that are hashed at once.
+MOST_KEPT = 1 << 20
+CHUNK_BYTES = 1 << 18
 
 
 def powers(n: int, p: np.uint64) -> tuple[np.ndarray, np.ndarray]:
@@ -46,7 +49,7 @@ def powers(n: int, p: np.uint64) -> tuple[np.ndarray, np.ndarray]:
             out[0] = 1
             got.append(np.multiply.accumulate(out))
         got = tuple(got)
-        if n <= 1 << 23:
+        if n <= MOST_KEPT:
             _TABLES[int(p)] = got
     return got[0][:n], got[1][:n]
 
@@ -60,22 +63,32 @@ def run_sums(values: np.ndarray, begin: np.ndarray, end: np.ndarray, p: np.uint6
 
 
 class Spans:
-    """Words as places in bytes; byte sums are made once for all words of a text list."""
+    """Words as places in bytes."""
 
     def __init__(self, data: np.ndarray, start: np.ndarray, size: np.ndarray):
         self.data, self.start, self.size = data, start, size
-        self._sums: dict[int, np.ndarray] = {}
 
     def hashes(self, which: np.ndarray | None = None, salt: int = 0) -> np.ndarray:
-        """64-bit hashes of all words, or of some."""
-        start, size = (self.start, self.size) if which is None else (self.start[which], self.size[which])
-        up, down = powers(len(self.data) + 1, _P2 if salt else _P1)
-        if salt not in self._sums:
-            total = np.zeros(len(self.data) + 1, np.uint64)
-            np.cumsum((self.data.astype(np.uint64) + np.uint64(1 + 77 * salt)) * up[:-1], out=total[1:])
-            self._sums[salt] = total
-        total = self._sums[salt]
-        return mix((total[start + size] - total[start]) * down[start] + size.astype(np.uint64))
+        """64-bit hashes of all words, or of some; bytes are summed by bounded runs of words."""
+        p, add = (_P2 if salt else _P1), np.uint64(1 + 77 * salt)
+        if which is not None:
+            start, size = self.start[which], self.size[which]
+            if not len(start):
+                return np.zeros(0, np.uint64)
+            first = np.concatenate(([0], np.cumsum(size)[:-1]))
+            inside = np.arange(int(size.sum()), dtype=np.int64) - np.repeat(first, size)
+            value = (self.data[inside + np.repeat(start, size)].astype(np.uint64) + add) * powers(int(size.max()), p)[0][inside]
+            return mix(np.add.reduceat(value, first) + size.astype(np.uint64))
+        out = np.zeros(len(self.start), np.uint64)
+        ends = self.start + self.size
+        i = 0
+        while i < len(out):
+            base = int(self.start[i])
+            j = max(i + 1, int(np.searchsorted(ends, base + CHUNK_BYTES, side="right")))
+            sums = run_sums(self.data[base : int(ends[j - 1])].astype(np.uint64) + add, self.start[i:j] - base, ends[i:j] - base, p)
+            out[i:j] = mix(sums + self.size[i:j].astype(np.uint64))
+            i = j
+        return out
 
 
 class Words(Spans):
