@@ -19,12 +19,13 @@ def auto_bind(units: DataFrame, terms: DataFrame, unit: str = "unit_id") -> Data
     return pairs.join(bindable, "term_id").select(unit, "term_id", F.col("english").alias("source_span"), F.lit(True).alias("required"), F.lit(True).alias("auto"))
 
 
-def compile_contract(units: DataFrame, terms: DataFrame, bans: DataFrame | None = None, exemptions: DataFrame | None = None, unit: str = "unit_id", keep: list[str] | None = None, protected: dict[str, str] | None = None, interjections: dict[str, list[str]] | None = None) -> DataFrame:
+def compile_contract(units: DataFrame, terms: DataFrame, bans: DataFrame | None = None, exemptions: DataFrame | None = None, unit: str = "unit_id", keep: list[str] | None = None, protected: dict[str, str] | None = None, interjections: dict[str, list[str]] | None = None, global_keep: DataFrame | None = None) -> DataFrame:
     """Units with a ``contract`` of the terms and bans that concern them.
 
     Terms and bans are found by one token join. Unconditional bans concern every unit; they are few, and are put in as
     literals, so no unit meets every ban. Exemptions go with their bans. protected: patterns of tokens that must survive,
-    by class.
+    by class. global_keep: a table of texts (text) that stay as they are wherever they are a whole source; they are joined
+    by equality, so there may be any number of them.
     """
     spark = units.sparkSession
     forms = terms.select(F.concat(F.lit("t:"), "term_id").alias("form_id"), F.col("source").alias("english"))
@@ -58,7 +59,12 @@ def compile_contract(units: DataFrame, terms: DataFrame, bans: DataFrame | None
         out = out.withColumn("global_ban_exemptions", F.filter(all_, lambda e: F.exists("global_bans", lambda b: b["english"] == e["english"])))
     else:
         out = out.withColumn("global_ban_exemptions", F.lit(None).cast(f"array<{EXEMPTION}>"))
-    out = out.withColumn("keep_list", F.array(*[F.lit(k) for k in keep or []]).cast("array<string>")).withColumn("keep", F.lit(None).cast("array<string>"))
+    out = out.withColumn("keep_list", F.array(*[F.lit(k) for k in keep or []]).cast("array<string>"))
+    if global_keep is not None:
+        texts = global_keep.select(F.col("text").alias("__keep")).where("__keep is not null").distinct()
+        out = out.join(texts, out["source"] == texts["__keep"], "left").withColumn("keep", F.when(F.col("__keep").isNotNull(), F.array("__keep"))).drop("__keep")
+    else:
+        out = out.withColumn("keep", F.lit(None).cast("array<string>"))
     tokens = [F.regexp_extract_all("source", F.lit(p), F.lit(0)) for p in (protected or {}).values()]
     out = out.withColumn("protected_tokens", F.array_distinct(F.concat(*tokens)) if tokens else F.array().cast("array<string>"))
     pairs_ = [x for k, v in (interjections or {}).items() for x in (F.lit(k), F.array(*[F.lit(y) for y in v]))]
@@ -99,19 +105,23 @@ def normalise_contract(cases: DataFrame, case: str = "case_id", contract: str =
 def triage(warnings: DataFrame, units: DataFrame, terms: DataFrame) -> DataFrame:
     """Warnings (xml_index, term_id, expected) beside their units: what a reviewer has to look at first.
 
-    NOT FOUND without a unit; IGNORE where the source lacks the term; FALSE POSITIVE where the dest has the expected
-    form; else REVIEW. Nothing is closed by this.
+    NOT FOUND without a unit; CONTRACT ERROR where the term is not there or has no English form, as nothing can be told
+    then; IGNORE where the source lacks the term, case counting; FALSE POSITIVE where the dest has the expected form; else
+    REVIEW. Nothing is closed by this. Of terms of one id the least English form counts, of units the least by texts.
     """
-    got = warnings.join(units.select(F.col("unit_id").alias("xml_index"), "source", "dest"), "xml_index", "left").join(terms.select("term_id", F.col("source").alias("english")), "term_id", "left")
-    verdict = F.when(F.col("source").isNull(), "NOT FOUND").when(~F.contains(F.lower("source"), F.lower(F.coalesce("english", F.lit("")))), "IGNORE").when(F.contains("dest", F.col("expected")), "FALSE POSITIVE").otherwise("REVIEW")
+    units = units.groupBy(F.col("unit_id").alias("xml_index")).agg(F.min(F.struct("source", "dest")).alias("u")).select("xml_index", "u.*")
+    terms = terms.groupBy("term_id").agg(F.min(F.nullif(F.col("source"), F.lit(""))).alias("english"))
+    got = warnings.join(units, "xml_index", "left").join(terms, "term_id", "left")
+    verdict = F.when(F.col("source").isNull(), "NOT FOUND").when(F.col("english").isNull(), "CONTRACT ERROR").when(~F.contains("source", F.col("english")), "IGNORE").when(F.contains("dest", F.col("expected")), "FALSE POSITIVE").otherwise("REVIEW")
     return got.withColumn("triage", verdict)
 
 
 def resolve(keys: DataFrame, key: str, *layers: DataFrame) -> DataFrame:
-    """The first value of layered tables (key, value) for each key, and the number of its layer from 1."""
+    """The first value of layered tables (key, value) for each key, and the number of its layer from 1. Of several values
+    of a key in one layer the least counts."""
     out = keys.select(key)
     for i, layer in enumerate(layers):
-        out = out.join(layer.select(F.col(key), F.col("value").alias(f"v{i}")).dropDuplicates([key]), key, "left")
+        out = out.join(layer.groupBy(key).agg(F.min("value").alias(f"v{i}")), key, "left")
     values = [F.col(f"v{i}") for i in range(len(layers))]
     at = F.when(F.lit(False), 0)
     for i, v in enumerate(values):

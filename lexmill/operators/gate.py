@@ -25,7 +25,22 @@ FAIL, WARNING, PASS = "FAIL", "WARNING", "PASS"
 TRADITIONAL = "歡來諾這裡衛盡責裝義變們發門龍國學會時間東車馬魚鳥長開關聽說話語讀寫買賣錢銀鐵劍戰爭軍隊將領導師傳統經過還進遠近陽陰雲電風飛機場魯個對幾從後應當點樣種類現實際無為書畫萬與專業兩嚴喪豐臨麗舉樂習鄉亂爾亞產親僅倉儀價眾優傷倫偽體餘傭俠側偵債傾償兒兇內冊凍淨準減幫幣廟廢廳張強彈彎歸錄徹恆悅懸憶憲"
 SIMPLIFIED = "欢来诺这里卫尽责装义变们发门龙国学会时间东车马鱼鸟长开关听说话语读写买卖钱银铁剑战争军队将领导师传统经过还进远近阳阴云电风飞机场鲁个对几从后应当点样种类现实际无为书画万与专业两严丧丰临丽举乐习乡乱尔亚产亲仅仓仪价众优伤伦伪体余佣侠侧侦债倾偿儿凶内册冻净准减帮币庙废厅张强弹弯归录彻恒悦悬忆宪"
 
-TRADITIONAL_ONLY = "".join(t for t, s in zip(TRADITIONAL, SIMPLIFIED, strict=True) if t != s)
+
+
+def _traditional_only() -> str:
+    """Characters that Simplified text has no use for: those above, and by rule those of the first, common plane of the
+    Traditional standard set that the Simplified standard set lacks. (Rare characters of names are in its second plane.)"""
+    out = [t for t, s in zip(TRADITIONAL, SIMPLIFIED, strict=True) if t != s]
+    for high in range(0xA4, 0xC7):
+        for low in (*range(0x40, 0x7F), *range(0xA1, 0xFF)):
+            if (high, low) <= (0xC6, 0x7E):
+                char = bytes((high, low)).decode("big5", "ignore")
+                if char and not char.encode("gb2312", "ignore"):
+                    out.append(char)
+    return "".join(dict.fromkeys(out))
+
+
+TRADITIONAL_ONLY = _traditional_only()
 
 
 @dataclass(frozen=True)
@@ -190,10 +205,12 @@ def charset(source, dest, contract, config):
     d = dest
     for p in config.allowed_phrases:
         d = F.replace(d, F.lit(p), F.lit(""))
-    # The range goes first: most characters fail it, and a class of many characters is slow to fail.
-    han = r"(?=[\u3400-\u9FFF「」])"
-    hit = F.rlike(d, F.lit(f"{han}[{TRADITIONAL_ONLY}{'「」' if config.corner_quotes else ''}]"))
-    return when(hit, violation("CHAR001", FAIL, form=F.array_join(F.array_distinct(F.regexp_extract_all(d, F.lit(f"{han}[{TRADITIONAL_ONLY}「」]"), F.lit(0))), "")))
+    # Only characters of the range are looked up in the table, and only texts that have one.
+    han = F.regexp_replace(d, "[^\u3400-\u9FFF「」]+", "")
+    rest = lambda h: F.translate(h, TRADITIONAL_ONLY + ("「」" if config.corner_quotes else ""), "")
+    found = lambda h: F.array_except(F.split(h, ""), F.split(F.translate(h, TRADITIONAL_ONLY + "「」", ""), ""))
+    one = lambda h: when(F.length(rest(h)) < F.length(h), violation("CHAR001", FAIL, form=F.array_join(found(h), "")))
+    return F.when(F.rlike(d, F.lit("[\u3400-\u9FFF「」]")), let(han, one)).otherwise(none())
 
 
 @_rule("interjection")
@@ -213,11 +230,27 @@ def truncation(source, dest, contract, config):
 
 @_rule("xml_structure")
 def xml_structure(source, dest, contract, config):
-    """Tags of a dest must close as often as those of its source; only where the contract asks for nothing looser."""
-    open_tags = lambda t: F.regexp_count(t, F.lit("<"))
-    close = lambda t: F.regexp_count(t, F.lit(">"))
-    broken = (open_tags(source) == close(source)) & (open_tags(dest) != close(dest))
-    return when(broken, violation("XML001", FAIL))
+    """A dest has the tags of its source, each as often, and where the source's tags nest, so do its own. Tags that are
+    protected tokens are another rule's."""
+    pattern = F.lit("</?[A-Za-z][^<>]*>")
+    held = F.coalesce(contract["protected_tokens"], F.array().cast("array<string>"))
+    tags = lambda t: F.filter(F.regexp_extract_all(t, pattern, F.lit(0)), lambda x: ~F.coalesce(F.array_contains(held, x), F.lit(False)))
+    name = lambda t: F.lower(F.regexp_extract(t, "^</?([A-Za-z][^ \t\r\n/>]*)", 1))
+    start = F.struct(F.array().cast("array<string>").alias("open"), F.lit(True).alias("ok"))
+
+    def step(a: Column, t: Column) -> Column:
+        opens, closes = F.struct(F.array_append(a["open"], name(t)).alias("open"), a["ok"].alias("ok")), F.startswith(t, F.lit("</"))
+        last = F.try_element_at(a["open"], F.lit(-1))
+        closed = F.struct(F.slice(a["open"], F.lit(1), F.greatest(F.size(a["open"]) - 1, F.lit(0))).alias("open"), (a["ok"] & F.coalesce(last == name(t), F.lit(False))).alias("ok"))
+        return F.when(closes, closed).when(F.endswith(t, F.lit("/>")), a).otherwise(opens)
+
+    nests = lambda ts: F.aggregate(ts, start, step, lambda a: a["ok"] & (F.size(a["open"]) == 0))
+    spaced = lambda ts: F.array_sort(F.transform(ts, lambda t: F.regexp_replace(t, r"\s+", " ")))
+    signs = lambda t: F.regexp_count(F.regexp_replace(t, pattern, F.lit("")), F.lit("[<>]"))
+    loose = signs(source) != signs(dest)
+    broken = let(tags(source), lambda s: let(tags(dest), lambda d: (spaced(s) != spaced(d)) | loose | (nests(s) & ~nests(d))))
+    marked = F.contains(source, F.lit("<")) | F.contains(dest, F.lit("<"))
+    return when((source != dest) & F.when(marked, broken).otherwise(F.lit(False)), violation("XML001", FAIL))
 
 
 def violation_array(config: GateConfig = GateConfig()) -> Column:
@@ -259,6 +292,12 @@ def report(units: DataFrame) -> DataFrame:
     return sums.select(F.when(F.col("w") == 2, FAIL).when(F.col("w") == 1, WARNING).otherwise(PASS).alias("verdict"), "fail_count", "warning_count", "unit_count")
 
 
+def summary(units: DataFrame, file: str = "plugin") -> DataFrame:
+    """One row of counts of gated units: files, items, fails, warnings, and issues of either kind."""
+    issues = F.coalesce(F.sum(F.size("violations")), F.lit(0)).alias("issues")
+    return units.agg(F.count_distinct(file).alias("files"), F.count("*").alias("items"), F.count_if(F.col("verdict") == FAIL).alias("fails"), F.count_if(F.col("verdict") == WARNING).alias("warnings"), issues)
+
+
 def assertions(text: Column, wanted: Column, unwanted: Column) -> Column:
     """Whether a text holds all of one list and none of another; null lists ask nothing."""
     return F.coalesce(F.forall(wanted, lambda w: F.contains(text, w)), F.lit(True)) & ~F.coalesce(F.exists(unwanted, lambda w: F.contains(text, w)), F.lit(False))

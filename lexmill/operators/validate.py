@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import ast
 import warnings
 from collections.abc import Iterator
 
@@ -40,22 +39,45 @@ def duplicates(rows: DataFrame, within: list[str], key: str, order: str) -> Data
     return rows.withColumn("n", F.row_number().over(w)).where("n > 1")
 
 
+def not_arrays(files: DataFrame, field: str = "cases") -> DataFrame:
+    """(file, error) of parsed files (file, parsed: variant) whose field is there and is no array."""
+    kind = F.schema_of_variant(F.try_variant_get("parsed", f"$.{field}", "variant"))
+    bad = F.col("parsed").isNotNull() & kind.isNotNull() & ~F.startswith(kind, F.lit("ARRAY"))
+    return files.where(bad).select("file", F.concat(F.lit(field), F.lit(" is no array")).alias("error"))
+
+
+def per_file(cases: DataFrame, file: str = "file") -> DataFrame:
+    """(file, n) cases of each file."""
+    return cases.groupBy(file).agg(F.count("*").alias("n"))
+
+
 def check_cases(cases: DataFrame) -> DataFrame:
     """(file, case_id, error) of typed cases."""
     c = cases.select("file", "case_id", F.struct(*[F.col(x) for x in cases.columns if x != "file"]).alias("case"))
+    place = "pos" if "pos" in cases.columns else None
     layers = c.select("file", "case_id", F.explode(layer_errors(F.col("case"))).alias("what")).select("file", "case_id", F.concat(F.lit("missing "), "what").alias("error"))
-    numbered = cases.select("file", "case_id", F.monotonically_increasing_id().alias("at"))
+    numbered = cases.select("file", "case_id", (F.col(place) if place else F.monotonically_increasing_id()).alias("at"))
     twice = duplicates(numbered, ["file"], "case_id", "at").select("file", "case_id", F.lit("duplicate case_id").alias("error"))
     return layers.unionByName(twice)
 
 
-def schema_errors(files: DataFrame) -> DataFrame:
-    """(file, error) of schema files: unreadable ones, an $id that is no address, a $schema of another host."""
-    field = lambda n: F.get_json_object("text", f"$['{n}']")
+#: Hosts that a schema must not name as its own.
+MADE_UP_HOSTS = ("agentskills.io",)
+
+
+def schema_errors(files: DataFrame, made_up: tuple[str, ...] = MADE_UP_HOSTS) -> DataFrame:
+    """(file, error) of schema files: unreadable ones, an $id that is an outer address, a $schema of a made-up host.
+
+    An $id is a local name, so one that begins with http is wrong; what is missing is no error.
+    """
+    field = lambda n: F.coalesce(F.get_json_object("text", f"$['{n}']"), F.lit(""))
+    named = F.lit(False)
+    for host in made_up:
+        named = named | F.contains(field("$schema"), F.lit(host))
     bad = F.array_compact(F.array(
         F.when(F.col("parsed").isNull(), "not JSON"),
-        F.when(F.col("parsed").isNotNull() & ~F.coalesce(F.startswith(field("$id"), F.lit("http")), F.lit(False)), "$id"),
-        F.when(F.col("parsed").isNotNull() & ~F.coalesce(F.contains(field("$schema"), F.lit("json-schema.org")), F.lit(False)), "$schema"),
+        F.when(F.col("parsed").isNotNull() & F.startswith(field("$id"), F.lit("http")), "$id"),
+        F.when(F.col("parsed").isNotNull() & named, "$schema"),
     ))
     return files.select("file", F.explode(bad).alias("error"))
 
@@ -78,18 +100,28 @@ def exit_status(errors: DataFrame) -> DataFrame:
 
 
 def syntax_errors(files: DataFrame, path: str = "path", text: str = "text") -> DataFrame:
-    """(path, line, message) of Python sources that don't parse. Nothing is run; only parsing needs Python."""
+    """(path, line, message) of Python sources that don't compile, and of those that can't be read as UTF-8 (line 0).
+
+    Sources are texts or raw bytes; a mark of byte order at the beginning is none of the source. Nothing is run; only
+    compiling needs Python.
+    """
+    raw = dict(files.dtypes)[text] == "binary"
+
+    def fault(path: str, source) -> tuple | None:
+        try:
+            source = bytes(source or b"").decode("utf-8-sig") if raw else (source or "").removeprefix("\ufeff")
+        except UnicodeDecodeError as e:
+            return path, 0, f"cannot read: {e}"
+        try:
+            with warnings.catch_warnings():
+                warnings.simplefilter("ignore")
+                compile(source, path or "", "exec", dont_inherit=True)
+        except (SyntaxError, ValueError) as e:
+            return path, getattr(e, "lineno", None) or 0, getattr(e, "msg", None) or str(e)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            bad = []
-            for p, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                try:
-                    with warnings.catch_warnings():
-                        warnings.simplefilter("ignore")
-                        ast.parse(t or "")
-                except (SyntaxError, ValueError) as e:
-                    bad.append((p, getattr(e, "lineno", None), getattr(e, "msg", None) or str(e)))
+            bad = [x for p, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True) if (x := fault(p, t))]
             yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in bad], pa.string()), pa.array([x[1] for x in bad], pa.int32()), pa.array([x[2] for x in bad], pa.string())], names=["path", "line", "message"])
 
-    return files.select(F.col(path).cast("string").alias("path"), F.col(text).cast("string").alias("text")).mapInArrow(run, "path string, line int, message string")
+    return files.select(F.col(path).cast("string").alias("path"), F.col(text).alias("text")).mapInArrow(run, "path string, line int, message string")

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.anchors import anchored_pairs
 from ..functions.spans import stripped
 from ..functions.text import TOKEN_CLASSES, basename, normal_path, protected_tokens
 
@@ -55,9 +57,17 @@ def semantic_units(turns: DataFrame, group: str, order: str, text: str) -> DataF
 
 
 def batch_plan(units: DataFrame, group: str, order: str, size: int, prefix: str = "") -> DataFrame:
-    """Units with the number of their batch within a group."""
-    w = Window.partitionBy(group).orderBy(order)
-    return units.withColumn("batch", F.floor((F.row_number().over(w) - 1) / size).cast("bigint")).withColumn("batch_name", F.concat(F.lit(prefix), F.col(group), F.lit("-"), F.lpad(F.col("batch").cast("string"), 3, "0")))
+    """Units with the number of their batch within a group.
+
+    A group may hold most units, so units are dealt to ranges of (group, order) and numbered there; a range begins where
+    the counts of those before it end.
+    """
+    ranged = units.repartitionByRange(F.col(group), F.col(order)).withColumn("__range", F.spark_partition_id())
+    each = ranged.groupBy(group, "__range").agg(F.count("*").alias("n"))  # a row for each range and group in it
+    before = each.withColumn("__before", F.coalesce(F.sum("n").over(Window.partitionBy(group).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("n")
+    numbered = ranged.withColumn("__place", F.row_number().over(Window.partitionBy("__range", group).orderBy(order)) - 1)
+    placed = numbered.join(before.withColumnRenamed(group, "__group"), (F.col(group).eqNullSafe(F.col("__group"))) & (numbered["__range"] == before["__range"]))
+    return placed.withColumn("batch", F.floor((F.col("__place") + F.col("__before")) / size).cast("bigint")).drop("__range", "__place", "__before", "__group").withColumn("batch_name", F.concat(F.lit(prefix), F.col(group), F.lit("-"), F.lpad(F.col("batch").cast("string"), 3, "0")))
 
 
 def skip_done(batches: DataFrame, results: DataFrame, key: str) -> DataFrame:
@@ -67,8 +77,8 @@ def skip_done(batches: DataFrame, results: DataFrame, key: str) -> DataFrame:
 
 
 def merge_patch(units: DataFrame, patch: DataFrame, key: str, value: str) -> DataFrame:
-    """Units with patched values, and whether a value changed."""
-    new = patch.select(key, F.col(value).alias("__new"))
+    """Units with patched values, and whether a value changed. Of several patches of a key the greatest value counts."""
+    new = patch.groupBy(key).agg(F.max(value).alias("__new"))
     got = units.join(new, key, "left")
     changed = F.col("__new").isNotNull() & ~F.col("__new").eqNullSafe(F.col(value))
     return got.withColumn("changed", changed).withColumn(value, F.coalesce("__new", value)).drop("__new")
@@ -122,17 +132,19 @@ def term_hits(terms: DataFrame, texts: DataFrame, key: str, text: str, term: str
 
 
 def header_blocks(texts: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, id, body): blocks of lines that begin with an id ("[id]:" or "id "), ids with _ or of digits.
+    """(key, id, body): blocks of lines that begin with an id ("[id]:" or "id "), ids with _ or of digits; they may hold
+    hyphens.
 
-    Lines before the first header are dropped; of equal ids the last block wins; bodies are trimmed.
+    Lines before the first header are dropped; of equal ids the last block wins; bodies lose white space at both ends,
+    line ends and tabs included.
     """
-    head = r"^\s*\[?([A-Za-z0-9_]+)\]?[:\s]\s*(.*)$"
+    head = r"^\s*\[?([A-Za-z0-9_-]+)\]?[:\s]\s*(.*)$"
     lines = texts.select(F.col(key), F.posexplode(F.split(F.coalesce(text, F.lit("")), "\n")).alias("at", "line"))
     id_ = F.regexp_extract("line", head, 1)
     lines = lines.withColumn("id", F.when(F.contains(id_, F.lit("_")) | F.rlike(id_, F.lit("^[0-9]+$")), id_)).withColumn("body", F.when(F.col("id").isNotNull(), F.regexp_extract("line", head, 2)).otherwise(F.col("line")))
     block = F.count("id").over(Window.partitionBy(key).orderBy("at").rowsBetween(Window.unboundedPreceding, 0))
     blocks = lines.withColumn("block", block).where("block > 0").groupBy(key, "block").agg(F.max("id").alias("id"), F.array_sort(F.collect_list(F.struct("at", "body"))).alias("parts"))
-    blocks = blocks.select(key, "block", "id", F.trim(F.array_join(F.transform("parts", lambda p: p["body"]), "\n")).alias("body"))
+    blocks = blocks.select(key, "block", "id", F.regexp_replace(F.array_join(F.transform("parts", lambda p: p["body"]), "\n"), r"(?U)^\s+|\s+$", "").alias("body"))
     return blocks.groupBy(key, "id").agg(F.max_by("body", "block").alias("body"))
 
 
@@ -166,20 +178,26 @@ def redirect_artefacts(*listings: DataFrame) -> DataFrame:
 
 
 def expectations(units: DataFrame, expected: DataFrame, key: str = "source", value: str = "dest") -> DataFrame:
-    """Units beside the rendering expected of their source: MATCH, MISMATCH, KEEP (expected unchanged) or UNKNOWN."""
-    got = units.join(expected.select(key, F.col("expected")), key, "left")
+    """Units beside the rendering expected of their source: MATCH, MISMATCH, KEEP (expected unchanged) or UNKNOWN. Of
+    several renderings of a source the least counts."""
+    got = units.join(expected.groupBy(key).agg(F.min("expected").alias("expected")), key, "left")
     verdict = F.when(F.col("expected").isNull(), "UNKNOWN").when(F.col(value) == F.col("expected"), F.when(F.col("expected") == F.col(key), "KEEP").otherwise("MATCH")).otherwise("MISMATCH")
     return got.withColumn("result", verdict)
 
 
-def token_audit(units: DataFrame) -> DataFrame:
-    """Units whose dest lost a tag of the source, with count, or has another number of %s and %d."""
-    tags = lambda c: F.regexp_extract_all(c, F.lit(TOKEN_CLASSES["tag"]), F.lit(0))
-    count = lambda c, p: F.regexp_count(c, F.lit(p))
-    of = lambda a, t: F.size(F.filter(a, lambda x: x == t))
-    lost = F.filter(F.array_distinct("__s"), lambda t: of(F.col("__d"), t) < of(F.col("__s"), t))
-    got = units.withColumn("__s", tags("source")).withColumn("__d", tags("dest")).withColumn("lost", lost).withColumn("format_gap", (count("source", "%[sd]") - count("dest", "%[sd]")).cast("bigint"))
-    return got.where((F.size("lost") > 0) | (F.col("format_gap") != 0)).drop("__s", "__d")
+def token_audit(units: DataFrame, unit: str = "unit_id") -> DataFrame:
+    """Units whose dest lost a tag of the source (``lost``: each such tag), or has another number of %s and %d.
+
+    Tags are counted with a sign, plus in the source and minus in the dest, so a page of many tags costs no more than its
+    length. Unit ids are distinct.
+    """
+    pattern = F.lit(TOKEN_CLASSES["tag"])
+    signed = lambda c, n: F.transform(F.regexp_extract_all(c, pattern, F.lit(0)), lambda t: F.struct(t.alias("tag"), F.lit(n).alias("n")))
+    both = units.where("source <> dest").select(unit, F.inline(F.concat(signed("source", 1), signed("dest", -1))))
+    lost = both.groupBy(unit, "tag").agg(F.sum("n").alias("n")).where("n > 0").groupBy(unit).agg(F.collect_list("tag").alias("lost"))
+    count = lambda c: F.regexp_count(c, F.lit("%[sd]"))
+    got = units.withColumn("format_gap", (count("source") - count("dest")).cast("bigint")).join(lost, unit, "left")
+    return got.where(F.col("lost").isNotNull() | (F.col("format_gap") != 0)).withColumn("lost", F.coalesce("lost", F.array().cast("array<string>")))
 
 
 def length_outliers(units: DataFrame, low: float, high: float) -> DataFrame:
@@ -193,12 +211,23 @@ def extracted_tokens(units: DataFrame, key: str, text: str) -> DataFrame:
     return units.select(key, F.inline(protected_tokens(text))).groupBy(key, "kind", "token").agg(F.count("*").alias("n"))
 
 
-def dialogue_tree(edges: DataFrame, roots: DataFrame, depth: int = 10) -> DataFrame:
-    """(root, node, depth) of nodes reached from roots in at most so many steps; a node is visited once for each root."""
-    level = roots.select(F.col("node").alias("root"), "node").withColumn("depth", F.lit(0))
+def dialogue_tree(edges: DataFrame, roots: DataFrame, depth: int = 10, cut: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """(root, node, depth) of nodes reached from roots in at most so many steps; a node is visited once for each root.
+
+    ``cut`` writes each level out, so that plans do not grow with the depth; by default levels are checkpointed in the
+    shared folder, where one is set.
+    """
+    spark = edges.sparkSession
+    if cut is None:
+        at = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+        if at and not spark.sparkContext.getCheckpointDir():
+            spark.sparkContext.setCheckpointDir(at)
+        cut = (lambda df: df.checkpoint()) if at else (lambda df: df)
+    steps = edges.select(F.col("parent").alias("node"), F.col("child"))
+    level = roots.select(F.col("node").alias("root"), "node").distinct().withColumn("depth", F.lit(0))
     seen = level
     for d in range(1, depth + 1):
-        level = level.join(edges.select(F.col("parent").alias("node"), F.col("child")), "node").select("root", F.col("child").alias("node")).distinct().join(seen, ["root", "node"], "left_anti").withColumn("depth", F.lit(d))
+        level = cut(level.join(steps, "node").select("root", F.col("child").alias("node")).distinct().join(seen, ["root", "node"], "left_anti").withColumn("depth", F.lit(d)))
         seen = seen.unionByName(level)
     return seen
 
@@ -211,6 +240,60 @@ def import_worker(request: DataFrame, blocks: DataFrame) -> DataFrame:
     return got.select("id", "source", "body", F.when(F.col("asked").isNull(), "EXTRA").when(F.col("got").isNull() | blank, "MISSING").otherwise("OK").alias("state"))
 
 
+def chained_lookup(wanted: DataFrame, parsed: DataFrame) -> DataFrame:
+    """(id, source, body, found): what a request (id, source, at: its place from 0) got from parsed blocks (id, body).
+
+    Found by the exact ``id``, else by ``place``: the number that a parsed id ends in; else MISSING, and never the source in
+    place of a rendering. Of several blocks that end in one number the last id counts; blank bodies are none.
+    """
+    full = parsed.where(F.regexp_replace("body", r"\s", "") != "")
+    exact = full.groupBy("id").agg(F.max("body").alias("by_id"))
+    number = F.regexp_extract("id", r"(\d{1,18})$", 1).try_cast("bigint")
+    placed = full.withColumn("at", number).where("at is not null").groupBy("at").agg(F.max_by("body", "id").alias("by_place"))
+    got = wanted.join(exact, "id", "left").join(placed, "at", "left")
+    found = F.when(F.col("by_id").isNotNull(), "id").when(F.col("by_place").isNotNull(), "place").otherwise("MISSING")
+    return got.select("id", "source", F.coalesce("by_id", "by_place").alias("body"), found.alias("found"))
+
+
+#: The states of a decision, and those that each may go to.
+STATES = {"PROVISIONAL": ("CONFIRMED", "REVIEW", "KEEP", "OVERRIDE"), "REVIEW": ("CONFIRMED", "PROVISIONAL", "KEEP", "OVERRIDE"), "CONFIRMED": ("REVIEW", "OVERRIDE"), "KEEP": ("REVIEW", "OVERRIDE"), "OVERRIDE": ("REVIEW",)}
+
+
+def advance(decisions: DataFrame, asked: DataFrame, key: str = "term_id") -> DataFrame:
+    """Decisions (key, status) after what is asked (key, status): with status, and an error where the step is not allowed.
+
+    A state may stay as it is. A key without a state is PROVISIONAL. An unknown state, or several asked of a key, is an
+    error, and the state stays.
+    """
+    want = asked.groupBy(key).agg(F.min("status").alias("to"), F.count_distinct("status").alias("n"))
+    got = decisions.join(want, key, "left").withColumn("status", F.coalesce("status", F.lit("PROVISIONAL")))
+    allowed = F.create_map(*[x for k, v in STATES.items() for x in (F.lit(k), F.array(*map(F.lit, v)))])
+    ok = (F.col("n") == 1) & ((F.col("to") == F.col("status")) | F.coalesce(F.array_contains(F.try_element_at(allowed, F.col("status")), F.col("to")), F.lit(False)))
+    error = F.when(F.col("n").isNotNull() & ~ok, F.concat(F.col("status"), F.lit(" to "), F.coalesce("to", F.lit("?"))))
+    return got.withColumn("error", error).withColumn("status", F.when(ok, F.col("to")).otherwise(F.col("status"))).drop("to", "n")
+
+
+def elapsed(events: DataFrame, group: str, ts: str = "ts") -> DataFrame:
+    """(group, started, ended, seconds): time from the first to the last event of each group."""
+    got = events.groupBy(group).agg(F.min(ts).alias("started"), F.max(ts).alias("ended"))
+    return got.withColumn("seconds", F.unix_micros(F.col("ended").cast("timestamp")) / 1e6 - F.unix_micros(F.col("started").cast("timestamp")) / 1e6)
+
+
+def evidence_in_sentences(names: DataFrame, evidence: DataFrame, tiers: tuple[str, ...] = ("core", "extension", "technical")) -> DataFrame:
+    """(english, source, dest, tier, place): evidence rows whose source holds a name as whole words, official ones first.
+
+    Names inside whole sentences, which a join on equality misses; found by a join on tokens.
+    """
+    rows = evidence.where("source <> dest").select("source", "dest", "tier").distinct().withColumn("row", F.xxhash64("source", "dest", "tier"))
+    pairs = anchored_pairs(rows, names.select("english").distinct().withColumn("name", F.col("english")), unit="row", form="name")
+    rank = F.when(F.lit(False), 0)
+    for i, t in enumerate(tiers):
+        rank = rank.when(F.col("tier") == t, i)
+    got = pairs.join(rows, "row").withColumn("r", rank.otherwise(len(tiers)))
+    w = Window.partitionBy("name").orderBy("r", F.length("source"), "source", "dest")
+    return got.withColumn("place", F.row_number().over(w)).select(F.col("name").alias("english"), "source", "dest", "tier", "place")
+
+
 def any_contains(rows: DataFrame, group: str, text: str, needle: str) -> DataFrame:
     """(group, found): whether any text of a group holds the needle."""
     return rows.groupBy(group).agg(F.coalesce(F.bool_or(F.contains(text, F.lit(needle))), F.lit(False)).alias("found"))

@@ -11,6 +11,7 @@ from ..functions.spans import occurrences, stripped
 from ..functions.anchors import anchored_pairs
 from ..functions.text import last_line, version, xml_index
 from ..operators import contract, gate, validate, workflow
+from ..schema import CONTRACT
 from ..sources import derived_units
 from . import dims
 
@@ -286,12 +287,12 @@ def anchor_counts(spark, d):
     return anchored_pairs(_units(spark, d), forms, form="english").groupBy("english").agg(F.count("*").alias("n_units"))
 
 
-WARNINGS = "warnings AS (SELECT event_id, regexp_extract(label, 'xml-index:([0-9]+)', 1)::BIGINT AS xml_index FROM (SELECT event_id, 'xml-index:' || event_id AS label FROM events WHERE event_id % 7 = 0))"
+WARNINGS = "warnings AS (SELECT event_id, regexp_extract(label, 'xml-index:([0-9]+)', 1)::BIGINT AS xml_index FROM (SELECT event_id, 'xml-index:' || event_id AS label FROM events))"
 
 
-@_query("warning_triage", f"WITH {UNITS}, {WARNINGS} SELECT xml_index, CASE WHEN source IS NULL THEN 'NOT FOUND' WHEN NOT contains(lower(source), 'that') THEN 'IGNORE' WHEN contains(dest, '晨星月') THEN 'FALSE POSITIVE' ELSE 'REVIEW' END AS triage FROM warnings LEFT JOIN units ON xml_index = unit_id")
+@_query("warning_triage", f"WITH {UNITS}, {WARNINGS} SELECT xml_index, CASE WHEN source IS NULL THEN 'NOT FOUND' WHEN NOT contains(source, 'that') THEN 'IGNORE' WHEN contains(dest, '晨星月') THEN 'FALSE POSITIVE' ELSE 'REVIEW' END AS triage FROM warnings LEFT JOIN units ON xml_index = unit_id")
 def warning_triage(spark, d):
-    w = _t(spark, d, "events").where("event_id % 7 = 0").select(xml_index(F.concat(F.lit("xml-index:"), "event_id")).alias("xml_index"), F.lit("t.month").alias("term_id"), F.lit("晨星月").alias("expected"))
+    w = _t(spark, d, "events").select(xml_index(F.concat(F.lit("xml-index:"), "event_id")).alias("xml_index"), F.lit("t.month").alias("term_id"), F.lit("晨星月").alias("expected"))
     return contract.triage(w, _units(spark, d), dims.terms(spark)).select("xml_index", "triage")
 
 
@@ -524,3 +525,42 @@ def incremental_write(spark, d):
     new = _t(spark, d, "customer").select("c_custkey", "c_name", "c_mktsegment")
     old = new.where("c_custkey % 10 <> 9").withColumn("c_mktsegment", F.when(F.col("c_custkey") % 4 == 0, "OLD").otherwise(F.col("c_mktsegment")))
     return workflow.changed_rows(new, old, "c_custkey", "c_name", "c_mktsegment").select("c_custkey")
+
+
+@_query("keep002", f"WITH {NAMES} SELECT unit_id, 'KEEP002' AS code, source AS expected FROM names WHERE unit_id % 2 = 0 AND dest <> source")
+def keep002(spark, d):
+    n = _names(spark, d)
+    u = contract.compile_contract(n, dims.terms(spark), global_keep=n.where("unit_id % 2 = 0").select(F.col("source").alias("text")))
+    return gate.violations(u, gate.GateConfig(rules=("keep",))).select("unit_id", "code", "expected")
+
+
+@_query("xml001", f"WITH {MARKUP}, n AS (SELECT unit_id, source <> dest AND (contains(source, '<b>') AND unit_id % 3 = 1 OR contains(source, '<article>') AND unit_id % 3 = 2) AS broken FROM markup) SELECT unit_id, 'XML001' AS code FROM n WHERE broken")
+def xml001(spark, d):
+    u = _markup(spark, d).withColumn("contract", F.lit(None).cast(CONTRACT))
+    return gate.violations(u, gate.GateConfig(rules=("xml_structure",))).select("unit_id", "code")
+
+
+@_query("chained_lookup", "SELECT c_custkey::VARCHAR AS id, CASE WHEN c_custkey % 3 = 0 THEN 'id' WHEN c_custkey % 3 = 1 THEN 'place' ELSE 'MISSING' END AS found FROM customer")
+def chained_lookup(spark, d):
+    c = _t(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("id"), F.col("c_name").alias("source"), F.col("c_custkey").cast("bigint").alias("at"))
+    parsed = c.where("at % 3 < 2").select(F.when(F.col("at") % 3 == 0, F.col("id")).otherwise(F.concat(F.lit("x_"), "id")).alias("id"), F.col("source").alias("body"))
+    return workflow.chained_lookup(c, parsed).select("id", "found")
+
+
+@_query("time_delta", "SELECT event_type, (epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6 AS seconds FROM events GROUP BY event_type")
+def time_delta(spark, d):
+    return workflow.elapsed(_t(spark, d, "events"), "event_type").select("event_type", "seconds")
+
+
+@_query("cases_per_file", "SELECT source, count(*)::BIGINT AS n FROM documents GROUP BY source")
+def cases_per_file(spark, d):
+    return validate.per_file(_t(spark, d, "documents").select("source"), "source")
+
+
+@_query("decision_states", "SELECT o_orderkey, CASE WHEN o_orderstatus = 'O' AND o_orderkey % 2 = 0 THEN 'CONFIRMED' WHEN o_orderstatus = 'O' THEN 'REVIEW' WHEN o_orderstatus = 'F' THEN 'KEEP' ELSE 'PROVISIONAL' END AS status, CASE WHEN o_orderstatus = 'F' AND o_orderkey % 2 = 0 THEN 'KEEP to CONFIRMED' END AS error FROM orders WHERE o_orderstatus <> 'P' OR o_orderkey % 2 = 1 UNION ALL SELECT o_orderkey, 'CONFIRMED', NULL FROM orders WHERE o_orderstatus = 'P' AND o_orderkey % 2 = 0")
+def decision_states(spark, d):
+    o = _t(spark, d, "orders")
+    s = F.col("o_orderstatus")
+    now = o.select("o_orderkey", F.when(s == "O", "REVIEW").when(s == "F", "KEEP").alias("status"))
+    asked = o.where("o_orderkey % 2 = 0").select("o_orderkey", F.lit("CONFIRMED").alias("status"))
+    return workflow.advance(now, asked, "o_orderkey").select("o_orderkey", "status", "error")

@@ -18,12 +18,18 @@ def escaped(text: str) -> str:
 
 def splice(xml: str, new: dict[int, str]) -> str:
     """The document with the Dest of numbered units replaced; every other character stays as it is."""
-    out, at = [], 0
+    return spliced(xml, new)[0]
+
+
+def spliced(xml: str, new: dict[int, str]) -> tuple[str, set[int]]:
+    """The same, and the numbers that have been replaced; others have no such unit, or one without a Dest."""
+    out, at, done = [], 0, set()
     for i, unit in enumerate(_UNIT.finditer(xml)):
         if i in new and (d := _DEST.search(xml, unit.start(), unit.end())):
             out += [xml[at : d.start(2)], escaped(new[i])]
             at = d.end(2)
-    return "".join(out) + xml[at:]
+            done.add(i)
+    return "".join(out) + xml[at:], done
 
 
 def skeleton(xml: str) -> str:
@@ -32,7 +38,12 @@ def skeleton(xml: str) -> str:
 
 
 def splice_files(files: DataFrame, changes: DataFrame) -> DataFrame:
-    """files (file, xml), changes (file, xml_index, dest) -> (file, xml, changed, intact). One document is one row."""
+    """files (file, xml), changes (file, xml_index, dest) -> (file, xml, changed, unmatched, intact).
+
+    One document is one row. changed counts what was replaced; unmatched are the numbers that no unit with a Dest has; of
+    several changes of a unit the greatest text counts.
+    """
+    changes = changes.groupBy("file", "xml_index").agg(F.max("dest").alias("dest"))
     per = changes.groupBy("file").agg(F.collect_list(F.struct(F.col("xml_index").alias("i"), F.col("dest").alias("d"))).alias("new"))
     both = files.join(per, "file", "left")
 
@@ -41,11 +52,39 @@ def splice_files(files: DataFrame, changes: DataFrame) -> DataFrame:
             rows = []
             for f, xml, new in zip(b["file"], b["xml"], b["new"], strict=True):
                 changed = {} if new is None else {int(x["i"]): x["d"] for x in new}
-                after = splice(xml, changed)
-                rows.append((f, after, len(changed), skeleton(after) == skeleton(xml)))
-            yield pd.DataFrame(rows, columns=["file", "xml", "changed", "intact"])
-
-    return both.select("file", "xml", "new").mapInPandas(run, "file string, xml string, changed bigint, intact boolean")
+                after, done = spliced(xml, changed)
+                rows.append((f, after, len(done), sorted(set(changed) - done), skeleton(after) == skeleton(xml)))
+            yield pd.DataFrame(rows, columns=["file", "xml", "changed", "unmatched", "intact"])
+
+    return both.select("file", "xml", "new").mapInPandas(run, "file string, xml string, changed bigint, unmatched array<bigint>, intact boolean")
+
+
+def write_xml(spliced_files: DataFrame, folder: str) -> DataFrame:
+    """Writes each document (file, xml, intact) to a new file of a folder, through the file system Spark reaches, and reads
+    it back: (file, written, sha256, verified).
+
+    Documents that are not intact are not written; a file that is there already is never replaced, so a task that runs
+    again finds its own file, and verifies it.
+    """
+    spark = spliced_files.sparkSession
+    name = F.regexp_replace("file", r"^.*[/\\\\]", "")
+    rows = spliced_files.where("intact").select("file", F.encode("xml", "utf-8").alias("content"), name.alias("name"))
+    twice = rows.groupBy("name").count().where("count > 1").first()
+    if twice:
+        raise ValueError(f"two documents are named {twice['name']}")
+    jvm, root = spark._jvm, folder.rstrip("/")
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(path)
+    for r in rows.toLocalIterator():  # one document at a time; files of a plugin are few
+        at = jvm.org.apache.hadoop.fs.Path(root, r["name"])
+        if not fs.exists(at):
+            out = fs.create(at, False)
+            out.write(bytes(r["content"]))
+            out.close()
+    back = spark.read.format("binaryFile").load(root).select(F.substring_index("path", "/", -1).alias("name"), F.col("path").alias("written"), F.sha2("content", 256).alias("sha256"))
+    wanted = rows.select("file", "name", F.sha2("content", 256).alias("wanted"))
+    return wanted.join(back, "name").select("file", "written", "sha256", (F.col("sha256") == F.col("wanted")).alias("verified"))
 
 
 def write_report(df: DataFrame, path: str, form: str = "parquet") -> None:

@@ -17,12 +17,12 @@ def read_json(spark: SparkSession, path: str, schema: str, recursive: bool = Tru
 
 def read_cases(spark: SparkSession, path: str) -> DataFrame:
     """One row for each regression case of all files below a folder."""
-    return read_json(spark, path, CASE_FILE).where(F.col("corrupt").isNull()).select("file", F.inline("cases"))
+    return read_json(spark, path, CASE_FILE).where(F.col("corrupt").isNull()).select("file", F.posexplode("cases").alias("pos", "c")).select("file", "pos", "c.*")
 
 
-def read_raw_json(spark: SparkSession, path: str) -> DataFrame:
+def read_raw_json(spark: SparkSession, path: str, recursive: bool = True) -> DataFrame:
     """(file, text, parsed: variant or null) of each file, for checks of keys that a schema would hide."""
-    raw = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").text(path)
+    raw = spark.read.option("wholetext", True).option("recursiveFileLookup", recursive).option("pathGlobFilter", "*.json").text(path)
     return raw.select(F.col("_metadata.file_path").alias("file"), without_bom("value").alias("text")).withColumn("parsed", F.try_parse_json("text"))
 
 
@@ -51,6 +51,24 @@ def read_units_xml(spark: SparkSession, path: str, plugin: str | None = None) ->
     return rows.select(F.lit(plugin).alias("plugin") if plugin else F.substring_index("file", "/", -1).alias("plugin"), F.col("REC").alias("rec"), F.col("EDID").alias("edid"), F.col("Source").alias("source"), F.col("Dest").alias("dest"), "file")
 
 
+def read_xml_files(spark: SparkSession, path: str) -> DataFrame:
+    """(file, xml) of whole documents, character by character as they are: what a writer splices."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return files.select("path", F.decode("content", "utf-8").alias("xml")).withColumnRenamed("path", "file")
+
+
+def xml_units(files: DataFrame, plugin: str | None = None) -> DataFrame:
+    """Units of whole documents (file, xml), with the number of each <String> in its file: it can be gated by ``unit_id``
+    and spliced back by (file, xml_index). Texts come without their escapes; a unit without a REC or EDID has nulls."""
+    unescaped = lambda c: F.replace(F.replace(F.replace(F.replace(F.replace(c, F.lit("&lt;"), F.lit("<")), F.lit("&gt;"), F.lit(">")), F.lit("&quot;"), F.lit('"')), F.lit("&apos;"), F.lit("'")), F.lit("&amp;"), F.lit("&"))
+    of = lambda tag: F.regexp_extract("s", f"(?s)<{tag}>(.*?)</{tag}>", 1)
+    has = lambda tag: F.rlike("s", F.lit(f"(?s)<{tag}>.*?</{tag}>|<{tag}/>"))
+    value = lambda tag: F.when(has(tag), unescaped(of(tag)))
+    rows = files.select("file", F.posexplode(F.regexp_extract_all("xml", F.lit(r"(?s)<String\b[^>]*>.*?</String>"), F.lit(0))).alias("xml_index", "s"))
+    name = F.lit(plugin) if plugin else F.substring_index("file", "/", -1)
+    return rows.select("file", F.col("xml_index").cast("bigint").alias("xml_index"), F.concat_ws("#", "file", "xml_index").alias("unit_id"), name.alias("plugin"), value("REC").alias("rec"), value("EDID").alias("edid"), value("Source").alias("source"), value("Dest").alias("dest"))
+
+
 def parse_term_rules(blocks: DataFrame, column: str = "value") -> DataFrame:
     """(search, replace) of StartRule blocks, one text each; blocks without a search text are left out."""
     field = lambda name: F.regexp_extract(column, rf"(?m)^\s*{name}\s*=(.*)$", 1)
@@ -77,10 +95,12 @@ def read_listing(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     return files.select(normal_path("path").alias("path"), "length")
 
 
-def parse_pipe_table(lines: DataFrame, columns: list[str], column: str = "value") -> DataFrame:
-    """Rows of a pipe table with as many cells as columns; header and rule lines are left out."""
+def parse_pipe_table(lines: DataFrame, columns: list[str], column: str = "value", header: list[str] | None = None) -> DataFrame:
+    """Rows of a pipe table with as many cells as columns; rule lines are left out, and so is a header that has the names
+    of the columns. (A table's header has no other mark once lines come in no order.)"""
     cells = F.transform(F.split(F.regexp_replace(F.trim(column), r"^\||\|$", ""), r"\|"), lambda x: F.trim(x))
     rows = lines.where(F.trim(column).startswith("|")).select(cells.alias("c")).where((F.size("c") == len(columns)) & ~F.forall("c", lambda x: F.rlike(x, F.lit("^:?-+:?$"))))
+    rows = rows.where(~(F.transform("c", lambda x: F.lower(x)) == F.array(*[F.lit(n.lower()) for n in (header or columns)])))
     return rows.select(*[F.col("c")[i].alias(n) for i, n in enumerate(columns)])
 
 
