@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import bound_batches, pick, table
 
 #: Pieces whose ids a worker keeps in each of two generations; when the younger is full, the older goes.
-KEPT = 250_000
+KEPT = 100_000
 #: Characters with which the regular expression and the library agree.
 PLAIN = re.compile(r"[\t\n\r\x20-\x7e\xa1-ɏ]*")
 #: How the library cuts lower-cased plain texts: every character of U+00F8 to U+024F is a letter.
@@ -72,10 +72,6 @@ class PairIndexBpe:
         self._special = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self._chars = byte_chars()
         self._bytes = {c: b for b, c in enumerate(self._chars)}
-        most = max(max(self.vocab.values()), *self.special.values(), 0)
-        self.token = [""] * (most + 1)
-        for t, i in {**self.vocab, **self.special}.items():
-            self.token[i] = t
         self._fixed = {t: np.array([i], "<u4").tobytes() for t, i in self.special.items()}
         self._known: dict[str, bytes] = dict(self._fixed)
         self._older: dict[str, bytes] = {}
@@ -178,6 +174,18 @@ class PairIndexBpe:
             known[piece] = np.array(ids, "<u4").tobytes()
         return [b"".join(map(known.__getitem__, c)) for c in cut]
 
+
+class Decoder:
+    """The tokens of a vocabulary file by id, and no more: decoding workers stay small."""
+
+    def __init__(self, path: str):
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        of = {**spec["model"]["vocab"], **{t["content"]: t["id"] for t in spec.get("added_tokens", [])}}
+        self.token = [""] * (max(of.values(), default=-1) + 1)
+        for t, i in of.items():
+            self.token[i] = t
+
     def decode(self, ids: bytes) -> str:
         """The text the library's decoder gives, special tokens included."""
         got = np.frombuffer(ids, "<u4").tolist()
@@ -193,6 +201,15 @@ def worker_bpe(path: str) -> PairIndexBpe:
     return _LOADED[path]
 
 
+_DECODERS: dict[str, Decoder] = {}
+
+
+def worker_decoder(path: str) -> Decoder:
+    if path not in _DECODERS:
+        _DECODERS[path] = Decoder(path)
+    return _DECODERS[path]
+
+
 def default_path() -> str:
     import public_tokenizers
 
@@ -220,10 +237,10 @@ def digest(encoded: DataFrame, path: str | None = None, key: str = "doc_id") ->
     src = pick(encoded, key, "ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = worker_bpe(path)
+        decoder = worker_decoder(path)
         for b in batches:
             ids = [x or b"" for x in b.column(1).to_pylist()]
-            texts = [bpe.decode(x) for x in ids]
+            texts = [decoder.decode(x) for x in ids]
             yield pa.RecordBatch.from_arrays(
                 [
                     b.column(0),
