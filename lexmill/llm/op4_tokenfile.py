@@ -5,12 +5,15 @@
    commonest first, so that common ids take one byte.
 3. Each document is coded: two bits of a control byte tell how many bytes (1 to 4) an id's rank takes; four ids share a
    control byte; control bytes and data bytes are kept apart.
-4. Documents are dealt to ranges of doc_id, sorted there, and written as blocks of bounded size. A block is a row of a
-   Parquet file, so any file system that Spark reaches will do: ``bucket``, ``seq``, ``start`` (tokens before it in its
-   bucket), ``doc_ids``, ``counts``, ``control``, ``data``. The rank table is a file beside them.
+4. Documents are dealt to ranges of doc_id, sorted there, and written as blocks of bounded size, so that the parts of the
+   file lie in ascending order. A block is a row of a Parquet file, so any file system that Spark reaches will do:
+   ``bucket``, ``seq``, ``start`` (tokens before it in its bucket), ``doc_ids``, ``counts``, ``control``, ``data``. Beside
+   the blocks lies ``index``: the id of each rank, and the tokens before each bucket. The folder is all that reading needs.
 5. Reading decodes whole blocks with numpy: control bytes index a table of lengths, offsets are their running sum.
 
-Null and empty texts hold the end id alone. Null ids come first; rows of the same id keep an order by their coded bytes.
+Null and empty texts hold the end id alone. Null ids come first. Rows of one id lie together; an id or null that has more
+rows than a range holds is dealt to several ranges by a checksum of what is coded, and in a range they keep an order by
+their coded bytes. An empty table gives a file without blocks. Extra columns are left out.
 """
 
 from __future__ import annotations
@@ -18,6 +21,7 @@ from __future__ import annotations
 import math
 import os
 import re
+import uuid
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -27,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Stage, bound_batches, pick, table
+from .common import Stage, bound_batches, pick, shared_dir, table
 from .op2_bpe import byte_chars
 
 END_ID = 2
@@ -178,29 +182,52 @@ def _kind(path: str) -> str:
 
 
 class TokenFile:
-    """A written token file: its blocks, the id of each rank, and the tokens before each bucket."""
+    """A written token file, known by its folder alone."""
 
-    def __init__(self, blocks: Stage, ids_by_rank: np.ndarray, base: dict[int, int]):
-        self.blocks, self.ids_by_rank, self.base = blocks, ids_by_rank, base
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+        row = spark.read.schema(_INDEX).parquet(f"{path}/index").first()
+        self.ids_by_rank = np.frombuffer(row.ids_by_rank, "<u4")
+        self.base = dict(zip(row.buckets, row.starts, strict=True))
 
     def read(self, key: str = "doc_id") -> DataFrame:
         """(key, start, n_tokens, ids_crc32) of each document, from the files."""
+
+        def row(doc: pa.Array, before: np.ndarray, counts: np.ndarray, ids: list[np.ndarray]) -> list[pa.Array]:
+            return [doc, pa.array(before, pa.int64()), pa.array(counts, pa.int64()), pa.array([zlib.crc32(x.tobytes()) for x in ids], pa.int64())]
+
+        return self._decoded(row, [key, "start", "n_tokens", "ids_crc32"], f"`{key}` bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
+
+    def ids(self, key: str = "doc_id") -> DataFrame:
+        """(key, start, ids: packed little-endian unsigned 32-bit integers) of each document, from the files."""
+
+        def row(doc: pa.Array, before: np.ndarray, counts: np.ndarray, ids: list[np.ndarray]) -> list[pa.Array]:
+            return [doc, pa.array(before, pa.int64()), pa.array([x.tobytes() for x in ids], pa.binary())]
+
+        return self._decoded(row, [key, "start", "ids"], f"`{key}` bigint, start bigint, ids binary")
+
+    def _decoded(self, row, names: list[str], schema: str) -> DataFrame:
         by_rank, base = self.ids_by_rank, self.base
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                for row in b.to_pylist():
-                    counts = np.frombuffer(row["counts"], "<i8")
-                    ids = by_rank[vbyte_decode(row["control"], row["data"])].astype("<u4")
+                for block in b.to_pylist():
+                    counts = np.frombuffer(block["counts"], "<i8")
+                    ids = by_rank[vbyte_decode(block["control"], block["data"])]
                     first = np.cumsum(-(-counts // 4) * 4) - (-(-counts // 4) * 4)  # documents begin at whole groups
-                    before = base[row["bucket"]] + row["start"] + np.cumsum(counts) - counts
-                    crc = [zlib.crc32(ids[f : f + n].tobytes()) for f, n in zip(first.tolist(), counts.tolist(), strict=True)]
-                    yield pa.RecordBatch.from_arrays([pa.array(row["doc_ids"], pa.int64()), pa.array(before, pa.int64()), pa.array(counts, pa.int64()), pa.array(crc, pa.int64())], names=[key, "start", "n_tokens", "ids_crc32"])
+                    before = base[block["bucket"]] + block["start"] + np.cumsum(counts) - counts
+                    cut = [ids[f : f + n] for f, n in zip(first.tolist(), counts.tolist(), strict=True)]
+                    yield pa.RecordBatch.from_arrays(row(pa.array(block["doc_ids"], pa.int64()), before, counts, cut), names=names)
+
+        return self.spark.read.schema(_BLOCKS).parquet(f"{self.path}/blocks").mapInArrow(run, schema)
 
-        return self.blocks.df.mapInArrow(run, f"`{key}` bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
 
+_INDEX = "ids_by_rank binary, buckets array<int>, starts array<bigint>"
+_BLOCKS = "bucket int, seq bigint, start bigint, doc_ids array<bigint>, counts binary, control binary, data binary"
 
-def write(docs: DataFrame, path: str | None = None, end_id: int = END_ID, key: str = "doc_id", text: str = "text") -> TokenFile:
+
+def write(docs: DataFrame, path: str | None = None, end_id: int = END_ID, key: str = "doc_id", text: str = "text", to: str | None = None) -> TokenFile:
+    """Writes the token file to a folder ``to`` (else a new one in the shared folder)."""
     spark = docs.sparkSession
     bound_batches(spark)
     path = path or default_path()
@@ -224,8 +251,16 @@ def write(docs: DataFrame, path: str | None = None, end_id: int = END_ID, key: s
     common = np.array(ids_by_rank[:1], kind).tobytes()
     fill, tokens = common * 3, sum(r.n for r in counts)
     buckets = min(MOST_BUCKETS, max(1, math.ceil(tokens / BUCKET_TOKENS)))
-    cuts = np.array(rows.approxQuantile(key, [i / buckets for i in range(1, buckets)], 0.2 / buckets) if buckets > 1 else [], np.float64)
-    cuts = np.unique(cuts.astype(np.int64))
+    # Equal cuts mean an id of many rows: they share the ranges between them. Nulls have ranges of their own, in front.
+    cuts = np.array(rows.approxQuantile(key, [i / buckets for i in range(1, buckets)], 0.2 / buckets) if buckets > 1 else [], np.float64).astype(np.int64)
+    n = rows.agg(F.count("*").alias("all"), F.count_if(F.col(key).isNull()).alias("null")).first()
+    nulls = max(1, math.ceil(buckets * n["null"] / max(1, n["all"])))
+
+    def bucket_of(k: int | None, crc: int) -> int:
+        if k is None:
+            return crc % nulls
+        left, right = (int(np.searchsorted(cuts, k, side=x)) for x in ("left", "right"))
+        return nulls + (right if right - left < 2 else left + 1 + crc % (right - left))
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -234,11 +269,11 @@ def write(docs: DataFrame, path: str | None = None, end_id: int = END_ID, key: s
             # The commonest id has rank 0, which fills up last groups.
             filled = b"".join([part for x, k in zip(packed, n.tolist(), strict=True) for part in (x, fill[: -k % 4 * len(common)])])
             control, data = vbyte_encode(rank_of[np.frombuffer(filled, kind)], -(-n // 4))
-            bucket = [0 if k is None else int(np.searchsorted(cuts, k, side="right")) for k in keys]
+            bucket = [bucket_of(k, zlib.crc32(d, zlib.crc32(c))) for k, c, d in zip(keys, control, data, strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(bucket, pa.int32()), b.column(0), pa.array(n, pa.int64()), pa.array(control, pa.binary()), pa.array(data, pa.binary())], names=["bucket", key, "n", "control", "data"])
 
     coded = rows.mapInArrow(code, f"bucket int, `{key}` bigint, n bigint, control binary, data binary")
-    dealt = coded.repartition(max(1, len(cuts) + 1), "bucket").sortWithinPartitions("bucket", F.col(key).asc_nulls_first(), "control", "data")
+    dealt = coded.repartitionById(nulls + len(cuts) + 1, F.col("bucket")).sortWithinPartitions("bucket", F.col(key).asc_nulls_first(), "control", "data")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket, seq, start, held, size = None, 0, 0, [], 0
@@ -264,14 +299,17 @@ def write(docs: DataFrame, path: str | None = None, end_id: int = END_ID, key: s
         if held:
             yield block()
 
-    blocks = Stage(dealt.mapInArrow(pack, "bucket int, seq bigint, start bigint, doc_ids array<bigint>, counts binary, control binary, data binary"), "token-blocks", "lz4")
-    last = blocks.df.groupBy("bucket").agg(F.max_by(F.struct("start", "counts"), "seq").alias("last")).collect()  # a row a bucket
-    base, before = {}, 0
+    to = to or f"{shared_dir(spark)}/token-file-{uuid.uuid4().hex[:12]}"
+    dealt.mapInArrow(pack, _BLOCKS).write.option("compression", "lz4").parquet(f"{to}/blocks")
+    blocks = spark.read.schema(_BLOCKS).parquet(f"{to}/blocks")
+    last = blocks.groupBy("bucket").agg(F.max_by(F.struct("start", "counts"), "seq").alias("last")).collect()  # a row a bucket
+    starts, before = {}, 0
     for r in sorted(last, key=lambda r: r.bucket):
-        base[r.bucket] = before
+        starts[r.bucket] = before
         before += r["last"]["start"] + int(np.frombuffer(r["last"]["counts"], "<i8").sum())
+    spark.createDataFrame([(ids_by_rank.astype("<u4").tobytes(), list(starts), list(starts.values()))], _INDEX).coalesce(1).write.parquet(f"{to}/index")
     staged.drop()
-    return TokenFile(blocks, ids_by_rank, base)
+    return TokenFile(spark, to)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

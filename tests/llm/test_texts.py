@@ -65,6 +65,27 @@ def test_token_file_round_trip(spark, docs, monkeypatch, block):
     assert got == sorted(want)
 
 
+def test_token_file_is_read_by_its_folder(spark, make_docs, monkeypatch, tmp_path):
+    """A session that knows the folder alone reads every id back; parts lie in order; a hot id and nulls are dealt out."""
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(op4_tokenfile, "BUCKET_TOKENS", 150)
+    lib = Tokenizer.from_file(op4_tokenfile.default_path())
+    rows = [(None if i < 30 else 7 if i < 90 else i, f"text number {i} of {'many ' * (i % 5)}") for i in range(150)]
+    at = f"file://{tmp_path}/tokens"
+    op4_tokenfile.write(make_docs(rows), to=at)
+    got = op4_tokenfile.TokenFile(spark.newSession(), at).ids().collect()
+    want = sorted((-1 if i is None else i, np.array([*lib.encode(t, add_special_tokens=False).ids, 2], "<u4").tobytes()) for i, t in rows)
+    assert sorted((-1 if r.doc_id is None else r.doc_id, bytes(r.ids)) for r in got) == want
+    by_start = sorted(got, key=lambda r: r.start)
+    ids = [-1 if r.doc_id is None else r.doc_id for r in by_start]
+    assert ids == sorted(ids) and all(a.start + len(a.ids) // 4 == b.start for a, b in zip(by_start, by_start[1:]))
+    blocks = spark.read.parquet(f"{at}/blocks").select("bucket", "doc_ids").collect()
+    assert max(sum(len(r.doc_ids) for r in blocks if r.bucket == b) for b in {r.bucket for r in blocks}) < 40
+    parts = spark.read.parquet(f"{at}/blocks").selectExpr("_metadata.file_name as f", "bucket").groupBy("f").agg({"bucket": "min"}).orderBy("f").collect()
+    assert [r[1] for r in parts] == sorted(r[1] for r in parts)
+
+
 def test_token_file_of_nothing(docs):
     assert op4_tokenfile.write(docs.limit(0)).read().count() == 0
 
