@@ -5,9 +5,10 @@ corners of a cube; several starts give more bits) turns vectors into binary code
 each substring is indexed. By the pigeonhole principle a code within Hamming radius R of the query's differs by at most
 R / m in one of its m substrings, so probing each index within that radius finds every such code; those are reranked by
 the cosine of the original vectors in double precision. R comes from the sample: nearly all true neighbours of sampled
-vectors, which lie farther apart than in the whole table, are within it.
+vectors, which lie farther apart than in the whole table, are within it. A query that finds too few in a shard widens the
+radius step by step until it has enough, or the whole shard; so every query gets its full number of rows.
 
-Rows are indexed in shards of bounded size; queries come in broadcast blocks of bounded size. Of rows with one and the
+Rows are staged once and indexed in shards of bounded size; queries come in broadcast blocks of bounded size. Of rows with one and the
 same vector the ``k + 1`` smallest ids take part, which can't change a result, and one such vector is searched once, so a
 vector that a third of the rows share costs no more than any other.
 
@@ -25,14 +26,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import bound_batches, table
+from .common import Stage, bound_batches, table
 
 K = 5
 EVERY = 50
 SAMPLE = 4096
 STARTS = 2
 SHARD_ROWS = 1 << 15
-BLOCK_QUERIES = 2048
+#: Bytes of query vectors in a broadcast block, and bits by which a radius that holds too few grows.
+BLOCK_BYTES = 32 << 20
+WIDER = 8
 #: Share of the sample's true neighbours that the radius must hold.
 WITHIN = 0.98
 
@@ -83,6 +86,14 @@ class Index:
         self.order = [np.argsort(codes[:, s], kind="stable") for s in range(codes.shape[1])]
         self.start = [np.searchsorted(codes[o, s], np.arange(257)) for s, o in enumerate(self.order)]
 
+    def enough(self, code: np.ndarray, radius: int, k: int) -> np.ndarray:
+        """All rows within the radius; or, if those are fewer than k, within the next wider one that has k, if any has."""
+        rows = self.within(code, radius)
+        while len(rows) < min(k, len(self.codes)):
+            radius += WIDER
+            rows = self.within(code, radius)
+        return rows
+
     def within(self, code: np.ndarray, radius: int) -> np.ndarray:
         """All rows whose code is within the radius."""
         hit = np.zeros(len(self.codes), bool)
@@ -121,17 +132,21 @@ def search(vectors: DataFrame, queries: DataFrame, key: str = "vec_id", vector:
     d = lengths[0].d
     rows, asked = rows.where(F.size("v") == d), asked.where(F.size("v") == d).distinct()
     sample = rows.withColumn("h", F.xxhash64("v")).orderBy("h", "id").limit(SAMPLE).select("v").toArrow()
-    codes = Codes(np.unique(np.array(sample.column(0).to_pylist(), np.float64), axis=0), k=k)
+    x = np.array(sample.column(0).to_pylist(), np.float64)
+    x = x[np.sort(np.unique(x, axis=0, return_index=True)[1])]  # in an order by hash, so that the first rows are any rows
+    codes = Codes(x, k=k)
 
     first = Window.partitionBy("v").orderBy("id")
     kept = rows.withColumn("place", F.dense_rank().over(first)).where(F.col("place") <= k + 1).select("id", "v").dropDuplicates(["v", "id"])
+    staged = Stage(kept, "vectors")
+    kept = staged.df
     keyed = asked.withColumn("q", F.xxhash64("v"))
     distinct = keyed.groupBy("q").agg(F.first("v").alias("v"))
-    blocks = max(1, math.ceil(distinct.count() / BLOCK_QUERIES))
+    blocks = max(1, math.ceil(distinct.count() * 8 * d / BLOCK_BYTES))
     model = spark.sparkContext.broadcast(codes)
     found = None
     for b in range(blocks):
-        # About BLOCK_QUERIES vectors at once.
+        # About BLOCK_BYTES of vectors at once.
         part = distinct.where(F.pmod("q", F.lit(blocks)) == b).toArrow()
         block = spark.sparkContext.broadcast((np.array(part.column("q").to_pylist(), np.int64), np.array(part.column("v").to_pylist(), np.float64).reshape(-1, d)))
         got = kept.mapInArrow(_probe(model, block, k + 1), "q bigint, id bigint, score double")
@@ -150,9 +165,7 @@ def _probe(model, block, k: int):
         index, qc = Index(codes.of(unit(v))), codes.of(unit(qv)) if len(qv) else []
         out_q, out_i, out_s = [], [], []
         for i in range(len(q)):
-            rows = index.within(qc[i], codes.radius)
-            if not len(rows):
-                continue
+            rows = index.enough(qc[i], codes.radius, k)
             s = cosine(qv[i], v[rows])
             best = np.lexsort((ids[rows], -s))[:k]
             out_q.append(np.full(len(best), q[i]))

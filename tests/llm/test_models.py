@@ -60,6 +60,18 @@ def test_pigeonhole_probing_is_complete():
             assert (index.within(q, radius) == want).all()
 
 
+def test_outlying_queries_get_all_their_rows(spark):
+    rng = np.random.default_rng(3)
+    near = rng.normal(size=(400, 8)) * 0.05 + np.eye(8)[0]
+    rows = [(i + 1, v.tolist()) for i, v in enumerate(near)] + [(500, (-np.eye(8)[0]).tolist()), (550, np.eye(8)[5].tolist())]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = op1_ann.search(df, df.where("vec_id >= 500")).collect()
+    assert sorted((r.query_id, r["rank"]) for r in got) == [(q, k) for q in (500, 550) for k in range(1, 6)]
+    want = brute(rows, rows[-2:])
+    hits = sum(len({r.vec_id for r in got if r.query_id == q} & {i for i, _ in want[q]}) for q in want)
+    assert hits >= 9
+
+
 def test_isotonic():
     x, y = isotonic_fit(np.array([3.0, 1, 2, 2]), np.array([1.0, 0, 1, 0]), np.ones(4))
     assert isotonic_predict(x, y, np.array([0, 1, 2, 3, 9.0])).tolist() == [0, 0, 0.5, 1, 1]
