@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import op1_ann, op2_bpe, op3_lines, op4_tokenfile, op5_toxicity, op6_jaccard, op7_html, op8_licenses, op9_decontaminate, op10_quality
+from . import op1_ann, op2_bpe, op3_lines, op4_tokenfile, op5_toxicity, op6_jaccard, op7_html, op8_licenses, op9_decontaminate, op10_quality, op11_turns
 
 QUERIES = {
     "op1_ann": op1_ann.query,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_licenses": op8_licenses.query,
     "op9_decontaminate": op9_decontaminate.query,
     "op10_quality": op10_quality.query,
+    "op11_turns": op11_turns.query,
 }
 
 ORACLE_SQL = {"op8_licenses": op8_licenses.SQL}
