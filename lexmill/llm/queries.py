@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import op1_ann, op2_bpe, op3_lines, op4_tokenfile, op5_toxicity, op6_jaccard, op7_html, op8_licenses, op9_decontaminate, op10_quality, op11_turns, op12_centroids
+from . import op1_ann, op2_bpe, op3_lines, op4_tokenfile, op5_toxicity, op6_jaccard, op7_html, op8_licenses, op9_decontaminate, op10_quality, op11_turns, op12_centroids, op13_minhash
 
 QUERIES = {
     "op1_ann": op1_ann.query,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_quality": op10_quality.query,
     "op11_turns": op11_turns.query,
     "op12_centroids": op12_centroids.query,
+    "op13_minhash": op13_minhash.query,
 }
 
 ORACLE_SQL = {"op8_licenses": op8_licenses.SQL}
