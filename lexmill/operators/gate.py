@@ -230,25 +230,32 @@ def truncation(source, dest, contract, config):
 
 @_rule("xml_structure")
 def xml_structure(source, dest, contract, config):
-    """A dest has the tags of its source, each as often, and where the source's tags nest, so do its own. Tags that are
-    protected tokens are another rule's."""
+    """A dest has the opening and empty tags of its source, each as often, and loses no closing tag. It may add closing
+    tags, but only of tags that the source leaves open. Where the source's tags don't cross, its own don't either. Tags that
+    are protected tokens are another rule's."""
     pattern = F.lit("</?[A-Za-z][^<>]*>")
     held = F.coalesce(contract["protected_tokens"], F.array().cast("array<string>"))
     tags = lambda t: F.filter(F.regexp_extract_all(t, pattern, F.lit(0)), lambda x: ~F.coalesce(F.array_contains(held, x), F.lit(False)))
     name = lambda t: F.lower(F.regexp_extract(t, "^</?([A-Za-z][^ \t\r\n/>]*)", 1))
+    closing = lambda t: F.startswith(t, F.lit("</"))
+    closed = lambda ts: F.transform(F.filter(ts, closing), name)
+    opened = lambda ts: F.transform(F.filter(ts, lambda t: ~closing(t) & ~F.endswith(t, F.lit("/>"))), name)
     start = F.struct(F.array().cast("array<string>").alias("open"), F.lit(True).alias("ok"))
 
     def step(a: Column, t: Column) -> Column:
-        opens, closes = F.struct(F.array_append(a["open"], name(t)).alias("open"), a["ok"].alias("ok")), F.startswith(t, F.lit("</"))
-        last = F.try_element_at(a["open"], F.lit(-1))
-        closed = F.struct(F.slice(a["open"], F.lit(1), F.greatest(F.size(a["open"]) - 1, F.lit(0))).alias("open"), (a["ok"] & F.coalesce(last == name(t), F.lit(False))).alias("ok"))
-        return F.when(closes, closed).when(F.endswith(t, F.lit("/>")), a).otherwise(opens)
+        """A closing tag ends the last one open of its name; those opened after that stay without an end."""
+        at = F.array_position(a["open"], name(t)).cast("int")  # the last one opened is first
+        ended = F.struct(F.when(at > 0, F.slice(a["open"], at + 1, F.greatest(F.size(a["open"]) - at, F.lit(0)))).otherwise(a["open"]).alias("open"), (a["ok"] & (at > 0)).alias("ok"))
+        return F.when(closing(t), ended).when(F.endswith(t, F.lit("/>")), a).otherwise(F.struct(F.array_prepend(a["open"], name(t)).alias("open"), a["ok"].alias("ok")))
 
-    nests = lambda ts: F.aggregate(ts, start, step, lambda a: a["ok"] & (F.size(a["open"]) == 0))
-    spaced = lambda ts: F.array_sort(F.transform(ts, lambda t: F.regexp_replace(t, r"\s+", " ")))
+    nests = lambda ts: F.aggregate(ts, start, step, lambda a: a["ok"])
+    spaced = lambda ts: F.array_sort(F.transform(F.filter(ts, lambda t: ~closing(t)), lambda t: F.regexp_replace(t, r"\s+", " ")))
     signs = lambda t: F.regexp_count(F.regexp_replace(t, pattern, F.lit("")), F.lit("[<>]"))
     loose = signs(source) != signs(dest)
-    broken = let(tags(source), lambda s: let(tags(dest), lambda d: (spaced(s) != spaced(d)) | loose | (nests(s) & ~nests(d))))
+    count = lambda xs, x: F.size(F.filter(xs, lambda y: y == x))
+    fits = lambda opens, was, now: F.forall(F.array_distinct(F.concat(was, now)), lambda x: (count(now, x) >= count(was, x)) & (count(now, x) <= F.greatest(count(was, x), count(opens, x))))
+    ends = lambda s, d: let(opened(s), lambda o: let(closed(s), lambda was: let(closed(d), lambda now: fits(o, was, now))))
+    broken = let(tags(source), lambda s: let(tags(dest), lambda d: (spaced(s) != spaced(d)) | ~ends(s, d) | loose | (nests(s) & ~nests(d))))
     marked = F.contains(source, F.lit("<")) | F.contains(dest, F.lit("<"))
     return when((source != dest) & F.when(marked, broken).otherwise(F.lit(False)), violation("XML001", FAIL))
 

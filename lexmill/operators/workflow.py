@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.anchors import anchored_pairs
 from ..functions.spans import stripped
 from ..functions.text import TOKEN_CLASSES, basename, normal_path, protected_tokens
+from .ranges import numbered
 
 
 def last_wins(rows: DataFrame, key: str, *order: str) -> DataFrame:
@@ -51,23 +52,15 @@ def record_kind(rec: Column | str) -> Column:
 
 
 def semantic_units(turns: DataFrame, group: str, order: str, text: str) -> DataFrame:
-    """The texts of a group in order, as one."""
+    """The texts of a group in order, as one row; groups that may be long are better cut (see ``ranges.chunked_texts``)."""
     parts = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.coalesce(text, F.lit("")).alias("t"))))
     return turns.groupBy(group).agg(F.array_join(F.transform(parts, lambda p: p["t"]), "\n").alias("unit_text"), F.count("*").alias("n_parts"))
 
 
 def batch_plan(units: DataFrame, group: str, order: str, size: int, prefix: str = "") -> DataFrame:
-    """Units with the number of their batch within a group.
-
-    A group may hold most units, so units are dealt to ranges of (group, order) and numbered there; a range begins where
-    the counts of those before it end.
-    """
-    ranged = units.repartitionByRange(F.col(group), F.col(order)).withColumn("__range", F.spark_partition_id())
-    each = ranged.groupBy(group, "__range").agg(F.count("*").alias("n"))  # a row for each range and group in it
-    before = each.withColumn("__before", F.coalesce(F.sum("n").over(Window.partitionBy(group).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("n")
-    numbered = ranged.withColumn("__place", F.row_number().over(Window.partitionBy("__range", group).orderBy(order)) - 1)
-    placed = numbered.join(before.withColumnRenamed(group, "__group"), (F.col(group).eqNullSafe(F.col("__group"))) & (numbered["__range"] == before["__range"]))
-    return placed.withColumn("batch", F.floor((F.col("__place") + F.col("__before")) / size).cast("bigint")).drop("__range", "__place", "__before", "__group").withColumn("batch_name", F.concat(F.lit(prefix), F.col(group), F.lit("-"), F.lpad(F.col("batch").cast("string"), 3, "0")))
+    """Units with the number of their batch within a group. A group may hold most units (see ``ranges.running``)."""
+    got = numbered(units, group, [order], "batch")
+    return got.withColumn("batch", F.floor(F.col("batch") / size).cast("bigint")).withColumn("batch_name", F.concat(F.lit(prefix), F.col(group), F.lit("-"), F.lpad(F.col("batch").cast("string"), 3, "0")))
 
 
 def skip_done(batches: DataFrame, results: DataFrame, key: str) -> DataFrame:

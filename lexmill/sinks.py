@@ -2,40 +2,14 @@
 
 from __future__ import annotations
 
-import re
+import uuid
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_UNIT = re.compile(r"<String\b[^>]*>.*?</String>", re.S)
-_DEST = re.compile(r"(<Dest>)(.*?)(</Dest>)", re.S)
-
-
-def escaped(text: str) -> str:
-    return text.replace("&", "&amp;").replace("<", "&lt;").replace(">", "&gt;")
-
-
-def splice(xml: str, new: dict[int, str]) -> str:
-    """The document with the Dest of numbered units replaced; every other character stays as it is."""
-    return spliced(xml, new)[0]
-
-
-def spliced(xml: str, new: dict[int, str]) -> tuple[str, set[int]]:
-    """The same, and the numbers that have been replaced; others have no such unit, or one without a Dest."""
-    out, at, done = [], 0, set()
-    for i, unit in enumerate(_UNIT.finditer(xml)):
-        if i in new and (d := _DEST.search(xml, unit.start(), unit.end())):
-            out += [xml[at : d.start(2)], escaped(new[i])]
-            at = d.end(2)
-            done.add(i)
-    return "".join(out) + xml[at:], done
-
-
-def skeleton(xml: str) -> str:
-    """What must be equal before and after writing: everything but Dest texts."""
-    return _DEST.sub(r"\1\3", xml)
-
+from .functions.xmltext import skeleton, splice, spliced  # noqa: F401  splice is for callers
+from .sources.formats import MANIFESTS, open_, register
 
 def splice_files(files: DataFrame, changes: DataFrame) -> DataFrame:
     """files (file, xml), changes (file, xml_index, dest) -> (file, xml, changed, unmatched, intact).
@@ -59,32 +33,33 @@ def splice_files(files: DataFrame, changes: DataFrame) -> DataFrame:
     return both.select("file", "xml", "new").mapInPandas(run, "file string, xml string, changed bigint, unmatched array<bigint>, intact boolean")
 
 
-def write_xml(spliced_files: DataFrame, folder: str) -> DataFrame:
-    """Writes each document (file, xml, intact) to a new file of a folder, through the file system Spark reaches, and reads
-    it back: (file, written, sha256, verified).
+def write_documents(rows: DataFrame, folder: str, job: str | None = None) -> DataFrame:
+    """Writes documents (file, path: a name below the folder, content) from executors, and reads them back:
+    (file, path, written, sha256, verified).
+
+    The rows are made once. A job of the same name that ran before, or in part, is carried on (see ``lexmill_documents``).
+    """
+    spark = rows.sparkSession
+    register(spark)
+    job = job or uuid.uuid4().hex
+    rows.select("file", "path", "content").write.format("lexmill_documents").option("job", job).mode("append").save(folder)
+    manifest = spark.read.schema("file string, path string, sha256 string, bytes bigint").json(f"{folder}/{MANIFESTS}/{job}.json")
+    back = open_(spark, "documents", folder).select("path", F.col("sha256").alias("found"))
+    got = manifest.join(back, "path", "left")
+    return got.select("file", "path", F.concat(F.lit(folder.rstrip("/") + "/"), "path").alias("written"), "sha256", F.coalesce(F.col("found") == F.col("sha256"), F.lit(False)).alias("verified"))
+
+
+def write_xml(spliced_files: DataFrame, folder: str, root: str | None = None, job: str | None = None) -> DataFrame:
+    """Writes each document (file, xml, intact) to a new file of a folder and reads it back: see ``write_documents``.
 
-    Documents that are not intact are not written; a file that is there already is never replaced, so a task that runs
-    again finds its own file, and verifies it.
+    Documents that are not intact are not written. Files keep their path below ``root``, so base names may repeat; without
+    a root they keep their base names, and two of one name are an error.
     """
-    spark = spliced_files.sparkSession
     name = F.regexp_replace("file", r"^.*[/\\\\]", "")
-    rows = spliced_files.where("intact").select("file", F.encode("xml", "utf-8").alias("content"), name.alias("name"))
-    twice = rows.groupBy("name").count().where("count > 1").first()
-    if twice:
-        raise ValueError(f"two documents are named {twice['name']}")
-    jvm, root = spark._jvm, folder.rstrip("/")
-    path = jvm.org.apache.hadoop.fs.Path(root)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.mkdirs(path)
-    for r in rows.toLocalIterator():  # one document at a time; files of a plugin are few
-        at = jvm.org.apache.hadoop.fs.Path(root, r["name"])
-        if not fs.exists(at):
-            out = fs.create(at, False)
-            out.write(bytes(r["content"]))
-            out.close()
-    back = spark.read.format("binaryFile").load(root).select(F.substring_index("path", "/", -1).alias("name"), F.col("path").alias("written"), F.sha2("content", 256).alias("sha256"))
-    wanted = rows.select("file", "name", F.sha2("content", 256).alias("wanted"))
-    return wanted.join(back, "name").select("file", "written", "sha256", (F.col("sha256") == F.col("wanted")).alias("verified"))
+    if root is not None:
+        below = root.rstrip("/") + "/"
+        name = F.when(F.startswith("file", F.lit(below)), F.substring("file", len(below) + 1, 1 << 20)).otherwise(name)
+    return write_documents(spliced_files.where("intact").select("file", name.alias("path"), F.col("xml").alias("content")), folder, job)
 
 
 def write_report(df: DataFrame, path: str, form: str = "parquet") -> None:

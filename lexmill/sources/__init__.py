@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import _parse_datatype_string
 
 from ..functions.text import normal_path, without_bom
-from ..schema import CASE_FILE, GATE_REPORT, TRANSLATION_SET, WORKER_REQUEST, WORKER_RESPONSE
+from ..functions.xmltext import units
+from ..schema import CASE_FILE, CONTRACT, GATE_REPORT, TRANSLATION_SET, WORKER_REQUEST, WORKER_RESPONSE
 
 
 def read_json(spark: SparkSession, path: str, schema: str, recursive: bool = True) -> DataFrame:
@@ -44,6 +47,20 @@ def read_worker_response(spark: SparkSession, path: str) -> DataFrame:
     return read_json(spark, path, WORKER_RESPONSE)
 
 
+def read_contracts(spark: SparkSession, path: str) -> DataFrame:
+    """(file, contract) of each contract file; a broken one has ``corrupt`` set and a null contract."""
+    kind = _parse_datatype_string(CONTRACT)
+    got = read_json(spark, path, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kind.fields))
+    return got.select("file", F.when(F.col("corrupt").isNull(), F.struct(*kind.fieldNames()).cast(CONTRACT)).alias("contract"), "corrupt")
+
+
+def read_keep_lists(spark: SparkSession, path: str) -> DataFrame:
+    """(file, text) of keep lists: a JSON array of texts, or an object that holds one as ``keep_list`` or ``keep``."""
+    got = read_raw_json(spark, path).where("parsed is not null")
+    array = lambda at: F.try_variant_get("parsed", at, "array<string>")
+    return got.select("file", F.explode(F.coalesce(array("$"), array("$.keep_list"), array("$.keep"))).alias("text")).where("text is not null").distinct()
+
+
 def read_units_xml(spark: SparkSession, path: str, plugin: str | None = None) -> DataFrame:
     """<String> elements with <Source> and <Dest>; files of any name at any depth."""
     rows = spark.read.format("xml").option("rowTag", "String").option("recursiveFileLookup", True).schema("REC string, EDID string, Source string, Dest string").load(path)
@@ -59,14 +76,17 @@ def read_xml_files(spark: SparkSession, path: str) -> DataFrame:
 
 def xml_units(files: DataFrame, plugin: str | None = None) -> DataFrame:
     """Units of whole documents (file, xml), with the number of each <String> in its file: it can be gated by ``unit_id``
-    and spliced back by (file, xml_index). Texts come without their escapes; a unit without a REC or EDID has nulls."""
-    unescaped = lambda c: F.replace(F.replace(F.replace(F.replace(F.replace(c, F.lit("&lt;"), F.lit("<")), F.lit("&gt;"), F.lit(">")), F.lit("&quot;"), F.lit('"')), F.lit("&apos;"), F.lit("'")), F.lit("&amp;"), F.lit("&"))
-    of = lambda tag: F.regexp_extract("s", f"(?s)<{tag}>(.*?)</{tag}>", 1)
-    has = lambda tag: F.rlike("s", F.lit(f"(?s)<{tag}>.*?</{tag}>|<{tag}/>"))
-    value = lambda tag: F.when(has(tag), unescaped(of(tag)))
-    rows = files.select("file", F.posexplode(F.regexp_extract_all("xml", F.lit(r"(?s)<String\b[^>]*>.*?</String>"), F.lit(0))).alias("xml_index", "s"))
+    and spliced back by (file, xml_index). Elements may have attributes; texts come with references decoded and CDATA as it
+    is; a unit without a REC or EDID has nulls. ``lexmill_xml`` reads the same from files."""
     name = F.lit(plugin) if plugin else F.substring_index("file", "/", -1)
-    return rows.select("file", F.col("xml_index").cast("bigint").alias("xml_index"), F.concat_ws("#", "file", "xml_index").alias("unit_id"), name.alias("plugin"), value("REC").alias("rec"), value("EDID").alias("edid"), value("Source").alias("source"), value("Dest").alias("dest"))
+
+    def run(batches):
+        for b in batches:
+            for file, xml, of in zip(b["file"], b["xml"], b["plugin"], strict=True):
+                rows = [(file, i, f"{file}#{i}", of, *(v.get(k) for k in ("REC", "EDID", "Source", "Dest"))) for i, v, _ in units(xml)]
+                yield pd.DataFrame(rows, columns=["file", "xml_index", "unit_id", "plugin", "rec", "edid", "source", "dest"])
+
+    return files.select("file", "xml", name.alias("plugin")).where("xml is not null").mapInPandas(run, "file string, xml_index bigint, unit_id string, plugin string, rec string, edid string, source string, dest string")
 
 
 def parse_term_rules(blocks: DataFrame, column: str = "value") -> DataFrame:

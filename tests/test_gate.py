@@ -63,6 +63,19 @@ CASES = {
     "ellipsis of the source": ("A long story about all the many things that were...", "故事……", {}, "PASS", []),
     "truncated behind tags": ("<b>[p] A long story about all the many things seen.", "<b>[p] 故事……", {}, "WARNING", []),
     "xml": ("<b>x</b>", "<b>甲</b", {}, "FAIL", ["XML001"]),
+    "xml, left open in both": ("<font size='20'>A long tale of stone", "<font size='20'>石心的长故事", {}, "PASS", []),
+    "xml, closed in dest": ("<font size='20'>A long tale of stone", "<font size='20'>石心的长故事</font>", {}, "PASS", []),
+    "xml, closed in dest and cut": ("<font size='20'>A long tale of stone and wood", "<font size='20'>石……</font>", {}, "WARNING", []),
+    "xml, closed twice": ("<i>A tale", "<i>故事</i></i>", {}, "FAIL", ["XML001"]),
+    "xml, closed what is not open": ("<i>A tale", "<i>故事</b>", {}, "FAIL", ["XML001"]),
+    "xml, closing lost": ("<i>A</i> tale", "<i>故事", {}, "FAIL", ["XML001"]),
+    "xml, other attribute": ("<font size='20'>A", "<font size='24'>甲", {}, "FAIL", ["XML001"]),
+    "xml, opened": ("A tale", "<i>故事</i>", {}, "FAIL", ["XML001"]),
+    "xml, crossed": ("<b><i>A</i></b>", "<b><i>甲</b></i>", {}, "FAIL", ["XML001"]),
+    "xml, closed crosswise": ("<b><i>A", "<b><i>甲</b></i>", {}, "FAIL", ["XML001"]),
+    "xml, inner left open": ("<b><p>A</b>", "<b><p>甲</p></b>", {}, "PASS", []),
+    "xml, empty": ("A<br/>b", "甲<br />乙", {}, "FAIL", ["XML001"]),
+    "xml, space": ("<a  x='1'>A</a>", "<a x='1'>甲</A>", {}, "PASS", []),
     "semantic errors pass": ("Do not go.", "去吧。", {}, "PASS", []),
     "null dest": ("A", None, bound(STONE), "PASS", []),
 }
