@@ -46,7 +46,9 @@ from .textnum import SPACED, Words, batches_by_bytes, mix
 SHINGLE, LINK = 3, 85
 ROWS, BANDS = 7, 36
 T = ROWS * BANDS
-PART_BYTES = 2 << 20
+PART_BYTES = 1 << 19
+#: Sets that are sketched at once.
+SKETCHED = 512
 #: Sets of at most so many shingles link with equal ones alone: less than 6 of 7 is too little.
 ALONE = 5
 #: Partners of a hub that one copy of its set serves.
@@ -121,6 +123,13 @@ def _texts(b: pa.RecordBatch, at: int) -> list[bytes]:
     return [(t or "").encode("utf-8", "replace") for t in b.column(at).to_pylist()]
 
 
+def _lists(rows: list[np.ndarray | None]) -> pa.ListArray:
+    held = [r for r in rows if r is not None]
+    ends = np.cumsum([0, *(0 if r is None else len(r) for r in rows)]).astype(np.int32)
+    values = pa.array(np.concatenate(held) if held else np.zeros(0, np.int64))
+    return pa.ListArray.from_arrays(pa.array(ends), values, mask=pa.array([r is None for r in rows]))
+
+
 def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(doc, n, sig, keys) of each row; keys only where the task sees a class for the first time."""
     known: set[int] = set()
@@ -136,12 +145,14 @@ def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     if len(known) >= KNOWN:
                         known.clear()
                     known.add(g)
-            got = bands(sketches([sets[i] for i in new])).astype(np.int64).tolist() if new else []
-            mine = dict(zip(new, got, strict=True))
+            mine = {}
+            for j in range(0, len(new), SKETCHED):
+                some = new[j : j + SKETCHED]
+                mine |= zip(some, bands(sketches([sets[i] for i in some])).astype(np.int64), strict=True)
             n += [len(s) for s in sets]
             sig += signed
             keys += [mine.get(i) for i in range(len(sets))]
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(sig, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], names=["doc", "n", "sig", "keys"])
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(sig, pa.int64()), _lists(keys)], names=["doc", "n", "sig", "keys"])
 
 
 def _packed(docs: DataFrame, need: DataFrame, few: bool) -> DataFrame:
