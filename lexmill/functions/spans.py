@@ -28,6 +28,15 @@ def occurrences(text: Column | str, form: Column | str) -> Column:
     return F.when((F.length(form) > 0) & F.contains(text, form), F.aggregate(pieces, start, step, lambda a: a["found"])).otherwise(F.when(text.isNotNull(), F.array().cast("array<int>")))
 
 
+def starts(text: Column, pattern: Column) -> Column:
+    """Start of every place where a pattern, made of look-arounds, holds; the text is cut there in a single pass."""
+    pieces = F.split(text, pattern, -1)
+    begin = F.rlike(text, F.concat(F.lit(r"\A"), pattern))
+    start = F.struct(F.lit(1).alias("at"), F.array().cast("array<int>").alias("found"))
+    step = lambda a, p: F.struct((a["at"] + F.length(p)).alias("at"), F.when((a["at"] > 1) | begin, F.array_append(a["found"], a["at"])).otherwise(a["found"]).alias("found"))
+    return F.when(F.rlike(text, pattern), F.aggregate(pieces, start, step, lambda a: a["found"])).otherwise(F.array().cast("array<int>"))
+
+
 def covered(pos: Column, form: Column, target_starts: Column, target: Column) -> Column:
     """Whether the form at a position lies fully inside an occurrence of the target."""
     return F.exists(target_starts, lambda t: (t <= pos) & (pos + F.length(form) <= t + F.length(target)))

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.anchors import anchored_pairs
+from ..functions.anchors import FEW, anchor_spans, anchored_pairs, few_forms, met_forms
 from ..schema import BAN, BINDING, CONTRACT, EXEMPTION, TERM
 
 
@@ -19,38 +19,87 @@ def auto_bind(units: DataFrame, terms: DataFrame, unit: str = "unit_id") -> Data
     return pairs.join(bindable, "term_id").select(unit, "term_id", F.col("english").alias("source_span"), F.lit(True).alias("required"), F.lit(True).alias("auto"))
 
 
+def _no_bans() -> Column:
+    return F.array().cast(f"array<{BAN}>")
+
+
+def _ban() -> Column:
+    return F.struct(*[F.col(c) for c in _fields(BAN)]).cast(BAN)
+
+
+def _always(bans: DataFrame | None) -> Column:
+    """Unconditional bans as a literal."""
+    if bans is None:
+        return _no_bans()
+    rows = bans.where("unconditional").select(F.to_json(_ban()).alias("j")).orderBy("ban_id").limit(MOST_UNCONDITIONAL + 1).collect()
+    if len(rows) > MOST_UNCONDITIONAL:
+        raise ValueError(f"more than {MOST_UNCONDITIONAL} unconditional bans")
+    return F.array(*[F.from_json(F.lit(r.j), BAN) for r in rows]).cast(f"array<{BAN}>") if rows else _no_bans()
+
+
+def _bound(term_id: Column, term: Column) -> Column:
+    return F.struct(term_id, term["source"].alias("source_span"), F.lit(True).alias("required"), term["target"].alias("required_target")).cast(BINDING)
+
+
+def _compiled_in_row(units: DataFrame, few: list[tuple], terms: DataFrame, bans: DataFrame | None, fixed: Column) -> DataFrame | None:
+    """Terms and bans that are few are literals, picked in each unit's own row: no join and no shuffle. None if a form has
+    too many rows."""
+    kinds = f"struct<id:string,value:{TERM}>", f"struct<id:string,value:{BAN}>"
+    tables = [terms.select(F.col("term_id").alias("id"), F.struct(*[F.col(c) for c in _fields(TERM)]).cast(TERM).alias("value"))]
+    tables += [bans.select(F.col("ban_id").alias("id"), _ban().alias("value"))] if bans is not None else []
+    held = []
+    for table in tables:
+        rows = table.select(F.to_json(F.struct("id", "value")).alias("j"), "id").orderBy("id", "j").limit(FEW + 1).collect()
+        if len(rows) > FEW:
+            return None
+        held.append([r.j for r in rows])
+    literal = lambda rows, kind: F.array(*[F.from_json(F.lit(j), kind) for j in rows]).cast(f"array<{kind}>")
+    picked = lambda rows, kind, mark: F.filter(literal(rows, kind), lambda x: F.array_contains("__met", F.concat(F.lit(mark), x["id"])))
+    out = units.withColumn("__met", met_forms("source", few)).withColumn("__terms", picked(held[0], kinds[0], "t:"))
+    some = F.size("__terms") > 0
+    out = out.withColumn("terms", F.when(some, F.map_from_entries(F.transform("__terms", lambda x: F.struct(x["id"].alias("key"), x["value"].alias("value"))))))
+    required = F.filter("__terms", lambda x: F.coalesce(x["value"]["enforcement"] == "REQUIRED", F.lit(False)))
+    out = out.withColumn("bindings", F.when(some, F.transform(required, lambda x: _bound(x["id"].alias("term_id"), x["value"]))))
+    met = F.transform(picked(held[1], kinds[1], "b:"), lambda x: x["value"]) if bans is not None else _no_bans()
+    out = out.withColumn("global_bans", F.array_distinct(F.concat(met, fixed)))
+    english = F.array(*[F.struct(F.lit(i).alias("id"), F.lit(e).alias("e")) for i, e in few]) if few else F.array().cast("array<struct<id:string,e:string>>")
+    return out.withColumn("anchored", F.array_distinct(F.transform(F.filter(english, lambda x: F.array_contains("__met", x["id"])), lambda x: x["e"]))).drop("__met", "__terms")
+
+
+def _compiled_by_join(units: DataFrame, pairs: DataFrame, terms: DataFrame, bans: DataFrame | None, fixed: Column, unit: str) -> DataFrame:
+    """Terms and bans of any number, by (unit, form_id) pairs."""
+    term = F.struct(*[F.col(c) for c in _fields(TERM)]).cast(TERM)
+    held = pairs.where(F.startswith("form_id", F.lit("t:"))).select(unit, F.substring("form_id", 3, 1 << 20).alias("term_id")).join(terms.select("term_id", term.alias("term")), "term_id")
+    bound = F.when(F.col("term.enforcement") == "REQUIRED", _bound(F.col("term_id"), F.col("term")))
+    held = held.groupBy(unit).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("term_id", "term")), _by("term_id"))).alias("terms"), F.array_sort(F.collect_list(bound), _by("term_id")).alias("bindings"))
+    out = units.join(held, unit, "left")
+    if bans is None:
+        out = out.withColumn("met", _no_bans())
+    else:
+        met = pairs.where(F.startswith("form_id", F.lit("b:"))).select(unit, F.substring("form_id", 3, 1 << 20).alias("ban_id")).join(bans.select("ban_id", _ban().alias("ban")), "ban_id")
+        met = met.groupBy(unit).agg(F.transform(F.array_sort(F.collect_list(F.struct("ban_id", "ban")), _by("ban_id")), lambda x: x["ban"]).alias("met"))
+        out = out.join(met, unit, "left").withColumn("met", F.coalesce("met", _no_bans()))
+    english = F.concat(F.coalesce(F.transform(F.map_values("terms"), lambda t: t["source"]), F.array().cast("array<string>")), F.transform("met", lambda b: b["english"]))
+    return out.withColumn("anchored", F.array_distinct(english)).withColumn("global_bans", F.array_distinct(F.concat("met", fixed))).drop("met")
+
+
 def compile_contract(units: DataFrame, terms: DataFrame, bans: DataFrame | None = None, exemptions: DataFrame | None = None, unit: str = "unit_id", keep: list[str] | None = None, protected: dict[str, str] | None = None, interjections: dict[str, list[str]] | None = None, global_keep: DataFrame | None = None) -> DataFrame:
     """Units with a ``contract`` of the terms and bans that concern them.
 
-    Terms and bans are found by one token join. Unconditional bans concern every unit; they are few, and are put in as
-    literals, so no unit meets every ban. Exemptions go with their bans. protected: patterns of tokens that must survive,
+    Terms and bans are found by one token join, or, where they are few, are literals that each unit picks its own from.
+    Unconditional bans concern every unit; they are few, and are put in as literals, so no unit meets every ban. Exemptions go with their bans. protected: patterns of tokens that must survive,
     by class. global_keep: a table of texts (text) that stay as they are wherever they are a whole source; they are joined
     by equality, so there may be any number of them.
     """
-    spark = units.sparkSession
     forms = terms.select(F.concat(F.lit("t:"), "term_id").alias("form_id"), F.col("source").alias("english"))
     if bans is not None:
         bans = bans.withColumn("ban_id", F.coalesce("ban_id", F.lit("")))
         forms = forms.unionByName(bans.select(F.concat(F.lit("b:"), "ban_id").alias("form_id"), "english"))
-    pairs = anchored_pairs(units, forms, unit=unit)
-    term = F.struct(*[F.col(c) for c in _fields(TERM)]).cast(TERM)
-    held = pairs.where(F.startswith("form_id", F.lit("t:"))).select(unit, F.substring("form_id", 3, 1 << 20).alias("term_id")).join(terms.select("term_id", term.alias("term")), "term_id")
-    bound = F.when(F.col("term.enforcement") == "REQUIRED", F.struct(F.col("term_id"), F.col("term.source").alias("source_span"), F.lit(True).alias("required"), F.col("term.target").alias("required_target")).cast(BINDING))
-    held = held.groupBy(unit).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("term_id", "term")), _by("term_id"))).alias("terms"), F.array_sort(F.collect_list(bound), _by("term_id")).alias("bindings"))
-    out = units.join(held, unit, "left")
-
-    none = F.array().cast(f"array<{BAN}>")
-    if bans is not None:
-        ban = F.struct(*[F.col(c) for c in _fields(BAN)]).cast(BAN)
-        met = pairs.where(F.startswith("form_id", F.lit("b:"))).select(unit, F.substring("form_id", 3, 1 << 20).alias("ban_id")).join(bans.select("ban_id", ban.alias("ban")), "ban_id")
-        met = met.groupBy(unit).agg(F.transform(F.array_sort(F.collect_list(F.struct("ban_id", "ban")), _by("ban_id")), lambda x: x["ban"]).alias("met"))
-        always = [r for r in bans.where("unconditional").select(F.to_json(ban).alias("j")).orderBy("ban_id").limit(MOST_UNCONDITIONAL + 1).collect()]
-        if len(always) > MOST_UNCONDITIONAL:
-            raise ValueError(f"more than {MOST_UNCONDITIONAL} unconditional bans")
-        fixed = F.array(*[F.from_json(F.lit(r.j), BAN) for r in always]).cast(f"array<{BAN}>") if always else none
-        out = out.join(met, unit, "left").withColumn("global_bans", F.array_distinct(F.concat(F.coalesce("met", none), fixed))).drop("met")
-    else:
-        out = out.withColumn("global_bans", none)
+    fixed = _always(bans)
+    few = few_forms(forms, "form_id", "english")
+    out = None if few is None else _compiled_in_row(units, few, terms, bans, fixed)
+    if out is None:
+        out = _compiled_by_join(units, anchored_pairs(units, forms, unit=unit), terms, bans, fixed, unit)
     if exemptions is not None:
         rows = exemptions.select(F.to_json(F.struct(*_fields(EXEMPTION)).cast(EXEMPTION)).alias("j")).limit(MOST_UNCONDITIONAL + 1).collect()
         if len(rows) > MOST_UNCONDITIONAL:
@@ -73,6 +122,67 @@ def compile_contract(units: DataFrame, terms: DataFrame, bans: DataFrame | None
     return out.withColumn("contract", F.struct(*[F.col(c) for c in names]).cast(CONTRACT)).drop(*names)
 
 
+def over_reach(units: DataFrame, terms: DataFrame, unit: str = "unit_id") -> DataFrame:
+    """(unit, term_id, english, longer_id, longer, severity) of automatic bindings that reach too far: a term is bound, but
+    wherever the source holds its English form, that lies inside a longer bound term's (the longest, then least id).
+
+    These are warnings: the binding stays, and someone has to look. A term that also stands alone somewhere is none.
+    """
+    bindable = terms.where("enforcement = 'REQUIRED'").select("term_id", F.col("source").alias("english"))
+    pairs = anchored_pairs(units, bindable, unit=unit, form="term_id").join(bindable, "term_id")
+    # Only units with several terms go back to their text.
+    several = pairs.groupBy(unit).agg(F.array_sort(F.collect_set(F.struct("term_id", "english"))).alias("bound")).where("size(bound) > 1")
+    held = units.select(unit, "source").join(several, unit)
+    spans = F.transform("bound", lambda b: F.struct(b["term_id"].alias("term_id"), b["english"].alias("english"), anchor_spans(F.col("source"), b["english"]).alias("spans")))
+    held = held.withColumn("bound", spans)
+    inside = lambda a, b: (F.size(a["spans"]) > 0) & F.forall(a["spans"], lambda s: F.exists(b["spans"], lambda t: (t["start"] <= s["start"]) & (s["end"] <= t["end"]) & (t["end"] - t["start"] > s["end"] - s["start"])))
+    longest = lambda bs: F.get(F.array_sort(F.transform(bs, lambda b: F.struct((-F.length(b["english"])).alias("n"), b["term_id"].alias("id"), b["english"].alias("e")))), F.lit(0))
+    found = F.transform("bound", lambda a: F.struct(a["term_id"].alias("term_id"), a["english"].alias("english"), longest(F.filter("bound", lambda b: (b["term_id"] != a["term_id"]) & inside(a, b))).alias("over")))
+    got = held.select(unit, F.inline(F.filter(found, lambda x: x["over"].isNotNull())))
+    return got.select(unit, "term_id", "english", F.col("over.id").alias("longer_id"), F.col("over.e").alias("longer"), F.lit("WARNING").alias("severity"))
+
+
+def as_of(rows: DataFrame, version: int, key: str) -> DataFrame:
+    """A table of versioned rows (key, version, deleted, ...) as it was at a version: the newest row of each key, if that is
+    no deletion. Several rows of a key and version must be equal."""
+    rest = [c for c in rows.columns if c not in (key, "version", "deleted")]
+    newest = rows.where(F.col("version") <= version).groupBy(key).agg(F.max_by(F.struct(F.coalesce("deleted", F.lit(False)).alias("deleted"), *rest), "version").alias("r"))
+    return newest.where("not r.deleted").select(key, *[F.col(f"r.{c}").alias(c) for c in rest])
+
+
+def _changed(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
+    """Rows of either table that the other lacks, by content."""
+    columns = [c for c in old.columns if c != key]
+    mark = lambda df: df.withColumn("__h", F.xxhash64(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})))
+    a, b = mark(old), mark(new)
+    gone = a.join(b.select(key, "__h"), [key, "__h"], "left_anti")
+    come = b.join(a.select(key, "__h"), [key, "__h"], "left_anti")
+    return gone.unionByName(come).drop("__h")
+
+
+def recompile(units: DataFrame, compiled: DataFrame, terms: DataFrame, bans: DataFrame, base: int, target: int, exemptions: DataFrame | None = None, frozen: str = "frozen", unit: str = "unit_id") -> DataFrame:
+    """(unit, version, contract) at a target version, from contracts compiled at ``base``: (unit, version, contract).
+
+    terms, bans: versioned rows (see ``as_of``). Only units whose source holds the English form of a term or ban that
+    changed, before or after, are compiled again; if an unconditional ban changed, all are. Units of frozen plugins
+    (``frozen``) keep contract and version; units that are not compiled yet are compiled. The result equals compiling all
+    units that aren't frozen anew.
+    """
+    new_terms, new_bans = as_of(terms, target, "term_id"), as_of(bans, target, "ban_id")
+    t, b = _changed(as_of(terms, base, "term_id"), new_terms, "term_id"), _changed(as_of(bans, base, "ban_id"), new_bans, "ban_id")
+    live = units.where(~F.coalesce(F.col(frozen), F.lit(False)))
+    if b.where("unconditional").limit(1).count():
+        touched = live.select(unit).distinct()
+    else:
+        forms = t.select(F.col("source").alias("english")).unionByName(b.select("english")).distinct().withColumn("form_id", F.col("english"))
+        touched = anchored_pairs(live, forms, unit=unit).select(unit).distinct()
+        touched = touched.unionByName(live.select(unit).join(compiled.select(unit), unit, "left_anti")).distinct()
+    again = compile_contract(live.join(touched, unit, "left_semi"), new_terms, new_bans, exemptions, unit=unit).select(unit, F.lit(target).cast("bigint").alias("version"), "contract")
+    kept = compiled.join(touched, unit, "left_anti").join(units.select(unit, F.coalesce(F.col(frozen), F.lit(False)).alias("__frozen")), unit)
+    kept = kept.select(unit, F.when(F.col("__frozen"), F.col("version")).otherwise(target).cast("bigint").alias("version"), "contract")
+    return kept.unionByName(again)
+
+
 #: Unconditional bans, and exemptions, that may be put into every unit's contract.
 MOST_UNCONDITIONAL = 1000
 

@@ -80,6 +80,37 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+#: Kinds of a term's match: whether a dest has one of the accepted forms; and those kinds that look at blocked suffixes.
+MATCH_KINDS: dict[str, Callable[[Column, Column], Column]] = {}
+SUFFIX_KINDS: set[str] = set()
+
+
+def register_match(kind: str, holds: Callable[[Column, Column], Column], suffixes: bool = False) -> None:
+    """Adds or replaces a kind: fn(dest, accepted forms) -> whether the dest has the term."""
+    MATCH_KINDS[kind] = holds
+    (SUFFIX_KINDS.add if suffixes else SUFFIX_KINDS.discard)(kind)
+
+
+def _any_form(dest: Column, accepted: Column) -> Column:
+    return F.exists(accepted, lambda a: F.contains(dest, a))
+
+
+register_match("contains_phrase", _any_form)
+register_match("forms", _any_form, suffixes=True)
+
+
+def _kind(t: Column) -> Column:
+    return F.coalesce(t["match"]["kind"], F.lit("contains_phrase"))
+
+
+def _matched(t: Column, dest: Column, accepted: Column) -> Column:
+    """By the term's kind; an unknown kind is an error of the contract, and no missing term."""
+    out = F.when(F.lit(False), F.lit(False))
+    for kind, holds in MATCH_KINDS.items():
+        out = out.when(_kind(t) == kind, holds(dest, accepted))
+    return out.otherwise(F.lit(True))
+
+
 Rule = Callable[[Column, Column, Column, GateConfig], Column]
 RULES: dict[str, Rule] = {}
 
@@ -108,8 +139,11 @@ def _target(b: Column, t: Column) -> Column:
 
 @_rule("unknown_term")
 def unknown_term(source, dest, contract, config):
-    """A binding whose term the contract does not hold is an error of the contract."""
-    return each(contract["bindings"], lambda b: when(~F.coalesce(F.map_contains_key(F.coalesce(contract["terms"], F.create_map().cast(f"map<string,{TERM}>")), b["term_id"]), F.lit(False)), violation("CONTRACT001", FAIL, b["term_id"], reason=F.lit("binding without a term"))))
+    """A binding whose term the contract does not hold is an error of the contract, and so is a term of an unknown kind."""
+    entries = F.filter(F.map_entries(contract["terms"]), lambda e: ~_kind(e["value"]).isin(*MATCH_KINDS))
+    odd = each(entries, lambda e: F.array(violation("CONTRACT001", FAIL, e["key"], form=_kind(e["value"]), reason=F.lit("unknown match kind"))).cast(f"array<{VIOLATION}>"))
+    unheld = each(contract["bindings"], lambda b: when(~F.coalesce(F.map_contains_key(F.coalesce(contract["terms"], F.create_map().cast(f"map<string,{TERM}>")), b["term_id"]), F.lit(False)), violation("CONTRACT001", FAIL, b["term_id"], reason=F.lit("binding without a term"))))
+    return F.concat(unheld, odd)
 
 
 @_rule("required_term")
@@ -118,7 +152,7 @@ def required_term(source, dest, contract, config):
 
     def one(b: Column, t: Column) -> Column:
         accepted = F.when(F.size(t["match"]["accepted"]) > 0, t["match"]["accepted"]).otherwise(F.array(_target(b, t)))
-        return when(F.coalesce(b["required"], F.lit(False)) & ~F.exists(accepted, lambda a: F.contains(dest, a)), violation("TERM001", FAIL, b["term_id"], expected=_target(b, t)))
+        return when(F.coalesce(b["required"], F.lit(False)) & ~F.coalesce(_matched(t, dest, accepted), F.lit(False)), violation("TERM001", FAIL, b["term_id"], expected=_target(b, t)))
 
     return _bound(contract, one)
 
@@ -137,17 +171,17 @@ def forbidden_form(source, dest, contract, config):
 def forbidden_only(source, dest, contract, config):
     """Terms that are never bound: their forbidden forms count where the source holds their English form."""
     terms = F.filter(F.map_entries(contract["terms"]), lambda e: F.coalesce(e["value"]["enforcement"] == "FORBIDDEN_ONLY", F.lit(False)))
-    return each(terms, lambda e: F.when(F.coalesce(anchored(source, e["value"]["source"]), F.lit(False)), _forbidden(dest, "TERM002", e["key"], e["value"]["forbidden"], F.coalesce(e["value"]["target"], F.lit("")))).otherwise(none()))
+    return each(terms, lambda e: F.when(F.coalesce(F.when(contract["anchored"].isNotNull(), F.array_contains(contract["anchored"], e["value"]["source"])).otherwise(anchored(source, e["value"]["source"])), F.lit(False)), _forbidden(dest, "TERM002", e["key"], e["value"]["forbidden"], F.coalesce(e["value"]["target"], F.lit("")))).otherwise(none()))
 
 
 @_rule("blocked_suffix")
 def blocked_suffix(source, dest, contract, config):
-    """An accepted form with a blocked suffix behind it."""
+    """An accepted form with a blocked suffix behind it, where the term's kind looks at suffixes."""
 
     def one(b: Column, t: Column) -> Column:
         suffixes = t["match"]["blocked_suffixes"]
         hits = lambda a: F.filter(occurrences(dest, a), lambda p: F.exists(suffixes, lambda s: F.startswith(F.substr(dest, p + F.length(a)), s)))
-        return F.when(F.size(suffixes) > 0, each(t["match"]["accepted"], lambda a: F.transform(hits(a), lambda p: violation("TERM003", FAIL, b["term_id"], a, p, _target(b, t))))).otherwise(none())
+        return F.when((F.size(suffixes) > 0) & _kind(t).isin(*SUFFIX_KINDS), each(t["match"]["accepted"], lambda a: F.transform(hits(a), lambda p: violation("TERM003", FAIL, b["term_id"], a, p, _target(b, t))))).otherwise(none())
 
     return _bound(contract, one)
 
@@ -160,7 +194,9 @@ def global_ban(source, dest, contract, config):
     whose English form is in the source. A declared exemption, if all occurrences satisfy it, leaves a warning.
     """
     bans, exemptions = contract["global_bans"], contract["global_ban_exemptions"]
-    found = F.transform(bans, lambda b: F.struct(b.alias("ban"), F.coalesce(anchored(source, b["english"]), F.lit(False)).alias("here")))
+    # A compiled contract says which English forms its source holds; in others they are looked for.
+    here = lambda b: F.when(contract["anchored"].isNotNull(), F.array_contains(contract["anchored"], b["english"])).otherwise(anchored(source, b["english"]))
+    found = F.transform(bans, lambda b: F.struct(b.alias("ban"), F.coalesce(here(b), F.lit(False)).alias("here")))
 
     def exempt(b: Column, f: Column) -> Column:
         def satisfied(e: Column) -> Column:

@@ -425,9 +425,9 @@ def semantic_unit_build(spark, d):
     return workflow.semantic_units(_t(spark, d, "conversations"), "conv_id", "turn", "text")
 
 
-@_query("batch_plan", f"WITH {UNITS} SELECT unit_id, rec, (row_number() OVER (PARTITION BY rec ORDER BY unit_id) - 1) // 40 AS batch, 'B-' || rec || '-' || lpad(((row_number() OVER (PARTITION BY rec ORDER BY unit_id) - 1) // 40)::VARCHAR, 3, '0') AS batch_name FROM units WHERE rec NOT LIKE 'INFO%'")
+@_query("batch_plan", f"WITH {UNITS} SELECT unit_id, rec, source, (row_number() OVER (PARTITION BY rec ORDER BY unit_id) - 1) // 40 AS batch, 'B-' || rec || '-' || lpad(((row_number() OVER (PARTITION BY rec ORDER BY unit_id) - 1) // 40)::VARCHAR, 3, '0') AS batch_name FROM units WHERE rec NOT LIKE 'INFO%'")
 def batch_plan(spark, d):
-    u = _units(spark, d).where("rec not like 'INFO%'").select("unit_id", "rec")
+    u = _units(spark, d).where("rec not like 'INFO%'").select("unit_id", "rec", "source")
     return workflow.batch_plan(u, "rec", "unit_id", 40, "B-")
 
 
@@ -564,3 +564,6 @@ def decision_states(spark, d):
     now = o.select("o_orderkey", F.when(s == "O", "REVIEW").when(s == "F", "KEEP").alias("status"))
     asked = o.where("o_orderkey % 2 = 0").select("o_orderkey", F.lit("CONFIRMED").alias("status"))
     return workflow.advance(now, asked, "o_orderkey").select("o_orderkey", "status", "error")
+
+
+from . import files  # noqa: E402,F401  adds its own

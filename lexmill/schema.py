@@ -8,7 +8,7 @@ TERM = "struct<decision_status:string,enforcement:string,target:string,forbidden
 BINDING = "struct<term_id:string,source_span:string,required:boolean,required_target:string>"
 BAN = "struct<english:string,forbidden:array<string>,target:string,reason:string,category:string,unconditional:boolean>"
 EXEMPTION = "struct<english:string,forbidden:string,reason:string,scope:struct<dest_left:array<string>,dest_right:array<string>,source_contains:array<string>>>"
-CONTRACT = f"struct<bindings:array<{BINDING}>,terms:map<string,{TERM}>,keep_list:array<string>,keep:array<string>,protected_tokens:array<string>,interjection_map:map<string,array<string>>,global_bans:array<{BAN}>,global_ban_exemptions:array<{EXEMPTION}>>"
+CONTRACT = f"struct<bindings:array<{BINDING}>,terms:map<string,{TERM}>,keep_list:array<string>,keep:array<string>,protected_tokens:array<string>,interjection_map:map<string,array<string>>,global_bans:array<{BAN}>,global_ban_exemptions:array<{EXEMPTION}>,anchored:array<string>>"
 
 CASE = (
     "struct<case_id:string,test_layer:string,category:string,plugin:string,xml_index:bigint,"

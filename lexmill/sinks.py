@@ -57,7 +57,7 @@ def write_xml(spliced_files: DataFrame, folder: str, root: str | None = None, jo
     """
     name = F.regexp_replace("file", r"^.*[/\\\\]", "")
     if root is not None:
-        below = root.rstrip("/") + "/"
+        below = root.rstrip("/") + "/" if root else ""
         name = F.when(F.startswith("file", F.lit(below)), F.substring("file", len(below) + 1, 1 << 20)).otherwise(name)
     return write_documents(spliced_files.where("intact").select("file", name.alias("path"), F.col("xml").alias("content")), folder, job)
 
