@@ -15,17 +15,30 @@ def quoted(text: Column) -> Column:
     return F.concat(F.lit(r"\Q"), F.replace(text, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))
 
 
+def _found(text: Column, form: Column, but: Column | None = None) -> Column:
+    """Start of every occurrence of a form that no pattern ``but`` behind it forbids. A pass of the regular expression begins
+    with the form itself, which is fast, unless the form can overlap itself: then each place is looked at."""
+    but = F.lit("") if but is None else but
+    n = F.length(form)
+    overlaps = F.exists(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), lambda k: (k < n) & F.startswith(form, F.substr(form, k + 1)))
+    start = F.struct(F.lit(1).alias("at"), F.array().cast("array<int>").alias("found"))
+
+    def ends(a: Column, p: Column) -> Column:
+        at = a["at"] + F.length(p)
+        return F.struct((at + n).alias("at"), F.array_append(a["found"], at).alias("found"))
+
+    behind = F.aggregate(F.split(text, F.concat(quoted(form), but), -1), start, ends, lambda a: F.slice(a["found"], F.lit(1), F.size(a["found"]) - 1))
+    look = F.concat(F.lit("(?="), quoted(form), but, F.lit(")"))
+    return F.when(overlaps, starts(text, look)).otherwise(behind)
+
+
 def occurrences(text: Column | str, form: Column | str) -> Column:
-    """Start of every occurrence, overlapping ones too. The text is cut before each one in a single pass, so all pieces
-    but perhaps the first begin with the form.
+    """Start of every occurrence, overlapping ones too. The text is cut there in a single pass.
 
     An empty or null form occurs nowhere; a null text gives null.
     """
     text, form = _col(text), _col(form)
-    pieces = F.split(text, F.concat(F.lit("(?="), quoted(form), F.lit(")")), -1)
-    start = F.struct(F.lit(1).alias("at"), F.array().cast("array<int>").alias("found"))
-    step = lambda a, p: F.struct((a["at"] + F.length(p)).alias("at"), F.when((a["at"] > 1) | F.startswith(text, form), F.array_append(a["found"], a["at"])).otherwise(a["found"]).alias("found"))
-    return F.when((F.length(form) > 0) & F.contains(text, form), F.aggregate(pieces, start, step, lambda a: a["found"])).otherwise(F.when(text.isNotNull(), F.array().cast("array<int>")))
+    return F.when((F.length(form) > 0) & F.contains(text, form), _found(text, form)).otherwise(F.when(text.isNotNull(), F.array().cast("array<int>")))
 
 
 def starts(text: Column, pattern: Column) -> Column:
@@ -43,10 +56,16 @@ def covered(pos: Column, form: Column, target_starts: Column, target: Column) ->
 
 
 def uncovered(text: Column | str, form: Column | str, target: Column | str) -> Column:
-    """Starts of the form that no occurrence of the target covers."""
+    """Starts of the form that no occurrence of the target covers.
+
+    Where the form lies in the target, at each such place, the target's part before the form must not precede it with the
+    rest behind it; so one pass over the text tells, however many occurrences there are.
+    """
     text, form, target = _col(text), _col(form), F.coalesce(_col(target), F.lit(""))
-    starts = occurrences(text, target)
-    return F.when(~F.contains(text, form), F.array().cast("array<int>")).otherwise(F.filter(occurrences(text, form), lambda p: ~covered(p, form, starts, target)))
+    places = F.when(F.contains(target, form), _found(target, form)).otherwise(F.array().cast("array<int>"))
+    one = lambda p: F.concat(F.lit("(?!(?<="), quoted(F.concat(F.substr(target, F.lit(1), p - 1), form)), F.lit(")"), quoted(F.substr(target, p + F.length(form))), F.lit(")"))
+    but = F.array_join(F.transform(places, one), "")
+    return F.when((F.length(form) > 0) & F.contains(text, form), _found(text, form, but)).otherwise(F.array().cast("array<int>"))
 
 
 def text_after(text: Column, pos: Column, form: Column) -> Column:

@@ -11,8 +11,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import cache
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.anchors import anchored
@@ -27,20 +28,26 @@ SIMPLIFIED = "欢来诺这里卫尽责装义变们发门龙国学会时间东车
 
 
 
-def _traditional_only() -> str:
-    """Characters that Simplified text has no use for: those above, and by rule those of the first, common plane of the
-    Traditional standard set that the Simplified standard set lacks. (Rare characters of names are in its second plane.)"""
-    out = [t for t, s in zip(TRADITIONAL, SIMPLIFIED, strict=True) if t != s]
-    for high in range(0xA4, 0xC7):
-        for low in (*range(0x40, 0x7F), *range(0xA1, 0xFF)):
-            if (high, low) <= (0xC6, 0x7E):
-                char = bytes((high, low)).decode("big5", "ignore")
-                if char and not char.encode("gb2312", "ignore"):
-                    out.append(char)
-    return "".join(dict.fromkeys(out))
+def _common_plane() -> str:
+    """The characters of the first, common plane of the Traditional standard set, in order."""
+    codes = ((high, low) for high in range(0xA4, 0xC7) for low in (*range(0x40, 0x7F), *range(0xA1, 0xFF)) if (high, low) <= (0xC6, 0x7E))
+    return "".join(bytes(c).decode("big5", "ignore") for c in codes)
 
 
-TRADITIONAL_ONLY = _traditional_only()
+@cache
+def traditional_only() -> str:
+    """Characters that are evidence of Traditional text: those above, and by rule those of the common plane that Unicode's
+    own table maps to another, Simplified form, if the Simplified standard set lacks them. A character that has no other
+    form, as in many names, is none. Where the session's ICU isn't at hand, the list above alone counts."""
+    out = [t for t, s in zip(TRADITIONAL, SIMPLIFIED, strict=True) if t != s]
+    spark = SparkSession.getActiveSession()
+    plane = _common_plane()
+    icu = getattr(getattr(spark, "_jvm", None), "com", None)
+    if icu is not None:
+        simple = icu.ibm.icu.text.Transliterator.getInstance("Traditional-Simplified").transliterate(plane)
+        if len(simple) == len(plane):
+            out += [t for t, s in zip(plane, simple, strict=True) if t != s and not t.encode("gb2312", "ignore")]
+    return "".join(dict.fromkeys(out))
 
 
 @dataclass(frozen=True)
@@ -152,7 +159,7 @@ def required_term(source, dest, contract, config):
 
     def one(b: Column, t: Column) -> Column:
         accepted = F.when(F.size(t["match"]["accepted"]) > 0, t["match"]["accepted"]).otherwise(F.array(_target(b, t)))
-        return when(F.coalesce(b["required"], F.lit(False)) & ~F.coalesce(_matched(t, dest, accepted), F.lit(False)), violation("TERM001", FAIL, b["term_id"], expected=_target(b, t)))
+        return when(F.coalesce(b["required"], F.lit(False)) & ~_matched(t, dest, accepted), violation("TERM001", FAIL, b["term_id"], expected=_target(b, t)))
 
     return _bound(contract, one)
 
@@ -243,8 +250,8 @@ def charset(source, dest, contract, config):
         d = F.replace(d, F.lit(p), F.lit(""))
     # Only characters of the range are looked up in the table, and only texts that have one.
     han = F.regexp_replace(d, "[^\u3400-\u9FFF「」]+", "")
-    rest = lambda h: F.translate(h, TRADITIONAL_ONLY + ("「」" if config.corner_quotes else ""), "")
-    found = lambda h: F.array_except(F.split(h, ""), F.split(F.translate(h, TRADITIONAL_ONLY + "「」", ""), ""))
+    rest = lambda h: F.translate(h, traditional_only() + ("「」" if config.corner_quotes else ""), "")
+    found = lambda h: F.array_except(F.split(h, ""), F.split(F.translate(h, traditional_only() + "「」", ""), ""))
     one = lambda h: when(F.length(rest(h)) < F.length(h), violation("CHAR001", FAIL, form=F.array_join(found(h), "")))
     return F.when(F.rlike(d, F.lit("[\u3400-\u9FFF「」]")), let(han, one)).otherwise(none())
 
@@ -261,7 +268,8 @@ def truncation(source, dest, contract, config):
     """A short dest that ends in an ellipsis where the source does not."""
     s, d = F.trim(stripped(source)), F.trim(stripped(dest))
     tail = r"(…|\.{2,})$"
-    return when(F.rlike(d, F.lit(tail)) & ~F.rlike(s, F.lit(tail)) & (F.length(d) < F.length(s) * config.short_ratio), violation("TRUNC001", WARNING, form=F.right(d, F.lit(6))))
+    dotted = F.contains(dest, F.lit("…")) | F.rlike(dest, F.lit(r"\.\.|\.[<\[]"))  # cheap: most have no such run, nor could strip to one
+    return when(dotted & F.rlike(d, F.lit(tail)) & ~F.rlike(s, F.lit(tail)) & (F.length(d) < F.length(s) * config.short_ratio), violation("TRUNC001", WARNING, form=F.right(d, F.lit(6))))
 
 
 @_rule("xml_structure")

@@ -95,14 +95,23 @@ def ranked_evidence(terms: DataFrame, evidence: DataFrame, tiers: tuple[str, ...
     return terms.select("english").join(counted, F.col("english") == F.col("source")).withColumn("place", F.row_number().over(w)).select("english", "dest", "tier", "uses", "place")
 
 
+#: Patterns that every text is searched for; more are joined.
+FEW_PATTERNS = 64
+
+
 def pattern_hits(texts: DataFrame, patterns: DataFrame, key: str, text: str, pattern: str) -> DataFrame:
     """(key, pattern) where a text contains a pattern of any script.
 
-    Texts are cut to distinct bigrams and joined with the patterns' first bigrams by equality; a hit is then verified.
-    Patterns of one character are few and are matched directly. No text meets every pattern.
+    A few patterns are looked for in each text's own row. Of more, texts are cut to distinct bigrams and joined with the
+    patterns' first bigrams by equality, and a hit is then verified; those of one character are joined with characters. Both
+    ways give the same rows.
     """
     p = patterns.select(F.col(pattern).alias("pattern")).where("length(pattern) > 0").distinct()
     t = texts.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    few = [r.pattern for r in p.limit(FEW_PATTERNS + 1).collect()]
+    if len(few) <= FEW_PATTERNS:
+        here = F.filter(F.array(*map(F.lit, sorted(few))).cast("array<string>"), lambda x: F.contains(F.col("text"), x))
+        return t.select(F.col("key").alias(key), F.explode(here).alias("pattern"))
     grams = F.array_distinct(F.regexp_extract_all("text", F.lit("(?s)(?=(..))"), F.lit(1)))
     long = t.select("key", F.explode(grams).alias("gram")).join(p.where("length(pattern) > 1").withColumn("gram", F.left("pattern", F.lit(2))), "gram").select("key", "pattern")
     long = long.join(t, "key").where(F.contains("text", F.col("pattern"))).select("key", "pattern")

@@ -12,7 +12,7 @@ from ..functions.anchors import anchored_pairs
 from ..functions.text import last_line, version, xml_index
 from ..operators import contract, gate, validate, workflow
 from ..schema import CONTRACT
-from ..sources import derived_units
+from ..sources import derived_units, spread
 from . import dims
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,7 +34,7 @@ def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
 
 
 def _units(spark: SparkSession, d: str) -> DataFrame:
-    return derived_units(_t(spark, d, "documents"))
+    return derived_units(spread(_t(spark, d, "documents")))
 
 
 def _contracts(spark: SparkSession, d: str) -> DataFrame:

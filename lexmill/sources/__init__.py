@@ -124,6 +124,13 @@ def parse_pipe_table(lines: DataFrame, columns: list[str], column: str = "value"
     return rows.select(*[F.col("c")[i].alias(n) for i, n in enumerate(columns)])
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Rows of a few files, dealt out to all cores: a file of one row group is one task, however many cores there are. Tables
+    of as many files as cores are left as they are, without a shuffle."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if 0 < len(rows.inputFiles()) < cores else rows
+
+
 def derived_units(documents: DataFrame) -> DataFrame:
     """Translation units made from documents: the text as source, and a dest with a seeded defect for each id."""
     t, k = F.coalesce("text", F.lit("")), F.pmod("doc_id", F.lit(12))

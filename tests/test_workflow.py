@@ -150,3 +150,12 @@ def test_items_of_what_is_found(spark):
     assert [tuple(r) for r in review.warning_items(found).collect()] == [("warning", "1|TRUNC001|", "low", "x,y")]
     decided = spark.createDataFrame([("t1", "REVIEW", None), ("t2", "KEEP", "KEEP to X"), ("t3", "KEEP", None)], "term_id string, status string, error string")
     assert sorted(tuple(r) for r in review.decision_items(decided).collect()) == [("decision", "t1", "high", "REVIEW"), ("decision", "t2", "medium", "KEEP to X")]
+
+
+def test_few_patterns_and_many_give_the_same_hits(spark, monkeypatch):
+    rng = random.Random(5)
+    texts = spark.createDataFrame([(i, "".join(rng.choice("甲乙丙ab ") for _ in range(rng.randrange(20)))) for i in range(80)] + [(80, None), (81, "")], "k int, t string")
+    patterns = spark.createDataFrame([(p,) for p in ("甲", "甲乙", "ab ", "a", "丙丙", "乙a甲", "", None, "甲", "q")], "p string")
+    few = sorted(map(tuple, workflow.pattern_hits(texts, patterns, "k", "t", "p").collect()))
+    monkeypatch.setattr(workflow, "FEW_PATTERNS", 0)
+    assert few == sorted(map(tuple, workflow.pattern_hits(texts, patterns, "k", "t", "p").collect())) and len(few) > 60
