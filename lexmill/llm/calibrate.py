@@ -26,5 +26,15 @@ def isotonic_fit(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarra
     return np.array(kx), np.array(ky)
 
 
-def isotonic_predict(kx: np.ndarray, ky: np.ndarray, x: np.ndarray) -> np.ndarray:
-    return np.clip(np.interp(x, kx, ky), 0.0, 1.0)
+#: Share of a score that tells apart what the steps of the fit pool.
+TIE = 1e-4
+
+
+def isotonic_predict(kx: np.ndarray, ky: np.ndarray, x: np.ndarray, threshold: float) -> np.ndarray:
+    """Scores from 0 to 1 that rise strictly with x: the fit's, and by a small share the place of x itself, so that what it
+    ranks is ranked inside a step too. No score changes its side of the threshold by that."""
+    fit = np.clip(np.interp(x, kx, ky), 0.0, 1.0)
+    width = max(kx[-1] - kx[0], 1e-9)
+    place = 0.5 + np.arctan((x - (kx[0] + kx[-1]) / 2) / width) / np.pi
+    score = (1 - TIE) * fit + TIE * place
+    return np.where(fit >= threshold, np.maximum(score, threshold), np.minimum(score, np.nextafter(threshold, 0)))

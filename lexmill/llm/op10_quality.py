@@ -89,7 +89,7 @@ class Model:
         if self.good is None:
             return lambda texts: [self.prior] * len(texts)
         c = Compressors(self.good, self.bad)
-        return lambda texts: isotonic_predict(self.x, self.y, np.array([c.evidence(t.encode("utf-8", "replace")) for t in texts])).tolist()
+        return lambda texts: isotonic_predict(self.x, self.y, np.array([c.evidence(t.encode("utf-8", "replace")) for t in texts]), THRESHOLD).tolist()
 
 
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", most_rows: int = MOST_ROWS) -> Model:

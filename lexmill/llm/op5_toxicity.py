@@ -192,7 +192,7 @@ class Model:
         if not texts:
             return np.zeros(0)
         x = np.array([features(t, words_of(t), self.lexicon) for t in texts])
-        return isotonic_predict(self.kx, self.ky, self.trees.raw(x))
+        return isotonic_predict(self.kx, self.ky, self.trees.raw(x), THRESHOLD)
 
 
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", most_rows: int = MOST_ROWS) -> Model:

@@ -361,8 +361,12 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
 
 def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One document of each group, the one of least id; documents without an id stay."""
-    gone = join(docs, key, text).groupBy(key).agg(F.min("component_id").alias("c")).where(F.col(key) != F.col("c")).select(F.col(key).alias("__gone"))
-    return docs.join(gone, F.col(key).cast("bigint") == F.col("__gone"), "left_anti")
+    gone = join(docs, key, text).groupBy(F.col(key).alias("k")).agg(F.min("component_id").alias("c")).where("k <> c")
+    mark = "gone"
+    while mark in {c.lower() for c in docs.columns}:
+        mark += "_"
+    gone = gone.select(F.col("k").alias(mark))
+    return docs.join(gone, docs[key].cast("bigint") == gone[mark], "left_anti")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from .common import bound_batches, held_out
 
-#: Characters of sampled text that the fitting task holds. Of longer texts only so much of their beginning is learned from
-#: that all texts of the sample have a share; they are scored whole.
+#: Characters of sampled text that the fitting task holds. Texts are learned from whole or not at all: where a sample holds
+#: more, fewer rows of it are used.
 MOST_CHARS = 64 << 20
 
 
@@ -40,17 +40,20 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, key: str, text: str, lab
 def fitted(sample: DataFrame, build: Callable[[list[tuple[str, int]]], object]):
     """The model that ``build`` makes of the sample's (text, label), in an order by hash; made by one task.
 
+    Rows come in that order, which says nothing of labels, and those that don't fit what is left of MOST_CHARS are passed by.
+
     The sample is bounded, and the model comes back pickled, so the driver never holds the texts.
     """
     bound_batches(sample.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = [r for b in batches for r in zip(*(c.to_pylist() for c in b.columns), strict=True)]
-        rows.sort(key=lambda r: (r[2], r[3], r[0]))
-        most = MOST_CHARS // max(1, len(rows))
-        if sum(len(r[0]) for r in rows) > MOST_CHARS:
-            rows = [(r[0][:most], *r[1:]) for r in rows]
-        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(build([r[:2] for r in rows]))], pa.binary())], names=["model"])
-
-    got = sample.repartition(1).mapInArrow(run, "model binary").collect()
+        rows, room = [], MOST_CHARS
+        for b in batches:
+            for text, label in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                if len(text) <= room:
+                    rows.append((text, label))
+                    room -= len(text)
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(build(rows))], pa.binary())], names=["model"])
+
+    got = sample.repartition(1).sortWithinPartitions("h", "key", "text").select("text", "label").mapInArrow(run, "model binary").collect()
     return pickle.loads(got[0].model) if got else build([])

@@ -84,6 +84,11 @@ def test_jaccard_equals_brute_force(spark, make_docs, monkeypatch, bucket):
     assert kept.columns == make_docs([]).columns and kept.where("doc_id is null").count() == 1
 
 
+def test_jaccard_clashing_names(spark):
+    df = spark.createDataFrame([(1, "a b c d e f", 1, 2, 3, 4, 5), (2, "a b c d e f", 1, 2, 3, 4, 5)], "doc_id bigint, text string, __gone int, gone int, k int, c int, sig int")
+    assert [tuple(r) for r in op6_jaccard.dedup(df).collect()] == [(1, "a b c d e f", 1, 2, 3, 4, 5)]
+
+
 def test_jaccard_of_nothing(make_docs):
     assert op6_jaccard.join(make_docs([])).count() == 0
     assert op6_jaccard.dedup(make_docs([])).count() == 0

@@ -7,8 +7,8 @@ import pytest
 from helpers import DATA
 
 import corpus_pipeline
-from lexmill.llm import op1_ann, op5_toxicity, op10_quality
-from lexmill.llm.calibrate import isotonic_fit, isotonic_predict
+from lexmill.llm import op1_ann, op5_toxicity, op10_quality, sampling
+from lexmill.llm.calibrate import TIE, isotonic_fit, isotonic_predict
 from lexmill.llm.queries import QUERIES
 
 
@@ -74,7 +74,18 @@ def test_outlying_queries_get_all_their_rows(spark):
 
 def test_isotonic():
     x, y = isotonic_fit(np.array([3.0, 1, 2, 2]), np.array([1.0, 0, 1, 0]), np.ones(4))
-    assert isotonic_predict(x, y, np.array([0, 1, 2, 3, 9.0])).tolist() == [0, 0, 0.5, 1, 1]
+    at = np.array([-1e6, 0, 1, 1.5, 2, 2.5, 3, 9.0, 1e6])
+    got = isotonic_predict(x, y, at, 0.5)
+    assert np.abs(got - [0, 0, 0, 0.25, 0.5, 0.75, 1, 1, 1]).max() <= TIE and (np.diff(got) > 0).all() and 0 <= got.min() and got.max() <= 1
+    assert ((got >= 0.5) == (at >= 2)).all()
+    assert (isotonic_predict(np.array([1.0]), np.array([0.3]), np.array([-5, 1, 5.0]), 0.3) >= 0.3).all()
+
+
+def test_texts_are_learned_from_whole_or_not(spark, monkeypatch):
+    monkeypatch.setattr(sampling, "MOST_CHARS", 100)
+    rows = [("a" * 60, 1, 3, "x"), ("b" * 50, 0, 4, "y"), ("c" * 30, 1, 5, "z"), ("", 0, 6, "v"), ("d" * 11, 0, 7, "w"), ("e" * 10, 0, 8, "w")]
+    df = spark.createDataFrame(rows[::-1], "text string, label int, h bigint, key string")
+    assert sampling.fitted(df, lambda got: got) == [("a" * 60, 1), ("c" * 30, 1), ("", 0), ("e" * 10, 0)]
 
 
 def labelled(toxic):
