@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import op1_ann, op2_bpe, op3_lines, op4_tokenfile, op5_toxicity, op6_jaccard, op7_html, op8_licenses, op9_decontaminate, op10_quality, op11_turns, op12_centroids, op13_minhash
+from . import op1_ann, op2_bpe, op3_lines, op4_tokenfile, op5_toxicity, op6_jaccard, op7_html, op8_licenses, op9_decontaminate, op10_quality, op11_turns, op12_centroids, op13_minhash, sql
 
 QUERIES = {
     "op1_ann": op1_ann.query,
@@ -20,4 +20,10 @@ QUERIES = {
     "op13_minhash": op13_minhash.query,
 }
 
-ORACLE_SQL = {"op8_licenses": op8_licenses.SQL}
+ORACLE_SQL = {
+    "op6_jaccard": sql.similar_groups(5, 80),
+    "op8_licenses": op8_licenses.SQL,
+    "op11_turns": sql.repairs(),
+    "op12_centroids": sql.clusters(),
+    "op13_minhash": sql.similar_groups(3, 85, ", component_id = d.doc_id AS kept"),
+}
