@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.anchors import FEW, anchor_spans, anchored_pairs, few_forms, met_forms
+from ..functions.anchors import FEW, anchor_spans, anchored_pairs, met_forms
 from ..schema import BAN, BINDING, CONTRACT, EXEMPTION, TERM
 
 
@@ -41,32 +43,42 @@ def _bound(term_id: Column, term: Column) -> Column:
     return F.struct(term_id, term["source"].alias("source_span"), F.lit(True).alias("required"), term["target"].alias("required_target")).cast(BINDING)
 
 
-def _compiled_in_row(units: DataFrame, few: list[tuple], terms: DataFrame, bans: DataFrame | None, fixed: Column) -> DataFrame | None:
-    """Terms and bans that are few are literals, picked in each unit's own row: no join and no shuffle. None if a form has
-    too many rows."""
-    kinds = f"struct<id:string,value:{TERM}>", f"struct<id:string,value:{BAN}>"
-    tables = [terms.select(F.col("term_id").alias("id"), F.struct(*[F.col(c) for c in _fields(TERM)]).cast(TERM).alias("value"))]
-    tables += [bans.select(F.col("ban_id").alias("id"), _ban().alias("value"))] if bans is not None else []
-    held = []
-    for table in tables:
-        rows = table.select(F.to_json(F.struct("id", "value")).alias("j"), "id").orderBy("id", "j").limit(FEW + 1).collect()
-        if len(rows) > FEW:
-            return None
-        held.append([r.j for r in rows])
-    literal = lambda rows, kind: F.array(*[F.from_json(F.lit(j), kind) for j in rows]).cast(f"array<{kind}>")
-    picked = lambda rows, kind, mark: F.filter(literal(rows, kind), lambda x: F.array_contains("__met", F.concat(F.lit(mark), x["id"])))
-    out = units.withColumn("__met", met_forms("source", few)).withColumn("__terms", picked(held[0], kinds[0], "t:"))
+def apart(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """A column that is made once for each row: it comes out of a generator, which neither filters nor projections that use
+    it are moved through."""
+    return df.select(*[c for c in df.columns if c != name], F.explode(F.array(value)).alias(name))
+
+
+def _rows(table: DataFrame, columns: list[str]) -> list[dict] | None:
+    """Rows of a table if there are no more than FEW, else None: the limit bounds what is collected."""
+    rows = table.select(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}).alias("j")).distinct().limit(FEW + 1).collect()
+    return None if len(rows) > FEW else sorted((json.loads(r.j) for r in rows), key=lambda r: json.dumps(r, sort_keys=True))
+
+
+def _compiled_in_row(units: DataFrame, terms: DataFrame, bans: DataFrame | None) -> DataFrame | None:
+    """Terms and bans that are few are literals, picked in each unit's own row: no join and no shuffle. None if they are
+    many."""
+    held = _rows(terms, ["term_id", *_fields(TERM)])
+    banned = [] if bans is None else _rows(bans, ["ban_id", *_fields(BAN)])
+    if held is None or banned is None:
+        return None
+    held, banned = sorted(held, key=lambda r: r["term_id"] or ""), sorted(banned, key=lambda r: r["ban_id"])
+    forms = sorted({(f"t:{r['term_id']}", r["source"]) for r in held if r["source"]} | {(f"b:{r['ban_id']}", r["english"]) for r in banned if r["english"]})
+    literal = lambda rows, kind: F.from_json(F.lit(json.dumps(rows)), f"array<{kind}>")
+    picked = lambda rows, name, kind, mark: F.filter(literal([{"id": mark + r[name], "value": r} for r in rows], f"struct<id:string,value:{kind}>"), lambda x: F.array_contains("__met", x["id"]))
+    out = apart(units, "__met", met_forms("source", forms))
+    out = apart(out, "__terms", picked([r for r in held if r["term_id"] is not None], "term_id", TERM, "t:"))
     some = F.size("__terms") > 0
-    out = out.withColumn("terms", F.when(some, F.map_from_entries(F.transform("__terms", lambda x: F.struct(x["id"].alias("key"), x["value"].alias("value"))))))
+    out = out.withColumn("terms", F.when(some, F.map_from_entries(F.transform("__terms", lambda x: F.struct(F.substring(x["id"], 3, 1 << 20).alias("key"), x["value"].alias("value"))))))
     required = F.filter("__terms", lambda x: F.coalesce(x["value"]["enforcement"] == "REQUIRED", F.lit(False)))
-    out = out.withColumn("bindings", F.when(some, F.transform(required, lambda x: _bound(x["id"].alias("term_id"), x["value"]))))
-    met = F.transform(picked(held[1], kinds[1], "b:"), lambda x: x["value"]) if bans is not None else _no_bans()
-    out = out.withColumn("global_bans", F.array_distinct(F.concat(met, fixed)))
-    english = F.array(*[F.struct(F.lit(i).alias("id"), F.lit(e).alias("e")) for i, e in few]) if few else F.array().cast("array<struct<id:string,e:string>>")
+    out = out.withColumn("bindings", F.when(some, F.transform(required, lambda x: _bound(F.substring(x["id"], 3, 1 << 20).alias("term_id"), x["value"]))))
+    met = F.transform(picked(banned, "ban_id", BAN, "b:"), lambda x: x["value"])
+    out = out.withColumn("global_bans", F.array_distinct(F.concat(met, literal([r for r in banned if r["unconditional"]], BAN))))
+    english = literal([{"id": i, "e": e} for i, e in forms], "struct<id:string,e:string>")
     return out.withColumn("anchored", F.array_distinct(F.transform(F.filter(english, lambda x: F.array_contains("__met", x["id"])), lambda x: x["e"]))).drop("__met", "__terms")
 
 
-def _compiled_by_join(units: DataFrame, pairs: DataFrame, terms: DataFrame, bans: DataFrame | None, fixed: Column, unit: str) -> DataFrame:
+def _compiled_by_join(units: DataFrame, pairs: DataFrame, terms: DataFrame, bans: DataFrame | None, unit: str) -> DataFrame:
     """Terms and bans of any number, by (unit, form_id) pairs."""
     term = F.struct(*[F.col(c) for c in _fields(TERM)]).cast(TERM)
     held = pairs.where(F.startswith("form_id", F.lit("t:"))).select(unit, F.substring("form_id", 3, 1 << 20).alias("term_id")).join(terms.select("term_id", term.alias("term")), "term_id")
@@ -80,7 +92,7 @@ def _compiled_by_join(units: DataFrame, pairs: DataFrame, terms: DataFrame, bans
         met = met.groupBy(unit).agg(F.transform(F.array_sort(F.collect_list(F.struct("ban_id", "ban")), _by("ban_id")), lambda x: x["ban"]).alias("met"))
         out = out.join(met, unit, "left").withColumn("met", F.coalesce("met", _no_bans()))
     english = F.concat(F.coalesce(F.transform(F.map_values("terms"), lambda t: t["source"]), F.array().cast("array<string>")), F.transform("met", lambda b: b["english"]))
-    return out.withColumn("anchored", F.array_distinct(english)).withColumn("global_bans", F.array_distinct(F.concat("met", fixed))).drop("met")
+    return out.withColumn("anchored", F.array_distinct(english)).withColumn("global_bans", F.array_distinct(F.concat("met", _always(bans)))).drop("met")
 
 
 def compile_contract(units: DataFrame, terms: DataFrame, bans: DataFrame | None = None, exemptions: DataFrame | None = None, unit: str = "unit_id", keep: list[str] | None = None, protected: dict[str, str] | None = None, interjections: dict[str, list[str]] | None = None, global_keep: DataFrame | None = None) -> DataFrame:
@@ -95,11 +107,9 @@ def compile_contract(units: DataFrame, terms: DataFrame, bans: DataFrame | None
     if bans is not None:
         bans = bans.withColumn("ban_id", F.coalesce("ban_id", F.lit("")))
         forms = forms.unionByName(bans.select(F.concat(F.lit("b:"), "ban_id").alias("form_id"), "english"))
-    fixed = _always(bans)
-    few = few_forms(forms, "form_id", "english")
-    out = None if few is None else _compiled_in_row(units, few, terms, bans, fixed)
+    out = _compiled_in_row(units, terms, bans)
     if out is None:
-        out = _compiled_by_join(units, anchored_pairs(units, forms, unit=unit), terms, bans, fixed, unit)
+        out = _compiled_by_join(units, anchored_pairs(units, forms, unit=unit), terms, bans, unit)
     if exemptions is not None:
         rows = exemptions.select(F.to_json(F.struct(*_fields(EXEMPTION)).cast(EXEMPTION)).alias("j")).limit(MOST_UNCONDITIONAL + 1).collect()
         if len(rows) > MOST_UNCONDITIONAL:
@@ -119,7 +129,7 @@ def compile_contract(units: DataFrame, terms: DataFrame, bans: DataFrame | None
     pairs_ = [x for k, v in (interjections or {}).items() for x in (F.lit(k), F.array(*[F.lit(y) for y in v]))]
     out = out.withColumn("interjection_map", F.create_map(*pairs_) if pairs_ else F.lit(None).cast("map<string,array<string>>"))
     names = _fields(CONTRACT)
-    return out.withColumn("contract", F.struct(*[F.col(c) for c in names]).cast(CONTRACT)).drop(*names)
+    return apart(out, "contract", F.struct(*[F.col(c) for c in names]).cast(CONTRACT)).drop(*names)
 
 
 def over_reach(units: DataFrame, terms: DataFrame, unit: str = "unit_id") -> DataFrame:

@@ -323,7 +323,8 @@ def fold(found: Column) -> Column:
 
 def gate(units: DataFrame, config: GateConfig = GateConfig()) -> DataFrame:
     """Units with verdict and the set of failed codes; every unit has a row."""
-    got = units.withColumn("__found", violation_array(config))
+    # Out of a generator, so that filters on the verdict do not make the violations anew.
+    got = units.select("*", F.explode(F.array(violation_array(config))).alias("__found"))
     codes = F.array_sort(F.array_distinct(F.transform(F.filter("__found", lambda v: v["severity"] == FAIL), lambda v: v["code"])))
     return got.withColumn("verdict", fold(F.col("__found"))).withColumn("codes", codes).withColumnRenamed("__found", "violations")
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.anchors import anchored_pairs
 from ..functions.spans import stripped
 from ..functions.text import TOKEN_CLASSES, basename, normal_path, protected_tokens
+from ..staging import shared_dir
 from .ranges import numbered
 
 
@@ -217,14 +218,13 @@ def dialogue_tree(edges: DataFrame, roots: DataFrame, depth: int = 10, cut: Call
     """(root, node, depth) of nodes reached from roots in at most so many steps; a node is visited once for each root.
 
     ``cut`` writes each level out, so that plans do not grow with the depth; by default levels are checkpointed in the
-    shared folder, where one is set.
+    shared folder.
     """
-    spark = edges.sparkSession
     if cut is None:
-        at = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-        if at and not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(at)
-        cut = (lambda df: df.checkpoint()) if at else (lambda df: df)
+        context = edges.sparkSession.sparkContext
+        if not context.getCheckpointDir():
+            context.setCheckpointDir(shared_dir(edges.sparkSession))
+        cut = lambda df: df.checkpoint()
     steps = edges.select(F.col("parent").alias("node"), F.col("child"))
     level = roots.select(F.col("node").alias("root"), "node").distinct().withColumn("depth", F.lit(0))
     seen = level
@@ -257,7 +257,7 @@ def chained_lookup(wanted: DataFrame, parsed: DataFrame) -> DataFrame:
     return got.select("id", "source", F.coalesce("by_id", "by_place").alias("body"), found.alias("found"))
 
 
-#: The states of a decision, and those that each may go to.
+#: The states of a decision, which are given, and those that each may go to, which is a rule of ours.
 STATES = {"PROVISIONAL": ("CONFIRMED", "REVIEW", "KEEP", "OVERRIDE"), "REVIEW": ("CONFIRMED", "PROVISIONAL", "KEEP", "OVERRIDE"), "CONFIRMED": ("REVIEW", "OVERRIDE"), "KEEP": ("REVIEW", "OVERRIDE"), "OVERRIDE": ("REVIEW",)}
 
 

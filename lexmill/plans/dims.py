@@ -6,19 +6,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: term_id, enforcement, source, target, forbidden, accepted, blocked suffixes
 TERMS = [
-    ("t.month", "REQUIRED", "that", "晨星月", ["晨星"], ["晨星月"], ["份"]),
+    ("t.month", "REQUIRED", "that", "岚石月", ["岚石"], ["岚石月"], ["份"]),
     ("t.follow", "REQUIRED", "with", "跟随", ["尾随"], ["跟随", "随同"], []),
-    ("t.elf", "FORBIDDEN_ONLY", "this", "木精灵", ["波斯莫"], ["木精灵"], []),
+    ("t.elf", "FORBIDDEN_ONLY", "this", "林谷人", ["岩泽民"], ["林谷人"], []),
 ]
 #: ban_id, english, forbidden, target, reason, unconditional
 BANS = [
-    ("b.month", "that", ["晨星"], "晨星月", "month names end in the month sign", False),
-    ("b.memory", "anachronism", ["内存"], "", "computer words", True),
-    ("b.people", "from", ["博斯莫"], "波斯莫", "name of a people", False),
-    ("b.wood", "wooden elf", ["波斯莫"], "木精灵", "other name of a people", True),
+    ("b.month", "that", ["岚石"], "岚石月", "month names end in the month sign", False),
+    ("b.memory", "anachronism", ["心得"], "", "computer words", True),
+    ("b.people", "from", ["岩择民"], "岩泽民", "name of a people", False),
+    ("b.wood", "wooden gate", ["岩泽民"], "林谷人", "other name of a people", True),
 ]
 #: english, forbidden, left, right, source_contains
-EXEMPTIONS = [("anachronism", "内存", ["之"], ["在"], [])]
+EXEMPTIONS = [("anachronism", "心得", ["中"], ["到"], [])]
 
 
 def terms(spark: SparkSession) -> DataFrame:

@@ -178,9 +178,9 @@ def _versioned(spark):
 @_query(
     "contract_recompile",
     f"""{WITH}, a AS (SELECT unit_id, list(english) AS e FROM anchored GROUP BY unit_id), u AS (SELECT unit_id, plugin IN {FROZEN} AS frozen, coalesce(e, []) AS e FROM units LEFT JOIN a USING (unit_id))
-  SELECT unit_id, CASE WHEN frozen THEN 1 ELSE 2 END::BIGINT AS version, concat_ws(',', CASE WHEN list_contains(e, 'this') THEN 't.elf=木精灵' END, CASE WHEN list_contains(e, 'with') THEN CASE WHEN frozen THEN 't.follow=跟随' ELSE 't.follow=追随' END END,
-    CASE WHEN list_contains(e, 'that') THEN 't.month=晨星月' END, CASE WHEN list_contains(e, 'from') AND NOT frozen THEN 't.new=来自' END) AS terms,
-  concat_ws(',', 'anachronism', CASE WHEN list_contains(e, 'from') AND frozen THEN 'from' END, CASE WHEN list_contains(e, 'that') THEN 'that' END, 'wooden elf') AS bans FROM u""",
+  SELECT unit_id, CASE WHEN frozen THEN 1 ELSE 2 END::BIGINT AS version, concat_ws(',', CASE WHEN list_contains(e, 'this') THEN 't.elf=林谷人' END, CASE WHEN list_contains(e, 'with') THEN CASE WHEN frozen THEN 't.follow=跟随' ELSE 't.follow=追随' END END,
+    CASE WHEN list_contains(e, 'that') THEN 't.month=岚石月' END, CASE WHEN list_contains(e, 'from') AND NOT frozen THEN 't.new=来自' END) AS terms,
+  concat_ws(',', 'anachronism', CASE WHEN list_contains(e, 'from') AND frozen THEN 'from' END, CASE WHEN list_contains(e, 'that') THEN 'that' END, 'wooden gate') AS bans FROM u""",
 )
 def contract_recompile(spark, d):
     """Contracts at version 2 from those of version 1: only units that the changes concern are compiled again."""
@@ -194,18 +194,18 @@ def contract_recompile(spark, d):
 
 @_query(
     "noun_family_audit",
-    f"""{WITH}, f(family, english, target) AS (VALUES ('month', 'that', '晨星月'), ('month', 'with', '霜落月'), ('weekday', 'this', '木曜日')), bare AS (SELECT unit_id, count(*) AS n FROM ({BARE}) GROUP BY unit_id),
+    f"""{WITH}, f(family, english, target) AS (VALUES ('month', 'that', '岚石月'), ('month', 'with', '雾落月'), ('weekday', 'this', '木曜日')), bare AS (SELECT unit_id, count(*) AS n FROM ({BARE}) GROUP BY unit_id),
   g AS (SELECT unit_id, family, english, target, CASE WHEN english = 'that' THEN coalesce(n, 0) ELSE 0 END::BIGINT AS unsigned, NOT contains(dest, target) AS lacks FROM anchored JOIN f USING (english) JOIN units USING (unit_id) LEFT JOIN bare USING (unit_id) WHERE dest <> source)
   SELECT * FROM g WHERE lacks OR unsigned > 0""",
 )
 def noun_family_audit(spark, d):
-    families = spark.createDataFrame([("month", "that", "晨星月", "月"), ("month", "with", "霜落月", "月"), ("weekday", "this", "木曜日", None)], "family string, english string, target string, sign string")
+    families = spark.createDataFrame([("month", "that", "岚石月", "月"), ("month", "with", "雾落月", "月"), ("weekday", "this", "木曜日", None)], "family string, english string, target string, sign string")
     return nouns.family_audit(_units(spark, d), families).select("unit_id", "family", "english", "target", "unsigned", "lacks")
 
 
-@_query("form_layer_audit", f"{WITH} SELECT unit_id, english, form, layer, contains(dest, form) AS carried FROM anchored JOIN (VALUES ('that', '晨星月', 'month'), ('this', '波斯莫', 'people'), ('this', '木精灵', 'common')) l(english, form, layer) USING (english) JOIN units USING (unit_id)")
+@_query("form_layer_audit", f"{WITH} SELECT unit_id, english, form, layer, contains(dest, form) AS carried FROM anchored JOIN (VALUES ('that', '岚石月', 'month'), ('this', '岩泽民', 'people'), ('this', '林谷人', 'common')) l(english, form, layer) USING (english) JOIN units USING (unit_id)")
 def form_layer_audit(spark, d):
-    layers = spark.createDataFrame([("that", "晨星月", "month"), ("this", "波斯莫", "people"), ("this", "木精灵", "common")], "english string, form string, layer string")
+    layers = spark.createDataFrame([("that", "岚石月", "month"), ("this", "岩泽民", "people"), ("this", "林谷人", "common")], "english string, form string, layer string")
     return nouns.form_layers(_units(spark, d), layers)
 
 

@@ -49,12 +49,12 @@ UNITS = """units AS (SELECT doc_id AS unit_id, source AS plugin,
   CASE doc_id % 4 WHEN 0 THEN 'BOOK:DESC' WHEN 1 THEN 'INFO:NAM1' WHEN 2 THEN 'QUST:CNAM' ELSE 'MESG:DESC' END AS rec,
   coalesce(text, '') AS source,
   CASE doc_id % 12 WHEN 0 THEN coalesce(text, '')
-    WHEN 1 THEN replace(coalesce(text, ''), 'that', '晨星月') WHEN 2 THEN replace(coalesce(text, ''), 'that', '晨星')
-    WHEN 3 THEN replace(coalesce(text, ''), 'that', '晨星月') || ' 晨星' WHEN 4 THEN replace(coalesce(text, ''), 'that', '晨星...月')
+    WHEN 1 THEN replace(coalesce(text, ''), 'that', '岚石月') WHEN 2 THEN replace(coalesce(text, ''), 'that', '岚石')
+    WHEN 3 THEN replace(coalesce(text, ''), 'that', '岚石月') || ' 岚石' WHEN 4 THEN replace(coalesce(text, ''), 'that', '岚石...月')
     WHEN 5 THEN replace(coalesce(text, ''), 'that', '') WHEN 6 THEN substring(coalesce(text, ''), 1, 20) || '……'
-    WHEN 7 THEN replace(coalesce(text, ''), 'that', '晨星月') || '歡迎來到這裡' WHEN 8 THEN replace(coalesce(text, ''), 'that', '晨星月份')
-    WHEN 9 THEN replace(coalesce(text, ''), 'that', '波斯莫') WHEN 10 THEN replace(coalesce(text, ''), 'that', '晨星月') || '之内存在'
-    ELSE replace(coalesce(text, ''), 'that', '晨星月') || '内存' END AS dest FROM documents)"""
+    WHEN 7 THEN replace(coalesce(text, ''), 'that', '岚石月') || '龍門開' WHEN 8 THEN replace(coalesce(text, ''), 'that', '岚石月份')
+    WHEN 9 THEN replace(coalesce(text, ''), 'that', '岩泽民') WHEN 10 THEN replace(coalesce(text, ''), 'that', '岚石月') || '中心得到'
+    ELSE replace(coalesce(text, ''), 'that', '岚石月') || '心得' END AS dest FROM documents)"""
 _B, _E = "(^|[^A-Za-z0-9_])", "('s)?([^A-Za-z0-9_]|$)"
 ANCHORS = "anchors AS (SELECT * FROM (VALUES ('that', '" + _B + "(that|thats)" + _E.replace("'", "''") + "'), ('with', '" + _B + "(with|withs)" + _E.replace("'", "''") + "'), ('this', '" + _B + "(this|thiss|thises)" + _E.replace("'", "''") + "'), ('from', '" + _B + "(from|froms)" + _E.replace("'", "''") + "')) a(english, pattern)), anchored AS (SELECT unit_id, english FROM units JOIN anchors ON regexp_matches(source, pattern))"
 
@@ -70,8 +70,8 @@ def _has(english: str) -> str:
 
 
 WITH = f"WITH {UNITS}, {ANCHORS}"
-# An occurrence of 晨星 is inside 晨星月 where 月 follows.
-BARE = f"SELECT unit_id, '晨星' AS form, pos FROM {_at('晨星')} WHERE substr(dest, pos, 3) <> '晨星月'"
+# An occurrence of 岚石 is inside 岚石月 where 月 follows.
+BARE = f"SELECT unit_id, '岚石' AS form, pos FROM {_at('岚石')} WHERE substr(dest, pos, 3) <> '岚石月'"
 
 
 @_query("scan_units", f"WITH {UNITS} SELECT rec, count(*)::BIGINT AS n_units, sum(length(source))::BIGINT AS source_chars, sum(length(dest))::BIGINT AS dest_chars FROM units GROUP BY rec")
@@ -109,7 +109,7 @@ def exit_status(spark, d):
     return validate.exit_status(validate.out_of_domain(_t(spark, d, "orders"), "o_orderstatus", ("O", "F")))
 
 
-MISSING = f"SELECT unit_id, 't.month' AS term_id, '晨星月' AS expected FROM units WHERE {_has('that')} AND NOT contains(dest, '晨星月') UNION ALL SELECT unit_id, 't.follow', '跟随' FROM units WHERE {_has('with')} AND NOT contains(dest, '跟随') AND NOT contains(dest, '随同')"
+MISSING = f"SELECT unit_id, 't.month' AS term_id, '岚石月' AS expected FROM units WHERE {_has('that')} AND NOT contains(dest, '岚石月') UNION ALL SELECT unit_id, 't.follow', '跟随' FROM units WHERE {_has('with')} AND NOT contains(dest, '跟随') AND NOT contains(dest, '随同')"
 
 
 @_query("term001_missing", f"{WITH} {MISSING}")
@@ -122,15 +122,15 @@ def term002_forbidden(spark, d):
     return _violations(spark, d, "forbidden_form").select("unit_id", "form", "pos")
 
 
-@_query("term002_covered_exempt", f"{WITH} SELECT unit_id, len(string_split(dest, '晨星'))::BIGINT - 1 AS occurrences FROM units WHERE {_has('that')} AND contains(dest, '晨星') AND unit_id NOT IN (SELECT unit_id FROM ({BARE}))")
+@_query("term002_covered_exempt", f"{WITH} SELECT unit_id, len(string_split(dest, '岚石'))::BIGINT - 1 AS occurrences FROM units WHERE {_has('that')} AND contains(dest, '岚石') AND unit_id NOT IN (SELECT unit_id FROM ({BARE}))")
 def term002_covered_exempt(spark, d):
     """Units with a forbidden form whose every occurrence lies inside the target."""
     u = _contracts(spark, d).where("size(contract.bindings) > 0").where(F.exists("contract.bindings", lambda b: b["term_id"] == "t.month"))
-    u = u.withColumn("n", F.size(occurrences("dest", F.lit("晨星")))).where("n > 0")
+    u = u.withColumn("n", F.size(occurrences("dest", F.lit("岚石")))).where("n > 0")
     return gate.gate(u, gate.GateConfig(rules=("forbidden_form",))).where("verdict = 'PASS'").select("unit_id", F.col("n").cast("bigint").alias("occurrences"))
 
 
-FORBIDDEN_ONLY = f"SELECT unit_id, '波斯莫' AS form, pos FROM {_at('波斯莫')} WHERE {_has('this')}"
+FORBIDDEN_ONLY = f"SELECT unit_id, '岩泽民' AS form, pos FROM {_at('岩泽民')} WHERE {_has('this')}"
 
 
 @_query("term002_forbidden_only", f"{WITH} {FORBIDDEN_ONLY}")
@@ -138,7 +138,7 @@ def term002_forbidden_only(spark, d):
     return _violations(spark, d, "forbidden_only").select("unit_id", "form", "pos")
 
 
-SUFFIX = f"SELECT unit_id, '晨星月' AS form, pos FROM {_at('晨星月')} WHERE substr(dest, pos + 3, 1) = '份' AND {_has('that')}"
+SUFFIX = f"SELECT unit_id, '岚石月' AS form, pos FROM {_at('岚石月')} WHERE substr(dest, pos + 3, 1) = '份' AND {_has('that')}"
 
 
 @_query("term003_blocked_suffix", f"{WITH} {SUFFIX}")
@@ -154,8 +154,8 @@ def term004_global_ban(spark, d):
     return _violations(spark, d, "global_ban").where("term_id = 'that'").select("unit_id", "form", "pos")
 
 
-MEMORY = f"SELECT unit_id, '内存' AS form, pos, dest FROM {_at('内存', 'AND dest <> source')}"
-SCOPED = f"SELECT unit_id, CASE WHEN bool_and(pos > 1 AND substr(dest, pos - 1, 1) = '之' AND substr(dest, pos + 2, 1) = '在') THEN 'WARNING' ELSE 'FAIL' END AS severity, count(*)::BIGINT AS n FROM ({MEMORY}) GROUP BY unit_id"
+MEMORY = f"SELECT unit_id, '心得' AS form, pos, dest FROM {_at('心得', 'AND dest <> source')}"
+SCOPED = f"SELECT unit_id, CASE WHEN bool_and(pos > 1 AND substr(dest, pos - 1, 1) = '中' AND substr(dest, pos + 2, 1) = '到') THEN 'WARNING' ELSE 'FAIL' END AS severity, count(*)::BIGINT AS n FROM ({MEMORY}) GROUP BY unit_id"
 
 
 @_query("term004_unconditional", f"{WITH} SELECT unit_id, form, pos FROM ({MEMORY})")
@@ -163,12 +163,12 @@ def term004_unconditional(spark, d):
     return _violations(spark, d, "global_ban").where("term_id = 'anachronism'").select("unit_id", "form", "pos")
 
 
-CROSS = f"SELECT unit_id, '波斯莫' AS form, pos FROM {_at('波斯莫', 'AND dest <> source')} WHERE NOT {_has('from')}"
+CROSS = f"SELECT unit_id, '岩泽民' AS form, pos FROM {_at('岩泽民', 'AND dest <> source')} WHERE NOT {_has('from')}"
 
 
 @_query("term004_cross_exempt", f"{WITH} {CROSS}")
 def term004_cross_exempt(spark, d):
-    return _violations(spark, d, "global_ban").where("term_id = 'wooden elf'").select("unit_id", "form", "pos")
+    return _violations(spark, d, "global_ban").where("term_id = 'wooden gate'").select("unit_id", "form", "pos")
 
 
 @_query("term004_scoped_exempt", f"{WITH} {SCOPED}")
@@ -217,16 +217,16 @@ def placeholder_tag_audit(spark, d):
     return workflow.token_audit(_markup(spark, d)).select("unit_id", F.array_join(F.array_sort("lost"), " ").alias("lost"), "format_gap")
 
 
-@_query("char001", f"WITH {UNITS} SELECT unit_id, 'CHAR001' AS code, '歡來這裡' AS form FROM units WHERE contains(dest, '歡迎來到這裡')")
+@_query("char001", f"WITH {UNITS} SELECT unit_id, 'CHAR001' AS code, '龍門開' AS form FROM units WHERE contains(dest, '龍門開')")
 def char001(spark, d):
     return _violations(spark, d, "charset").select("unit_id", "code", "form")
 
 
-@_query("interjection", "SELECT r_regionkey::BIGINT AS unit_id, r_name AS source, '啊！|呃啊！' AS expected FROM region WHERE r_name IN ('ASIA', 'AFRICA', 'EUROPE') AND r_regionkey % 2 = 0")
+@_query("interjection", "SELECT r_regionkey::BIGINT AS unit_id, r_name AS source, '哎！|哎呀！' AS expected FROM region WHERE r_name IN ('ASIA', 'AFRICA', 'EUROPE') AND r_regionkey % 2 = 0")
 def interjection(spark, d):
     k = F.col("r_regionkey")
-    u = _t(spark, d, "region").select(k.cast("bigint").alias("unit_id"), F.col("r_name").alias("source"), F.when(k % 2 == 0, "啊哈！").otherwise("呃啊！").alias("dest"))
-    u = contract.compile_contract(u, dims.terms(spark), interjections={n: ["啊！", "呃啊！"] for n in ("ASIA", "AFRICA", "EUROPE")})
+    u = _t(spark, d, "region").select(k.cast("bigint").alias("unit_id"), F.col("r_name").alias("source"), F.when(k % 2 == 0, "哟！").otherwise("哎呀！").alias("dest"))
+    u = contract.compile_contract(u, dims.terms(spark), interjections={n: ["哎！", "哎呀！"] for n in ("ASIA", "AFRICA", "EUROPE")})
     return gate.violations(u, gate.GateConfig(rules=("interjection",))).select("unit_id", F.col("term_id").alias("source"), "expected")
 
 
@@ -244,7 +244,7 @@ CODES = f"""codes AS (
   SELECT DISTINCT unit_id, 'TERM001' AS code, 2 AS s FROM ({MISSING}) UNION SELECT unit_id, 'TERM002', 2 FROM ({BARE}) WHERE {_has('that')}
   UNION SELECT unit_id, 'TERM002', 2 FROM ({FORBIDDEN_ONLY}) UNION SELECT unit_id, 'TERM003', 2 FROM ({SUFFIX}) UNION SELECT unit_id, 'TERM004', 2 FROM ({MONTH_BAN})
   UNION SELECT unit_id, 'TERM004', 2 FROM ({CROSS}) UNION SELECT unit_id, 'TERM004', CASE severity WHEN 'FAIL' THEN 2 ELSE 1 END FROM ({SCOPED})
-  UNION SELECT unit_id, 'CHAR001', 2 FROM units WHERE contains(dest, '歡迎來到這裡') UNION SELECT unit_id, 'TRUNC001', 1 FROM ({TRUNC})),
+  UNION SELECT unit_id, 'CHAR001', 2 FROM units WHERE contains(dest, '龍門開') UNION SELECT unit_id, 'TRUNC001', 1 FROM ({TRUNC})),
 folded AS (SELECT u.unit_id, CASE max(s) WHEN 2 THEN 'FAIL' WHEN 1 THEN 'WARNING' ELSE 'PASS' END AS verdict, coalesce(string_agg(DISTINCT code, ',' ORDER BY code) FILTER (s = 2), '') AS codes FROM units u LEFT JOIN codes USING (unit_id) GROUP BY u.unit_id)"""
 _RULES = ("required_term", "forbidden_form", "forbidden_only", "blocked_suffix", "global_ban", "charset", "truncation")
 
@@ -290,13 +290,13 @@ def anchor_counts(spark, d):
 WARNINGS = "warnings AS (SELECT event_id, regexp_extract(label, 'xml-index:([0-9]+)', 1)::BIGINT AS xml_index FROM (SELECT event_id, 'xml-index:' || event_id AS label FROM events))"
 
 
-@_query("warning_triage", f"WITH {UNITS}, {WARNINGS} SELECT xml_index, CASE WHEN source IS NULL THEN 'NOT FOUND' WHEN NOT contains(source, 'that') THEN 'IGNORE' WHEN contains(dest, '晨星月') THEN 'FALSE POSITIVE' ELSE 'REVIEW' END AS triage FROM warnings LEFT JOIN units ON xml_index = unit_id")
+@_query("warning_triage", f"WITH {UNITS}, {WARNINGS} SELECT xml_index, CASE WHEN source IS NULL THEN 'NOT FOUND' WHEN NOT contains(source, 'that') THEN 'IGNORE' WHEN contains(dest, '岚石月') THEN 'FALSE POSITIVE' ELSE 'REVIEW' END AS triage FROM warnings LEFT JOIN units ON xml_index = unit_id")
 def warning_triage(spark, d):
-    w = _t(spark, d, "events").select(xml_index(F.concat(F.lit("xml-index:"), "event_id")).alias("xml_index"), F.lit("t.month").alias("term_id"), F.lit("晨星月").alias("expected"))
+    w = _t(spark, d, "events").select(xml_index(F.concat(F.lit("xml-index:"), "event_id")).alias("xml_index"), F.lit("t.month").alias("term_id"), F.lit("岚石月").alias("expected"))
     return contract.triage(w, _units(spark, d), dims.terms(spark)).select("xml_index", "triage")
 
 
-PATTERNS = ["晨星月", "晨星", "月", "内存", "歡迎", "龙", "沼泽"]
+PATTERNS = ["岚石月", "岚石", "月", "心得", "龍門", "龙", "浅滩"]
 _VALUES = ", ".join(f"('{p}')" for p in PATTERNS)
 
 
@@ -405,13 +405,13 @@ def evidence_ranked_lookup(spark, d):
     return workflow.ranked_evidence(e.select(F.col("source").alias("english")).distinct(), e)
 
 
-_RULE_ROWS = [("晨星", "晨星月"), ("内存", "记忆"), ("月", "月份"), ("沼泽", "泥沼")]
+_RULE_ROWS = [("岚石", "岚石月"), ("心得", "记忆"), ("月", "月份"), ("浅滩", "滩涂")]
 
 
-@_query("term_rule_scan", f"WITH {UNITS}, rules AS (SELECT * FROM (VALUES {', '.join(f'({s!r}, {r!r})' for s, r in _RULE_ROWS)}) r(search, replace)) SELECT unit_id, search, replace, CASE WHEN search = '内存' THEN '忆' END AS official, CASE WHEN search = '内存' THEN '忆' ELSE replace END AS suggestion FROM rules JOIN units ON contains(dest, search)")
+@_query("term_rule_scan", f"WITH {UNITS}, rules AS (SELECT * FROM (VALUES {', '.join(f'({s!r}, {r!r})' for s, r in _RULE_ROWS)}) r(search, replace)) SELECT unit_id, search, replace, CASE WHEN search = '心得' THEN '忆' END AS official, CASE WHEN search = '心得' THEN '忆' ELSE replace END AS suggestion FROM rules JOIN units ON contains(dest, search)")
 def term_rule_scan(spark, d):
     rules = spark.createDataFrame(_RULE_ROWS, "search string, replace string")
-    return workflow.scan_rules(_units(spark, d), rules, spark.createDataFrame([("内存", "忆")], "search string, official string"))
+    return workflow.scan_rules(_units(spark, d), rules, spark.createDataFrame([("心得", "忆")], "search string, official string"))
 
 
 @_query("precedence_override", "SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN 'mod' WHEN c_custkey % 3 = 0 THEN 'glossary' WHEN c_custkey % 5 = 0 THEN 'global' END AS value, CASE WHEN c_custkey % 2 = 0 THEN 1 WHEN c_custkey % 3 = 0 THEN 2 WHEN c_custkey % 5 = 0 THEN 3 END AS layer FROM customer")
@@ -438,10 +438,10 @@ def incremental_skip(spark, d):
     return workflow.skip_done(e.select("user_id").distinct(), results, "user_id")
 
 
-@_query("calendar_family_audit", f"{WITH} SELECT unit_id, english, target FROM anchored JOIN (VALUES ('that', '晨星月'), ('with', '霜落月')) m(english, target) USING (english) JOIN units USING (unit_id) WHERE NOT contains(dest, target)")
+@_query("calendar_family_audit", f"{WITH} SELECT unit_id, english, target FROM anchored JOIN (VALUES ('that', '岚石月'), ('with', '雾落月')) m(english, target) USING (english) JOIN units USING (unit_id) WHERE NOT contains(dest, target)")
 def calendar_family_audit(spark, d):
     """Units that name a month but lack its rendering with the month sign."""
-    months = spark.createDataFrame([("that", "晨星月"), ("with", "霜落月")], "english string, target string")
+    months = spark.createDataFrame([("that", "岚石月"), ("with", "雾落月")], "english string, target string")
     u = _units(spark, d)
     return anchored_pairs(u, months, form="english").join(months, "english").join(u.select("unit_id", "dest"), "unit_id").where("not contains(dest, target)").select("unit_id", "english", "target")
 

@@ -137,17 +137,17 @@ def derived_units(documents: DataFrame) -> DataFrame:
     put = lambda s: F.replace(t, F.lit("that"), F.lit(s))
     dest = (
         F.when(k == 0, t)
-        .when(k == 1, put("晨星月"))
-        .when(k == 2, put("晨星"))
-        .when(k == 3, F.concat(put("晨星月"), F.lit(" 晨星")))
-        .when(k == 4, put("晨星...月"))
+        .when(k == 1, put("岚石月"))
+        .when(k == 2, put("岚石"))
+        .when(k == 3, F.concat(put("岚石月"), F.lit(" 岚石")))
+        .when(k == 4, put("岚石...月"))
         .when(k == 5, put(""))
         .when(k == 6, F.concat(F.substring(t, 1, 20), F.lit("……")))
-        .when(k == 7, F.concat(put("晨星月"), F.lit("歡迎來到這裡")))
-        .when(k == 8, put("晨星月份"))
-        .when(k == 9, put("波斯莫"))
-        .when(k == 10, F.concat(put("晨星月"), F.lit("之内存在")))
-        .otherwise(F.concat(put("晨星月"), F.lit("内存")))
+        .when(k == 7, F.concat(put("岚石月"), F.lit("龍門開")))
+        .when(k == 8, put("岚石月份"))
+        .when(k == 9, put("岩泽民"))
+        .when(k == 10, F.concat(put("岚石月"), F.lit("中心得到")))
+        .otherwise(F.concat(put("岚石月"), F.lit("心得")))
     )
     rec = F.when(F.pmod("doc_id", F.lit(4)) == 0, "BOOK:DESC").when(F.pmod("doc_id", F.lit(4)) == 1, "INFO:NAM1").when(F.pmod("doc_id", F.lit(4)) == 2, "QUST:CNAM").otherwise("MESG:DESC")
     return documents.select(F.col("doc_id").alias("unit_id"), F.col("source").alias("plugin"), rec.alias("rec"), t.alias("source"), dest.alias("dest"))

@@ -25,7 +25,7 @@ def ban(english, forbidden, target, unconditional=None):
 
 STONE = term("石心", ["石头", "石"])
 MOON = {"global_bans": [ban("Moonrise", ["月升"], "月升节")]}
-MEMORY = {"global_bans": [ban("anachronism", ["内存"], "", True)], "global_ban_exemptions": [{"english": "anachronism", "forbidden": "内存", "reason": "r", "scope": {"dest_left": ["之"], "dest_right": ["在"]}}]}
+MEMORY = {"global_bans": [ban("anachronism", ["心得"], "", True)], "global_ban_exemptions": [{"english": "anachronism", "forbidden": "心得", "reason": "r", "scope": {"dest_left": ["中"], "dest_right": ["到"]}}]}
 CROSS = {"global_bans": [ban("Redfolk", ["山民"], "红民", True), ban("Hillfolk", ["红民"], "山民", True)]}
 CASES = {
     "missing": ("A Stone.", "一块木头。", bound(STONE), "FAIL", ["TERM001"]),
@@ -44,9 +44,9 @@ CASES = {
     "ban untranslated": ("Moonrise 月升", "Moonrise 月升", MOON, "PASS", []),
     "ban split": ("Moonrise...", "月升……节", MOON, "PASS", []),
     "ban split, rest missing": ("Moonrise...", "月升……后", MOON, "FAIL", ["TERM004"]),
-    "exempt": ("Within it.", "城之内存在裂痕。", MEMORY, "WARNING", []),
-    "exempt does not open": ("Its memory.", "它的内存。", MEMORY, "FAIL", ["TERM004"]),
-    "exempt, one bare": ("Both.", "城之内存在，内存。", MEMORY, "FAIL", ["TERM004"]),
+    "exempt": ("Within it.", "城中心得到裂痕。", MEMORY, "WARNING", []),
+    "exempt does not open": ("Its memory.", "它的心得。", MEMORY, "FAIL", ["TERM004"]),
+    "exempt, one bare": ("Both.", "城中心得到，心得。", MEMORY, "FAIL", ["TERM004"]),
     "cross": ("Hillfolk live here.", "山民住在这里。", CROSS, "PASS", []),
     "cross, wrong pair": ("Redfolk live here.", "山民住在这里。", CROSS, "FAIL", ["TERM004"]),
     "cross, no anchor": ("They live here.", "山民住在这里。", CROSS, "FAIL", ["TERM004"]),
@@ -57,8 +57,8 @@ CASES = {
     "placeholder there": ("Pay <N>.", "付<N>。", {"protected_tokens": ["<N>"]}, "PASS", []),
     "charset": ("Dragon.", "龍。", {}, "FAIL", ["CHAR001"]),
     "charset clean": ("Tower.", "瞭望塔，什么。", {}, "PASS", []),
-    "interjection": ("Ah!", "哦！", {"interjection_map": {"Ah!": ["啊！"]}}, "FAIL", ["TERM002"]),
-    "interjection allowed": ("Ah!", "啊！", {"interjection_map": {"Ah!": ["啊！"]}}, "PASS", []),
+    "interjection": ("Ah!", "哦！", {"interjection_map": {"Ah!": ["哎！"]}}, "FAIL", ["TERM002"]),
+    "interjection allowed": ("Ah!", "哎！", {"interjection_map": {"Ah!": ["哎！"]}}, "PASS", []),
     "truncated": ("A long story about all the many things that were seen.", "故事……", {}, "WARNING", []),
     "ellipsis of the source": ("A long story about all the many things that were...", "故事……", {}, "PASS", []),
     "truncated behind tags": ("<b>[p] A long story about all the many things seen.", "<b>[p] 故事……", {}, "WARNING", []),
@@ -100,7 +100,7 @@ def test_fold_agrees_with_table(units):
 
 def test_warnings_stay_visible_with_reason(units):
     rows = g.violations(units).where("unit_id = 'exempt'").collect()
-    assert [(r.code, r.severity, r.form, r.pos, r.reason) for r in rows] == [("TERM004", "WARNING", "内存", 3, "why")]
+    assert [(r.code, r.severity, r.form, r.pos, r.reason) for r in rows] == [("TERM004", "WARNING", "心得", 3, "why")]
 
 
 def test_fold_ignores_order(spark):

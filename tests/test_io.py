@@ -123,7 +123,7 @@ def test_stream_gates_files(spark, tmp_path):
 
 def test_empty_tables(spark):
     empty = spark.createDataFrame([], "unit_id bigint, dest string")
-    patterns = spark.createDataFrame([("月",), ("晨星",)], "pattern string")
+    patterns = spark.createDataFrame([("月",), ("岚石",)], "pattern string")
     assert workflow.pattern_hits(empty, patterns, "unit_id", "dest", "pattern").count() == 0
     assert validate.exit_status(empty).first().status == 0
     assert workflow.min_by_version(spark.createDataFrame([], "version struct<major:int,minor:int,patch:int>, name string"), "version", "name", (3, 10, 0)).collect() == [(None, None)]

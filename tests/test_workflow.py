@@ -45,6 +45,7 @@ def test_few_forms_and_many_give_one_contract(spark, monkeypatch):
     assert few == every
     one = plain(contract.compile_contract(u, terms, bans))
     monkeypatch.setattr(anchors, "FEW", 0)
+    monkeypatch.setattr(contract, "FEW", 0)
     many = plain(contract.compile_contract(u, terms, bans))
     assert [r.unit_id for r in one] == [r.unit_id for r in many]
     import json
