@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.anchors import FEW, anchor_spans, anchored_pairs, met_forms
 from ..schema import BAN, BINDING, CONTRACT, EXEMPTION, TERM
+from .workflow import pattern_hits
 
 
 def auto_bind(units: DataFrame, terms: DataFrame, unit: str = "unit_id") -> DataFrame:
@@ -29,14 +30,16 @@ def _ban() -> Column:
     return F.struct(*[F.col(c) for c in _fields(BAN)]).cast(BAN)
 
 
-def _always(bans: DataFrame | None) -> Column:
-    """Unconditional bans as a literal."""
-    if bans is None:
-        return _no_bans()
+def _with_always(units: DataFrame, bans: DataFrame, unit: str) -> DataFrame:
+    """Units with ``always``: unconditional bans, a literal where there are no more than MOST_UNCONDITIONAL. Of more, a unit
+    gets those of which its dest has a forbidden form, as no other can be broken: they are found by a join."""
     rows = bans.where("unconditional").select(F.to_json(_ban()).alias("j")).orderBy("ban_id").limit(MOST_UNCONDITIONAL + 1).collect()
-    if len(rows) > MOST_UNCONDITIONAL:
-        raise ValueError(f"more than {MOST_UNCONDITIONAL} unconditional bans")
-    return F.array(*[F.from_json(F.lit(r.j), BAN) for r in rows]).cast(f"array<{BAN}>") if rows else _no_bans()
+    if len(rows) <= MOST_UNCONDITIONAL:
+        return units.withColumn("always", F.array(*[F.from_json(F.lit(r.j), BAN) for r in rows]).cast(f"array<{BAN}>") if rows else _no_bans())
+    forms = bans.where("unconditional").select("ban_id", _ban().alias("ban"), F.explode("forbidden").alias("pattern"))
+    hits = pattern_hits(units, forms, unit, "dest", "pattern").join(forms, "pattern")
+    met = hits.groupBy(unit).agg(F.transform(F.array_sort(F.collect_list(F.struct("ban_id", "ban")), _by("ban_id")), lambda x: x["ban"]).alias("always"))
+    return units.join(met, unit, "left").withColumn("always", F.array_distinct(F.coalesce("always", _no_bans())))
 
 
 def _bound(term_id: Column, term: Column) -> Column:
@@ -86,20 +89,39 @@ def _compiled_by_join(units: DataFrame, pairs: DataFrame, terms: DataFrame, bans
     held = held.groupBy(unit).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("term_id", "term")), _by("term_id"))).alias("terms"), F.array_sort(F.collect_list(bound), _by("term_id")).alias("bindings"))
     out = units.join(held, unit, "left")
     if bans is None:
-        out = out.withColumn("met", _no_bans())
+        out = out.withColumn("met", _no_bans()).withColumn("always", _no_bans())
     else:
+        out = _with_always(out, bans, unit)
         met = pairs.where(F.startswith("form_id", F.lit("b:"))).select(unit, F.substring("form_id", 3, 1 << 20).alias("ban_id")).join(bans.select("ban_id", _ban().alias("ban")), "ban_id")
         met = met.groupBy(unit).agg(F.transform(F.array_sort(F.collect_list(F.struct("ban_id", "ban")), _by("ban_id")), lambda x: x["ban"]).alias("met"))
         out = out.join(met, unit, "left").withColumn("met", F.coalesce("met", _no_bans()))
     english = F.concat(F.coalesce(F.transform(F.map_values("terms"), lambda t: t["source"]), F.array().cast("array<string>")), F.transform("met", lambda b: b["english"]))
-    return out.withColumn("anchored", F.array_distinct(english)).withColumn("global_bans", F.array_distinct(F.concat("met", _always(bans)))).drop("met")
+    return out.withColumn("anchored", F.array_distinct(english)).withColumn("global_bans", F.array_distinct(F.concat("met", "always"))).drop("met", "always")
+
+
+def _with_exemptions(units: DataFrame, exemptions: DataFrame | None, unit: str) -> DataFrame:
+    """Units with the exemptions of their bans: picked from a literal where there are no more than MOST_UNCONDITIONAL, else
+    joined by English form."""
+    name, kind = "global_ban_exemptions", f"array<{EXEMPTION}>"
+    if exemptions is None:
+        return units.withColumn(name, F.lit(None).cast(kind))
+    one = F.struct(*_fields(EXEMPTION)).cast(EXEMPTION)
+    rows = exemptions.select(F.to_json(one).alias("j")).limit(MOST_UNCONDITIONAL + 1).collect()
+    if len(rows) <= MOST_UNCONDITIONAL:
+        all_ = F.array(*[F.from_json(F.lit(r.j), EXEMPTION) for r in rows]).cast(kind) if rows else F.array().cast(kind)
+        return units.withColumn(name, F.filter(all_, lambda e: F.exists("global_bans", lambda b: b["english"] == e["english"])))
+    forms = F.array_distinct(F.transform("global_bans", lambda b: b["english"]))
+    met = units.select(unit, F.explode(forms).alias("english")).join(exemptions.select("english", one.alias("e")), "english")
+    met = met.groupBy(unit).agg(F.collect_list("e").alias(name))
+    return units.join(met, unit, "left").withColumn(name, F.coalesce(name, F.array().cast(kind)))
 
 
 def compile_contract(units: DataFrame, terms: DataFrame, bans: DataFrame | None = None, exemptions: DataFrame | None = None, unit: str = "unit_id", keep: list[str] | None = None, protected: dict[str, str] | None = None, interjections: dict[str, list[str]] | None = None, global_keep: DataFrame | None = None) -> DataFrame:
     """Units with a ``contract`` of the terms and bans that concern them.
 
     Terms and bans are found by one token join, or, where they are few, are literals that each unit picks its own from.
-    Unconditional bans concern every unit; they are few, and are put in as literals, so no unit meets every ban. Exemptions go with their bans. protected: patterns of tokens that must survive,
+    Unconditional bans concern every unit; a few are put in as literals, of more a unit gets those whose forms its dest has,
+    so no unit meets every ban. Exemptions go with their bans. protected: patterns of tokens that must survive,
     by class. global_keep: a table of texts (text) that stay as they are wherever they are a whole source; they are joined
     by equality, so there may be any number of them.
     """
@@ -110,14 +132,7 @@ def compile_contract(units: DataFrame, terms: DataFrame, bans: DataFrame | None
     out = _compiled_in_row(units, terms, bans)
     if out is None:
         out = _compiled_by_join(units, anchored_pairs(units, forms, unit=unit), terms, bans, unit)
-    if exemptions is not None:
-        rows = exemptions.select(F.to_json(F.struct(*_fields(EXEMPTION)).cast(EXEMPTION)).alias("j")).limit(MOST_UNCONDITIONAL + 1).collect()
-        if len(rows) > MOST_UNCONDITIONAL:
-            raise ValueError(f"more than {MOST_UNCONDITIONAL} exemptions")
-        all_ = F.array(*[F.from_json(F.lit(r.j), EXEMPTION) for r in rows]).cast(f"array<{EXEMPTION}>") if rows else F.array().cast(f"array<{EXEMPTION}>")
-        out = out.withColumn("global_ban_exemptions", F.filter(all_, lambda e: F.exists("global_bans", lambda b: b["english"] == e["english"])))
-    else:
-        out = out.withColumn("global_ban_exemptions", F.lit(None).cast(f"array<{EXEMPTION}>"))
+    out = _with_exemptions(out, exemptions, unit)
     out = out.withColumn("keep_list", F.array(*[F.lit(k) for k in keep or []]).cast("array<string>"))
     if global_keep is not None:
         texts = global_keep.select(F.col("text").alias("__keep")).where("__keep is not null").distinct()
@@ -193,7 +208,7 @@ def recompile(units: DataFrame, compiled: DataFrame, terms: DataFrame, bans: Dat
     return kept.unionByName(again)
 
 
-#: Unconditional bans, and exemptions, that may be put into every unit's contract.
+#: Unconditional bans, and exemptions, that are put into plans as literals; more are joined.
 MOST_UNCONDITIONAL = 1000
 
 

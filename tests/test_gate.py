@@ -131,15 +131,3 @@ def test_report_and_tables(units):
     assert (r.verdict, r.fail_count, r.warning_count, r.unit_count) == ("FAIL", want.count("FAIL"), want.count("WARNING"), len(want))
     tables = normalise_contract(units.withColumnRenamed("unit_id", "case_id"), contract="contract")
     assert {k: v.count() > 0 for k, v in tables.items()} == dict.fromkeys(tables, True)
-
-
-def test_too_many_exemptions_are_refused(spark, monkeypatch):
-    from lexmill.operators import contract
-    from lexmill.plans import dims
-
-    monkeypatch.setattr(contract, "MOST_UNCONDITIONAL", 2)
-    units = spark.createDataFrame([(1, "that", "x")], "unit_id bigint, source string, dest string")
-    few = dims.exemptions(spark)
-    assert contract.compile_contract(units, dims.terms(spark), dims.bans(spark), few.union(few)).count() == 1
-    with pytest.raises(ValueError, match="exemptions"):
-        contract.compile_contract(units, dims.terms(spark), dims.bans(spark), few.union(few).union(few))

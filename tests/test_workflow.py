@@ -160,3 +160,27 @@ def test_few_patterns_and_many_give_the_same_hits(spark, monkeypatch):
     few = sorted(map(tuple, workflow.pattern_hits(texts, patterns, "k", "t", "p").collect()))
     monkeypatch.setattr(workflow, "FEW_PATTERNS", 0)
     assert few == sorted(map(tuple, workflow.pattern_hits(texts, patterns, "k", "t", "p").collect())) and len(few) > 60
+
+
+def test_exemptions_of_any_number(spark, monkeypatch):
+    u = units(spark)
+    terms, bans = table(spark, [(i, 1, False, e, 0) for i, e in enumerate(FORMS)])
+    rows = [(e, "石", "r", (["甲"] if i % 2 else [], [], [])) for i, e in enumerate(FORMS)] + [("nowhere", "石", "r", ([], [], []))]
+    exemptions = spark.createDataFrame(rows, "english string, forbidden string, reason string, scope struct<dest_left:array<string>,dest_right:array<string>,source_contains:array<string>>")
+    got = lambda: sorted(map(str, gate.violations(contract.compile_contract(u, terms, bans, exemptions), gate.GateConfig(rules=("global_ban",))).collect()))
+    few = got()
+    monkeypatch.setattr(contract, "MOST_UNCONDITIONAL", 3)
+    assert few == got() and any("WARNING" in v for v in few)
+
+
+def test_unconditional_bans_of_any_number(spark, monkeypatch):
+    u = units(spark)
+    terms, bans = table(spark, [(i, 1, False, e, 0) for i, e in enumerate(FORMS)])
+    more = [(f"u{i}", f"none {i}", [f, "石甲"], t, "r", None, True) for i, (f, t) in enumerate([("石", ""), ("甲", "甲石"), ("石甲石", ""), ("丁", ""), ("x", "")])]
+    bans = bans.unionByName(spark.createDataFrame(more, bans.schema))
+    got = lambda: sorted(map(str, gate.violations(contract.compile_contract(u, terms, bans), gate.GateConfig(rules=("global_ban",))).collect()))
+    monkeypatch.setattr(contract, "FEW", 0)
+    monkeypatch.setattr(anchors, "FEW", 0)
+    literal = got()
+    monkeypatch.setattr(contract, "MOST_UNCONDITIONAL", 2)
+    assert literal == got() and sum("none" in v for v in literal) > 40
