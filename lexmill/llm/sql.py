@@ -18,6 +18,19 @@ def similar_groups(shingle: int, percent: int, more: str = "") -> str:
 SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id{more} FROM documents d LEFT JOIN n USING (doc_id) JOIN least ON a = d.doc_id"""
 
 
+def decontamination(window: int = 10) -> str:
+    """Every window of the items, and of items of fewer words all of them, joined with all windows of documents as long."""
+    words = f"regexp_extract_all(translate(coalesce(text, ''), '{ascii_uppercase}', '{ascii_lowercase}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+    return f"""WITH d AS MATERIALIZED (SELECT doc_id, {words} AS w FROM documents), i AS (SELECT item_id, {words} AS w FROM benchmark),
+  iw AS MATERIALIZED (SELECT DISTINCT item_id, least(len(w), {window}) AS k, unnest(CASE WHEN len(w) >= {window} THEN list_transform(range(1, len(w) - {window - 2}), lambda j: array_to_string(w[j:j + {window - 1}], ' ')) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g FROM i),
+  ks AS (SELECT DISTINCT k FROM iw),
+  dw AS (SELECT doc_id, k, p, array_to_string(w[p:p + k - 1], ' ') AS g FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS p FROM d, ks WHERE len(w) >= k)),
+  hits AS MATERIALIZED (SELECT DISTINCT doc_id, p, k, item_id FROM dw JOIN iw USING (k, g)),
+  words AS (SELECT doc_id, count(DISTINCT q)::BIGINT AS n_hit FROM (SELECT doc_id, unnest(range(p, p + k)) AS q FROM hits) GROUP BY doc_id),
+  items AS (SELECT doc_id, count(*)::BIGINT AS n_items, string_agg(item, ',' ORDER BY item) AS listed FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hits) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)"""
+
+
 def clusters(k: int = 16, rounds: int = 3, width: int = 64, scale: int = 64) -> str:
     """Exact integer clustering: every vector against every centroid."""
     out = [
