@@ -289,4 +289,4 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text") ->
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("longest", "longest_at")

@@ -23,6 +23,7 @@ QUERIES = {
 ORACLE_SQL = {
     "op6_jaccard": sql.similar_groups(5, 80),
     "op8_licenses": op8_licenses.SQL,
+    "op9_decontaminate": sql.decontamination(),
     "op11_turns": sql.repairs(),
     "op12_centroids": sql.clusters(),
     "op13_minhash": sql.similar_groups(3, 85, ", component_id = d.doc_id AS kept"),

@@ -3,15 +3,9 @@
 import pytest
 from helpers import DATA, same_rows
 
-from lexmill.llm import sql
 from lexmill.llm.queries import ORACLE_SQL, QUERIES
 
 
-@pytest.mark.parametrize("name", ["op6_jaccard", "op11_turns", "op12_centroids", "op13_minhash"])
+@pytest.mark.parametrize("name", ["op6_jaccard", "op9_decontaminate", "op11_turns", "op12_centroids", "op13_minhash"])
 def test_query_equals_sql(spark, duck, name):
     same_rows(QUERIES[name](spark, DATA), duck, ORACLE_SQL[name])
-
-
-def test_decontamination_equals_sql(spark, duck):
-    """But for the longest match, which SQL doesn't give."""
-    same_rows(QUERIES["op9_decontaminate"](spark, DATA).drop("longest", "longest_at"), duck, sql.decontamination())
