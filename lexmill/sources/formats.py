@@ -29,6 +29,8 @@ from ..functions.xmltext import units
 
 #: Bytes that one partition reads, about; an option ``partBytes`` sets another number.
 PART_BYTES = 32 << 20
+#: Parts beyond which parts grow, up to PART_BYTES: each costs a task that starts and ends.
+MANY_PARTS = 64
 #: Names of files that writers keep beside documents.
 STAGING, MANIFESTS = "_staging", "_manifests"
 
@@ -111,12 +113,16 @@ class _Reader(DataSourceReader):
                 pieces += [(name, path, a, min(size, a + self.part)) for a in range(0, size, self.part)]
             else:
                 pieces.append((name, path, 0, size if self.splits else 0))
+        # Of many small pieces several are one part, and those that follow each other in a file one piece.
+        lengths = [p[3] - p[2] or sizes[p[1]] for p in pieces]
+        most = max(self.part, min(PART_BYTES, sum(lengths) // MANY_PARTS))
         parts, held, room = [], [], 0
-        for p in pieces:
-            n = p[3] - p[2] or sizes[p[1]]
-            if held and room + n > self.part:
+        for p, n in zip(pieces, lengths, strict=True):
+            if held and room + n > most:
                 parts.append(Part(held))
                 held, room = [], 0
+            if held and held[-1][1] == p[1] and held[-1][3] == p[2]:
+                p = (*held.pop()[:3], p[3])
             held.append(p)
             room += n
         return [*parts, Part(held)] if held else parts or [Part([])]

@@ -157,3 +157,13 @@ def test_contracts_and_keep_lists(spark, tmp_path):
     (tmp_path / "k" / "2.json").write_text('{"keep_list": ["C"]}')
     (tmp_path / "k" / "3.json").write_text("[")
     assert sorted(r.text for r in read_keep_lists(spark, str(tmp_path / "k")).collect()) == ["A", "B", "C"]
+
+
+def test_many_small_parts_are_few_tasks(spark, tmp_path):
+    """However small parts are to be, and however many files there are, tasks stay few; every number is read once."""
+    (tmp_path / "n").mkdir()
+    for i in range(40):
+        (tmp_path / "n" / f"{i}.idx").write_text("\n".join(str(1000 * i + j) for j in range(200)))
+    got = formats.open_(spark, "index", str(tmp_path / "n"), partBytes=64)
+    assert got.rdd.getNumPartitions() <= 2 * formats.MANY_PARTS
+    assert sorted(r.xml_index for r in got.collect()) == [1000 * i + j for i in range(40) for j in range(200)]
