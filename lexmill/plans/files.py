@@ -242,7 +242,11 @@ _WARNED = f"SELECT unit_id, 'TRUNC001' AS code, '' AS term FROM ({TRUNC}) UNION
 def review_queue(spark, d):
     """Two turns of the queue: warnings of the first, some of them decided, stay when the second finds other things."""
     found = gate.violations(_contracts(spark, d), gate.GateConfig(rules=_RULES))
-    warned = review.warning_items(found)
+    # Written once: what is decided on is read from it, and violations are not found anew.
+    at = staging.fresh(spark, "warned")
+    items = review.warning_items(found)
+    items.write.parquet(at)
+    warned = spark.read.schema(items.schema).parquet(at)
     decided = warned.where("split_part(key, '|', 1) % 3 = 0").select("kind", "key", "detail", F.lit("ann").alias("by"))
     none = decided.where("false")
     first = review.fold(None, [warned], decided, 1)
