@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .functions.xmltext import skeleton, splice, spliced  # noqa: F401  splice is for callers
-from .sources.formats import MANIFESTS, open_, register
+from .sources.formats import BATCH_BYTES, MANIFESTS, open_, register
 
 def splice_files(files: DataFrame, changes: DataFrame) -> DataFrame:
     """files (file, xml), changes (file, xml_index, dest) -> (file, xml, changed, unmatched, intact).
@@ -17,17 +17,22 @@ def splice_files(files: DataFrame, changes: DataFrame) -> DataFrame:
     One document is one row. changed counts what was replaced; unmatched are the numbers that no unit with a Dest has; of
     several changes of a unit the greatest text counts.
     """
+    register(files.sparkSession)  # bounds the batches
     changes = changes.groupBy("file", "xml_index").agg(F.max("dest").alias("dest"))
     per = changes.groupBy("file").agg(F.collect_list(F.struct(F.col("xml_index").alias("i"), F.col("dest").alias("d"))).alias("new"))
     both = files.join(per, "file", "left")
 
     def run(batches):
         for b in batches:
-            rows = []
+            rows, size = [], 0
             for f, xml, new in zip(b["file"], b["xml"], b["new"], strict=True):
                 changed = {} if new is None else {int(x["i"]): x["d"] for x in new}
                 after, done = spliced(xml, changed)
                 rows.append((f, after, len(done), sorted(set(changed) - done), skeleton(after) == skeleton(xml)))
+                size += len(after)
+                if size > BATCH_BYTES:
+                    yield pd.DataFrame(rows, columns=["file", "xml", "changed", "unmatched", "intact"])
+                    rows, size = [], 0
             yield pd.DataFrame(rows, columns=["file", "xml", "changed", "unmatched", "intact"])
 
     return both.select("file", "xml", "new").mapInPandas(run, "file string, xml string, changed bigint, unmatched array<bigint>, intact boolean")

@@ -31,6 +31,8 @@ from ..functions.xmltext import units
 PART_BYTES = 32 << 20
 #: Parts beyond which parts grow, up to PART_BYTES: each costs a task that starts and ends.
 MANY_PARTS = 64
+#: Characters of documents that a task hands on, or takes, at once, about.
+BATCH_BYTES = 4 << 20
 #: Names of files that writers keep beside documents.
 STAGING, MANIFESTS = "_staging", "_manifests"
 
@@ -362,6 +364,23 @@ def _sha(system, path: str) -> str | None:
 class _DocumentReader(_Reader):
     by_file = {"path": lambda name: name}
 
+    def read(self, partition):
+        """Batches of a few MB: one of as many rows as Spark takes at once could hold a whole part several times."""
+        import pyarrow as pa
+
+        def batch():
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*held, strict=True)], names=["path", "content", "sha256"])
+
+        held, size = [], 0
+        for row in super().read(partition):
+            held.append(row)
+            size += len(row[1])
+            if size > BATCH_BYTES:
+                yield batch()
+                held, size = [], 0
+        if held:
+            yield batch()
+
     def rows(self, name, f, begin, end):
         raw = f.read()
         yield name, raw.decode("utf-8", "replace"), hashlib.sha256(raw).hexdigest()
@@ -388,8 +407,9 @@ SOURCES = (XmlUnits, TermRules, IndexFile, Listing, Documents)
 
 
 def register(spark: SparkSession) -> None:
-    """Makes the sources known to a session, and lets filters reach them."""
+    """Makes the sources known to a session, lets filters reach them, and bounds what Python takes at once."""
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     for s in SOURCES:
         spark.dataSource.register(s)
 

@@ -167,3 +167,13 @@ def test_many_small_parts_are_few_tasks(spark, tmp_path):
     got = formats.open_(spark, "index", str(tmp_path / "n"), partBytes=64)
     assert got.rdd.getNumPartitions() <= 2 * formats.MANY_PARTS
     assert sorted(r.xml_index for r in got.collect()) == [1000 * i + j for i in range(40) for j in range(200)]
+
+
+def test_documents_are_handed_on_in_small_batches(tmp_path):
+    """A part of many large documents is never held at once."""
+    for i in range(30):
+        (tmp_path / f"{i}.xml").write_text("é" * 1_000_000)
+    reader = formats.Documents({"path": str(tmp_path)}).reader(None)
+    got = [list(reader.read(p)) for p in reader.partitions()]
+    assert sum(b.num_rows for part in got for b in part) == 30
+    assert max(b.num_rows for part in got for b in part) <= formats.BATCH_BYTES // 1_000_000 + 1
