@@ -18,6 +18,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+import time
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -339,13 +340,27 @@ class _DocumentWriter(DataSourceWriter):
         self._clear(system, at)
 
     def abort(self, messages):
-        self._clear(*reached(self.root))
+        """Tasks that are told to stop may still write for a while: it is cleared until nothing comes any more."""
+        system, at = reached(self.root)
+        quiet = 0
+        for _ in range(40):
+            try:
+                quiet = 0 if self._clear(system, at) else quiet + 1
+            except OSError:  # a draft came while the folder was deleted
+                quiet = 0
+            if quiet == 3:
+                return
+            time.sleep(0.25)
+        self._clear(system, at)
 
-    def _clear(self, system, at):
+    def _clear(self, system, at) -> bool:
+        """Whether there was anything."""
         from pyarrow import fs
 
-        if system.get_file_info(self._folder(at)).type == fs.FileType.Directory:
+        there = system.get_file_info(self._folder(at)).type == fs.FileType.Directory
+        if there:
             system.delete_dir(self._folder(at))
+        return there
 
 
 def _sha(system, path: str) -> str | None:

@@ -1,6 +1,8 @@
 """Executor-side writing, the write chain, and the registered sources."""
 
 import json
+import threading
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -62,6 +64,28 @@ def test_a_thousand_documents_and_a_killed_task(spark, tmp_path):
         sinks.write_documents(other, f"file://{tmp_path}/out", job="k")
 
 
+def test_tasks_that_go_on_after_a_job_has_failed(tmp_path):
+    """Drafts that come while the staging folder is cleared go as well."""
+    at, end = tmp_path / formats.STAGING / "j", time.time() + 0.8
+
+    def late():
+        while time.time() < end:
+            try:
+                at.mkdir(parents=True, exist_ok=True)
+                (at / str(time.time_ns())).write_text("x")
+            except OSError:
+                pass
+
+    tasks = [threading.Thread(target=late) for _ in range(3)]
+    for t in tasks:
+        t.start()
+    time.sleep(0.1)
+    formats._DocumentWriter(str(tmp_path), "j").abort([])
+    for t in tasks:
+        t.join()
+    assert not at.exists()
+
+
 def changes(spark):
     return spark.createDataFrame([(f"mem:/in/{i % 7}/{i}.xml", i % 2, f"新 <{i}>") for i in range(20)], "file string, xml_index bigint, dest string")
 
